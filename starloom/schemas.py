@@ -6,71 +6,88 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "decimal(1,0)": T.DecimalType(1, 0),
+    "decimal(8,2)": T.DecimalType(8, 2),
+}
+
+
+def _columns(text: str) -> T.StructType:
+    """A schema from `name type, ...`; works before there is a session."""
+    fields = [field.split(" ") for field in text.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
+
+
 # Field names of the input files.
-PLAY_EVENTS = T.StructType.fromDDL(
+PLAY_EVENTS = _columns(
     "artist string, auth string, firstName string, gender string, itemInSession int, "
     "lastName string, length double, level string, location string, method string, "
     "page string, registration double, sessionId bigint, song string, status int, "
     "ts bigint, userAgent string, userId string"
 )
 
-SONG_CATALOGUE = T.StructType.fromDDL(
+SONG_CATALOGUE = _columns(
     "artist_id string, artist_latitude double, artist_location string, "
     "artist_longitude double, artist_name string, duration double, num_songs int, "
     "song_id string, title string, year int"
 )
 
-TICKETS = T.StructType.fromDDL(
+TICKETS = _columns(
     "id double, sporting_event_id double, sport_location_id double, "
     "seat_level decimal(1,0), seat_section string, seat_row string, seat string, "
     "ticketholder_id double, ticket_price decimal(8,2)"
 )
 
-PAYMENTS = T.StructType.fromDDL(
+PAYMENTS = _columns(
     "payment_id int, customer_id int, staff_id int, rental_id int, amount double, "
     "payment_date timestamp"
 )
 
 # Columns of the star tables.
-USERS = T.StructType.fromDDL(
+USERS = _columns(
     "user_id string, first_name string, last_name string, gender string, level string"
 )
 
-SONGS = T.StructType.fromDDL(
+SONGS = _columns(
     "song_id string, title string, artist_id string, duration double, year int"
 )
 
-ARTISTS = T.StructType.fromDDL(
+ARTISTS = _columns(
     "artist_id string, name string, location string, latitude double, longitude double"
 )
 
-TIME = T.StructType.fromDDL(
+TIME = _columns(
     "start_time timestamp, hour int, day int, week int, weekday int, year int, month int"
 )
 
-SONGPLAYS = T.StructType.fromDDL(
+SONGPLAYS = _columns(
     "songplay_id string, start_time timestamp, user_id string, level string, "
     "song_id string, artist_id string, session_id bigint, location string, "
     "user_agent string, year int, month int"
 )
 
 # Columns of the order star.
-SSB_PART = T.StructType.fromDDL(
+SSB_PART = _columns(
     "p_partkey int, p_name string, p_mfgr string, p_category string, p_brand1 string, "
     "p_color string, p_type string, p_size int, p_container string"
 )
 
-SSB_SUPPLIER = T.StructType.fromDDL(
+SSB_SUPPLIER = _columns(
     "s_suppkey int, s_name string, s_address string, s_city string, s_nation string, "
     "s_region string, s_phone string"
 )
 
-SSB_CUSTOMER = T.StructType.fromDDL(
+SSB_CUSTOMER = _columns(
     "c_custkey int, c_name string, c_address string, c_city string, c_nation string, "
     "c_region string, c_phone string, c_mktsegment string"
 )
 
-SSB_DATE = T.StructType.fromDDL(
+SSB_DATE = _columns(
     "d_datekey int, d_date string, d_dayofweek string, d_month string, d_year int, "
     "d_yearmonthnum int, d_yearmonth string, d_daynuminweek int, d_daynuminmonth int, "
     "d_daynuminyear int, d_monthnuminyear int, d_weeknuminyear int, "
@@ -78,7 +95,7 @@ SSB_DATE = T.StructType.fromDDL(
     "d_holidayfl string, d_weekdayfl string"
 )
 
-SSB_LINEORDER = T.StructType.fromDDL(
+SSB_LINEORDER = _columns(
     "lo_orderkey int, lo_linenumber int, lo_custkey int, lo_partkey int, "
     "lo_suppkey int, lo_orderdate int, lo_orderpriority string, "
     "lo_shippriority string, lo_quantity int, lo_extendedprice int, "
@@ -89,7 +106,11 @@ SSB_LINEORDER = T.StructType.fromDDL(
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A stored table: its columns, its key, and how its files are laid out."""
+    """A stored table: its columns, its key, and how its files are laid out.
+
+    A `versioned` table is replaced as a whole by every merge; its name is a view of the
+    current version.
+    """
 
     name: str
     schema: T.StructType
@@ -98,6 +119,7 @@ class TableSpec:
     bucket_by: tuple[str, ...] = ()
     buckets: int = 0
     sort_by: tuple[str, ...] = ()
+    versioned: bool = False
 
 
 STAGING_TABLES = (
@@ -106,9 +128,9 @@ STAGING_TABLES = (
 )
 
 STAR_TABLES = (
-    TableSpec("users", USERS, keys=("user_id",)),
+    TableSpec("users", USERS, keys=("user_id",), versioned=True),
     TableSpec("songs", SONGS, keys=("song_id",)),
-    TableSpec("artists", ARTISTS, keys=("artist_id",)),
+    TableSpec("artists", ARTISTS, keys=("artist_id",), versioned=True),
     TableSpec("time", TIME, keys=("start_time",), partition_by=("year", "month")),
     TableSpec("songplays", SONGPLAYS, keys=("songplay_id",), partition_by=("year", "month")),
 )
