@@ -118,8 +118,7 @@ def match_catalogue(
     keys = [f"_key_{n}" for n in range(len(on))]
 
     def compared(column: str, decimals: int | None) -> Column:
-        # + 0.0 turns -0.0 to 0.0, which would hash apart.
-        return F.col(column) if decimals is None else F.round(F.col(column), decimals) + F.lit(0.0)
+        return F.col(column) if decimals is None else F.round(F.col(column), decimals)
 
     sides = list(zip(keys, on.items()))
     plays = events.select(

@@ -2,6 +2,25 @@
 
 from __future__ import annotations
 
+_SONGPLAYS = r"""
+        SELECT md5(event_id || '|' || user_id || '|' || (epoch_us(ts) // 1000) || '|0') AS songplay_id,
+        epoch_ms(epoch_us(ts) // 1000) AS start_time,
+        CAST(user_id AS VARCHAR) AS user_id,
+        CASE WHEN value > 50 THEN 'paid' ELSE 'free' END AS level,
+        song_id, played.p_brand AS artist_id, event_id AS session_id,
+        CAST(extract(month FROM ts) AS INT) AS month
+        FROM events
+        JOIN part AS played ON user_id = played.p_partkey
+        JOIN (
+            SELECT p_name, p_brand, round(p_retailprice, 3) AS price,
+            min(CAST(p_partkey AS VARCHAR)) AS song_id
+            FROM part
+            GROUP BY 1, 2, 3
+        ) catalogue ON played.p_name = catalogue.p_name AND played.p_brand = catalogue.p_brand
+        AND round(played.p_retailprice, 3) = price
+        WHERE event_type = 'purchase'
+    """
+
 ORACLES: dict[str, str] = {
     "filter_project": r"""
         SELECT event_id, user_id, ts AS start_time, value
@@ -330,4 +349,84 @@ ORACLES: dict[str, str] = {
         FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM conversations)
         GROUP BY word
     """,
+    "json_with_schema": r"""
+        SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props FROM events
+    """,
+    "json_inferred": r"""
+        SELECT c_custkey, c_name, c_acctbal FROM customer
+    """,
+    "stage_by_mapping": r"""
+        SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type FROM events
+    """,
+    "delimited_gzip_parts": r"""
+        SELECT * EXCLUDE (l_shipdate) FROM lineitem
+    """,
+    "delimited_with_header": r"""
+        SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders
+    """,
+    "parquet_partitioned": r"""
+        SELECT o_orderkey, o_orderdate, CAST(extract(year FROM o_orderdate) AS INT) AS y,
+        CAST(extract(month FROM o_orderdate) AS INT) AS m
+        FROM orders
+        WHERE extract(year FROM o_orderdate) = 1997
+    """,
+    "partitions_replaced": r"""
+        SELECT o_orderkey,
+        CASE WHEN o_orderdate >= TIMESTAMP '1997-12-01' AND o_orderdate < TIMESTAMP '1998-01-01'
+        THEN 'CLOSED' ELSE o_orderstatus END AS o_orderstatus,
+        CAST(extract(year FROM o_orderdate) AS INT) AS y,
+        CAST(extract(month FROM o_orderdate) AS INT) AS m
+        FROM orders
+    """,
+    "union_by_name": r"""
+        SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'
+        UNION ALL
+        SELECT event_id, user_id, NULL FROM events WHERE event_type = 'view'
+    """,
+    "random_keys": r"""
+        SELECT count(*) AS n, count(*) AS n_keys FROM events
+    """,
+    "log_parse_lines": r"""
+        SELECT 'host' || user_id AS host, 'GET' AS method,
+        '/' || event_type || '/' || event_id AS endpoint, 'HTTP/1.0' AS protocol,
+        CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS response_code,
+        CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS content_size_bytes,
+        date_trunc('second', ts) AS logged_at
+        FROM events
+    """,
+    "load_and_summarise": r"""
+        SELECT l_partkey, max(l_quantity) AS max_l_quantity, min(l_quantity) AS min_l_quantity,
+        round(avg(l_quantity), 6) AS average_l_quantity
+        FROM lineitem
+        GROUP BY l_partkey
+    """,
+    "dimension_reload": r"""
+        SELECT c_custkey, c_mktsegment FROM customer
+        UNION ALL
+        SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'
+    """,
+    "bucketed_star": r"""
+        SELECT o_orderdate,
+        CAST(sum(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) AS revenue
+        FROM lineitem
+        JOIN part ON l_partkey = p_partkey
+        JOIN orders ON l_orderkey = o_orderkey
+        GROUP BY o_orderdate
+    """,
+    "lake_users": r"""
+        SELECT CAST(user_id AS VARCHAR) AS user_id, 'First' || user_id AS first_name,
+        'Last' || user_id AS last_name, CAST(NULL AS VARCHAR) AS gender,
+        CASE WHEN value > 50 THEN 'paid' ELSE 'free' END AS level
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC
+            ) AS rn
+            FROM events
+            JOIN part ON user_id = p_partkey
+            WHERE event_type = 'purchase'
+        )
+        WHERE rn = 1
+    """,
+    "scheduled_songplays": _SONGPLAYS,
+    "stream_songplays": _SONGPLAYS,
 }

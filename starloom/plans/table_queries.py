@@ -233,12 +233,13 @@ def star_by_date(t: Tables) -> DataFrame:
 
 @query
 def star_report(t: Tables) -> DataFrame:
+    # Orders meet their customers before the larger line items are shuffled to them.
+    orders = joins.star_join(t["orders"], (t["customer"], "o_custkey", "c_custkey"))
     joined = joins.star_join(
         t["lineitem"],
         (t["supplier"], "l_suppkey", "s_suppkey"),
         (t["part"], "l_partkey", "p_partkey"),
-        (t["orders"], "l_orderkey", "o_orderkey"),
-        (t["customer"], "o_custkey", "c_custkey"),
+        (orders, "l_orderkey", "o_orderkey"),
     )
     who = F.concat("c_name", F.lit(" "), "c_mktsegment")
     return joined.select("p_name", "s_name", who.alias("who"))

@@ -27,6 +27,7 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
             "spark.checkpoint.dir": str(folder / "shared"),
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "10000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -259,13 +259,14 @@ def test_order_star_load_and_reports(spark, tmp_path):
     )
     assert plain.columns == ["table", "loadtime_ssb_plain"] and plain.count() == 5
     assert plain.join(laid, "table").count() == 5
-    found = {}
-    for database in ("ssb_plain", "ssb_laid"):
-        tables = {s.name: spark.table(f"{database}.{s.name}") for s in schemas.SSB_TABLES}
-        found[database] = star_queries.ssb_reports(tables)
-    for name, report in found["ssb_plain"].items():
-        assert values(report) == values(found["ssb_laid"][name]), name
-    times = layouts.compare_query_times(spark, found["ssb_plain"], found["ssb_laid"], runs=1)
+    stored = [
+        {s.name: spark.table(f"{database}.{s.name}") for s in schemas.SSB_TABLES}
+        for database in ("ssb_plain", "ssb_laid")
+    ]
+    on_plain, on_laid = (star_queries.ssb_reports(tables) for tables in stored)
+    for name, report in on_plain.items():
+        assert values(report) == values(on_laid[name]), name
+    times = layouts.compare_query_times(spark, star_queries.ssb_reports, *stored, runs=1)
     assert times.columns == ["query", "plain", "laid_out", "improvement"]
     assert times.count() == 4
     for database in ("ssb_plain", "ssb_laid"):
