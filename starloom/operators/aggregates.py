@@ -16,9 +16,17 @@ def count_by(rows: DataFrame, *keys: Column | str, name: str = "count") -> DataF
     return counts.orderBy(F.desc(name), *[c for c in counts.columns if c != name])
 
 
-def exact_sum(value: Column, digits: str = "decimal(14,2)") -> Column:
-    """Sum in decimals, given as double: the same to the last digit in whatever order rows come."""
-    return F.sum(value.cast(digits)).cast("double")
+def exact_sum(value: Column, decimals: int = 2) -> Column:
+    """Sum of numbers with that many decimals, given as double: the same to the last digit in
+    whatever order the rows come, unlike a sum of doubles.
+
+    Adds whole units as bigint, several times as fast as decimals. The upper and lower bits are
+    added apart, so that trillions of rows do not overflow.
+    """
+    units = F.rint(value * 10**decimals).cast("bigint")
+    upper, lower = F.shiftright(units, 20), units.bitwiseAND(F.lit(2**20 - 1))
+    total = F.sum(upper).cast("decimal(38,0)") * F.lit(2**20) + F.sum(lower)
+    return (total / F.lit(10**decimals)).cast("double")
 
 
 def sum_by(rows: DataFrame, value: Column, *keys: Column | str, name: str = "revenue") -> DataFrame:
@@ -30,7 +38,7 @@ def sum_by_month(
 ) -> DataFrame:
     return rows.groupBy(
         F.year(moment).alias(year), F.month(moment).alias(month)
-    ).agg(exact_sum(amount, "decimal(18,2)").alias("revenue"))
+    ).agg(exact_sum(amount).alias("revenue"))
 
 
 def fact_summary(rows: DataFrame, fact: str, by: str, decimals: int | None = None) -> DataFrame:

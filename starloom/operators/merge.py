@@ -10,11 +10,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from starloom.operators.joins import key_join
+from starloom.operators.joins import fits_broadcast, key_join
 from starloom.operators.rows import earliest_per_key, latest_per_key
 
 
+def batch_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of a batch; sent to every task if they were measured to be few, so that
+    a large target is not shuffled to meet them."""
+    distinct = batch.select(*keys).distinct()
+    return F.broadcast(distinct) if fits_broadcast(distinct) else distinct
+
+
 def without_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key does not occur in `others`."""
     return rows.join(others.select(*keys), list(keys), "left_anti").select(*rows.columns)
@@ -28,15 +36,24 @@ def upsert_update(
     `order` may name batch columns that the target does not have.
     """
     latest = latest_per_key(batch, keys, order).select(*target.columns)
-    return without_keys(target, latest, keys).unionByName(latest)
+    return without_keys(target, batch_keys(batch, keys), keys).unionByName(latest)
+
+
+def unseen(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Batch rows whose key the target does not have.
+
+    Of the target only the keys are read, and only those of the batch go on: what is left to
+    compare is no larger than the batch.
+    """
+    known = target.select(*keys).join(batch_keys(batch, keys), list(keys), "left_semi")
+    return without_keys(batch, known, keys)
 
 
 def new_rows(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
-    """Batch rows whose key the target does not have, the earliest of each key."""
-    earliest = earliest_per_key(batch, keys, order).select(*target.columns)
-    return without_keys(earliest, target, keys)
+    """As `unseen`, for a batch that may repeat a key: the earliest row of each key."""
+    return unseen(target, earliest_per_key(batch, keys, order).select(*target.columns), keys)
 
 
 def upsert_ignore(
@@ -54,11 +71,11 @@ def fact_append(
 
 
 def delete_then_insert(
-    target: DataFrame, staged: DataFrame, insert: DataFrame, keys: Sequence[str]
+    target: DataFrame, staged: DataFrame, insert: DataFrame, keys: Sequence[str], **limits: int
 ) -> DataFrame:
     """Drops the target rows whose key was staged, then adds the distinct rows of `insert`.
 
     The target may hold many rows per key, so the anti join splits heavy keys.
     """
-    kept = key_join(target, staged.select(*keys).distinct(), keys, "left_anti")
+    kept = key_join(target, staged.select(*keys).distinct(), keys, "left_anti", **limits)
     return kept.unionByName(insert.select(*target.columns).distinct())

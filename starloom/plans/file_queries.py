@@ -338,7 +338,7 @@ def stream_songplays(t: Tables) -> DataFrame:
         folder,
         schemas.PLAY_EVENTS,
         lambda batch: facts.songplays(batch, catalogue),
-        lambda batch: warehouse.merge_songplays(batch, f"{database}.songplays"),
+        lambda batch: warehouse.append_songplays(batch, f"{database}.songplays"),
         name=f"songplays_{database}",
         checkpoint=checkpoint,
         files_per_batch=2,

@@ -430,3 +430,7 @@ ORACLES: dict[str, str] = {
     "scheduled_songplays": _SONGPLAYS,
     "stream_songplays": _SONGPLAYS,
 }
+
+# The same result by another way of joining.
+for _name in ("fact_enrich_left", "fact_enrich_title", "delete_then_insert"):
+    ORACLES[f"{_name}_spread"] = ORACLES[_name]

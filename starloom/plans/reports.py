@@ -60,7 +60,7 @@ def revenue_per_month(payments: DataFrame) -> DataFrame:
 def revenue_per_calendar_month(payments: DataFrame) -> DataFrame:
     """Revenue by month number, years together."""
     month = F.month("payment_date").alias("m")
-    return aggregates.sum_by(payments, aggregates.exact_sum(F.col("amount"), "decimal(18,2)"), month)
+    return aggregates.sum_by(payments, aggregates.exact_sum(F.col("amount")), month)
 
 
 def popular_hosts(log: DataFrame) -> DataFrame:

@@ -92,8 +92,7 @@ def order_star(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     part_key = ("l_partkey", "p_partkey")
     supplier_key = ("l_suppkey", "s_suppkey")
     in_1997 = date_range("o_orderdate", "1997-01-01", "1998-01-01")
-    price = F.col("l_extendedprice").cast("decimal(14,2)")
-    discounted = F.sum(price * F.col("l_discount").cast("decimal(4,2)")).cast("double")
+    discounted = exact_sum(F.col("l_extendedprice") * F.col("l_discount"), decimals=4)
     revenue = exact_sum(F.col("l_extendedprice"))
     year = F.year("o_orderdate").alias("d_year")
     # The filters of the four reports.

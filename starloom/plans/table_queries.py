@@ -158,8 +158,7 @@ def _catalogue(t: Tables) -> DataFrame:
     return t["part"].where("p_size <= 25").select("p_partkey", "p_name", "p_brand", "p_retailprice")
 
 
-@query
-def fact_enrich_title(t: Tables) -> DataFrame:
+def _titled(t: Tables, **limits: int) -> DataFrame:
     matched = joins.match_catalogue(
         _plays(t).select("l_orderkey", "l_linenumber", "song"),
         _catalogue(t),
@@ -167,10 +166,16 @@ def fact_enrich_title(t: Tables) -> DataFrame:
         take=["p_partkey"],
         how="inner",
         one_match="p_partkey",
+        **limits,
     )
     return matched.select("l_orderkey", "l_linenumber", "p_partkey")
 
 
+@query
+def fact_enrich_title(t: Tables) -> DataFrame:
+    return _titled(t)
+
+
 @query
 def fact_enrich_title_artist(t: Tables) -> DataFrame:
     matched = joins.match_catalogue(
@@ -183,19 +188,38 @@ def fact_enrich_title_artist(t: Tables) -> DataFrame:
     return aggregates.distinct_rows(matched, "l_orderkey", "l_linenumber", "p_partkey")
 
 
-@query
-def fact_enrich_left(t: Tables) -> DataFrame:
+# The way a join takes beyond what may be broadcast, at a size where heavy keys occur.
+SPREAD = {"max_rows": 0, "hot_rows": 200}
+
+
+def _enriched(t: Tables, **limits: int) -> DataFrame:
     matched = joins.match_catalogue(
         _plays(t),
         _catalogue(t),
         on={"song": "p_name", "artist": "p_brand", "length": "p_retailprice"},
         take=["p_partkey"],
         round_to={"length": 3},
+        **limits,
     )
     play_id = keys.hash_key("l_orderkey", "l_linenumber").alias("play_id")
     return matched.select(play_id, "l_orderkey", "p_partkey")
 
 
+@query
+def fact_enrich_left(t: Tables) -> DataFrame:
+    return _enriched(t)
+
+
+@query
+def fact_enrich_left_spread(t: Tables) -> DataFrame:
+    return _enriched(t, **SPREAD)
+
+
+@query
+def fact_enrich_title_spread(t: Tables) -> DataFrame:
+    return _titled(t, **SPREAD)
+
+
 @query
 def fact_enrich_one_match(t: Tables) -> DataFrame:
     brand = F.concat(F.lit("Brand#"), (F.col("user_id") % 30).cast("string"))
@@ -354,8 +378,7 @@ def upsert_ignore(t: Tables) -> DataFrame:
     return merged.select("c_custkey", "c_mktsegment")
 
 
-@query
-def delete_then_insert(t: Tables) -> DataFrame:
+def _reloaded_users(t: Tables, **limits: int) -> DataFrame:
     events = t["events"].select("user_id", "event_type", "ts")
     staged = events.where(F.col("ts") >= _moment("2024-01-29"))
     return merge.delete_then_insert(
@@ -363,9 +386,20 @@ def delete_then_insert(t: Tables) -> DataFrame:
         staged=staged,
         insert=staged.where("event_type = 'purchase'"),
         keys=["user_id"],
+        **limits,
     )
 
 
+@query
+def delete_then_insert(t: Tables) -> DataFrame:
+    return _reloaded_users(t)
+
+
+@query
+def delete_then_insert_spread(t: Tables) -> DataFrame:
+    return _reloaded_users(t, **SPREAD)
+
+
 @query
 def fact_append(t: Tables) -> DataFrame:
     bought = t["events"].where("event_type = 'purchase'").select("event_id", "user_id", "ts")

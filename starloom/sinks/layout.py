@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits_broadcast
 
@@ -43,10 +44,16 @@ def write_bucketed(
 
 
 def write_sorted(rows: DataFrame, name: str, *sort_by: str) -> None:
-    """A table sorted on its key across all files, so that a filter on the key skips files."""
-    rows.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by).write.mode("overwrite").format(
-        "parquet"
-    ).saveAsTable(name)
+    """A table sorted on its key across all files, so that a filter on the key skips files.
+
+    Rows with the same key are told apart by a hash of the row when they are divided over the
+    tasks, so a key with many rows is spread over several of them.
+    """
+    hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    spread = rows.repartitionByRange(*sort_by, F.xxhash64(*hashed))
+    spread.sortWithinPartitions(*sort_by).write.mode("overwrite").format("parquet").saveAsTable(
+        name
+    )
 
 
 def replicated(dimension: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

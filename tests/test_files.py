@@ -290,3 +290,17 @@ def test_heavy_key_is_not_bucketed(spark):
     assert spark.table("heavy_fact").count() == 1000
     described = spark.sql("DESCRIBE EXTENDED heavy_fact").where("col_name = 'Num Buckets'")
     assert described.isEmpty()
+
+
+def test_heavy_sort_key_is_spread_over_files(spark, settings):
+    settings(spark__sql__shuffle__partitions="8", spark__sql__adaptive__enabled="false")
+    fact = spark.range(0, 20_000, 1, 4).select(
+        "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("day")
+    )
+    layout.write_sorted(fact, "sorted_heavy", "day")
+    stored = spark.table("sorted_heavy")
+    assert stored.where("day = 0").select("_metadata.file_name").distinct().count() > 1
+    ranges = stored.groupBy("_metadata.file_name").agg(F.min("day"), F.max("day"))
+    bounds = sorted(tuple(r)[1:] for r in ranges.collect())
+    assert all(high <= low for (_, high), (low, _) in zip(bounds, bounds[1:]))
+    assert stored.count() == 20_000
