@@ -83,19 +83,24 @@ def key_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "inner",
+    source: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join on equal column names: `lookup` goes to every task if it was measured to be small,
     else both sides are shuffled with the heavy keys of `rows` split.
 
-    `how` is one of inner, left, left_semi, left_anti.
+    `how` is one of inner, left, left_semi, left_anti. `source` is what `lookup` was grouped
+    from, if it was: when that is small already, the grouping need not run to tell.
     """
-    if fits_broadcast(lookup, max_rows):
-        joined = rows.join(F.broadcast(lookup), list(on), how)
-        extra = [] if how in ("left_semi", "left_anti") else lookup.columns
-        return joined.select(*rows.columns, *[c for c in extra if c not in on])
-    return spread_join(rows, lookup, on, how, hot_rows)
+    small = (source is not None and fits_broadcast(source, max_rows)) or fits_broadcast(
+        lookup, max_rows
+    )
+    if not small:
+        return spread_join(rows, lookup, on, how, hot_rows)
+    joined = rows.join(F.broadcast(lookup), list(on), how)
+    extra = [] if how in ("left_semi", "left_anti") else lookup.columns
+    return joined.select(*rows.columns, *[c for c in extra if c not in on])
 
 
 def match_catalogue(
@@ -127,13 +132,14 @@ def match_catalogue(
     lookup = catalogue.select(
         *[compared(c, round_to.get(e)).alias(key) for key, (e, c) in sides], *take
     ).dropna(subset=keys)
+    source = lookup
     if one_match == list(take)[0] and len(take) == 1:
         lookup = lowest_per_key(lookup, keys, one_match)
     elif one_match:
         lookup = lookup.groupBy(*keys).agg(
             F.min_by(F.struct(*take), F.struct(one_match)).alias("_first")
         ).select(*keys, "_first.*")
-    return key_join(plays, lookup, keys, how, **limits).drop(*keys)
+    return key_join(plays, lookup, keys, how, source, **limits).drop(*keys)
 
 
 def star_join(fact: DataFrame, *dimensions: tuple[DataFrame, str, str]) -> DataFrame:

@@ -19,8 +19,11 @@ from starloom.operators.rows import earliest_per_key, latest_per_key
 def batch_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The distinct keys of a batch; sent to every task if they were measured to be few, so that
     a large target is not shuffled to meet them."""
-    distinct = batch.select(*keys).distinct()
-    return F.broadcast(distinct) if fits_broadcast(distinct) else distinct
+    named = batch.select(*keys)
+    distinct = named.distinct()
+    # Most batches are small before repeated keys are dropped, which is quicker to tell.
+    small = fits_broadcast(named) or fits_broadcast(distinct)
+    return F.broadcast(distinct) if small else distinct
 
 
 def without_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,5 +80,6 @@ def delete_then_insert(
 
     The target may hold many rows per key, so the anti join splits heavy keys.
     """
-    kept = key_join(target, staged.select(*keys).distinct(), keys, "left_anti", **limits)
+    named = staged.select(*keys)
+    kept = key_join(target, named.distinct(), keys, "left_anti", named, **limits)
     return kept.unionByName(insert.select(*target.columns).distinct())

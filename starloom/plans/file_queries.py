@@ -96,33 +96,29 @@ def _write_raw(t: Tables, folder: str) -> None:
     _song_records(t).write.json(f"{folder}/{lake.SONG_FOLDER}")
 
 
-def _spark(t: Tables) -> SparkSession:
-    return t["region"].sparkSession
-
-
 @query
 def json_with_schema(t: Tables) -> DataFrame:
     """Line-JSON in nested folders, read with a schema."""
-    folder = fresh_folder(_spark(t))
+    folder = fresh_folder(t.spark)
     nested = t["events"].withColumn("year", F.year("ts")).withColumn("day", F.dayofmonth("ts"))
     nested = nested.withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp")))
     nested.write.partitionBy("year", "day").json(folder)
     schema = T.StructType([f for f in nested.schema.fields if f.name not in ("year", "day")])
-    return files.read_json(_spark(t), folder, schema)
+    return files.read_json(t.spark, folder, schema)
 
 
 @query
 def json_inferred(t: Tables) -> DataFrame:
     """Line-JSON with the schema found in the data."""
-    folder = fresh_folder(_spark(t))
+    folder = fresh_folder(t.spark)
     t["customer"].select("c_custkey", "c_name", "c_acctbal").write.json(folder)
-    return files.read_json_inferred(_spark(t), folder)
+    return files.read_json_inferred(t.spark, folder)
 
 
 @query
 def stage_by_mapping(t: Tables) -> DataFrame:
     """Nested line-JSON to staging columns by a mapping of field paths, in a table."""
-    spark = _spark(t)
+    spark = t.spark
     folder, database = fresh_folder(spark), fresh_database(spark)
     who = F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("kind"))
     t["events"].select("event_id", who.alias("user")).write.json(folder)
@@ -145,21 +141,21 @@ def stage_by_mapping(t: Tables) -> DataFrame:
 @query
 def delimited_gzip_parts(t: Tables) -> DataFrame:
     """Many gzip files without a header, read with a schema."""
-    folder = fresh_folder(_spark(t))
+    folder = fresh_folder(t.spark)
     sold = t["lineitem"].drop("l_shipdate")
     spread = sold.repartition(16)
     file_sinks.write_delimited(spread, folder, ";", header=False, compression="gzip")
-    return files.read_delimited(_spark(t), folder, sold.schema, ";", header_rows=0)
+    return files.read_delimited(t.spark, folder, sold.schema, ";", header_rows=0)
 
 
 @query
 def delimited_with_header(t: Tables) -> DataFrame:
     """Tab-separated with a header: all text, then types inferred."""
-    folder = fresh_folder(_spark(t))
+    folder = fresh_folder(t.spark)
     written = t["orders"].select("o_orderkey", "o_totalprice", "o_orderstatus")
     file_sinks.write_delimited(written, folder, sep="\t")
-    as_text = files.read_delimited(_spark(t), folder, sep="\t")
-    inferred = files.read_delimited(_spark(t), folder, sep="\t", infer=True)
+    as_text = files.read_delimited(t.spark, folder, sep="\t")
+    inferred = files.read_delimited(t.spark, folder, sep="\t", infer=True)
     return inferred.select(
         F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_totalprice"
     ).join(
@@ -171,18 +167,18 @@ def delimited_with_header(t: Tables) -> DataFrame:
 @query
 def parquet_partitioned(t: Tables) -> DataFrame:
     """Orders in folders by year and month; one year is read back."""
-    folder = fresh_folder(_spark(t))
+    folder = fresh_folder(t.spark)
     dated = t["orders"].withColumns({"y": F.year("o_orderdate"), "m": F.month("o_orderdate")})
     for _ in range(2):
         file_sinks.write_parquet(dated, folder, ["y", "m"], ["o_orderdate"])
-    back = _spark(t).read.parquet(folder).where("y = 1997")
+    back = t.spark.read.parquet(folder).where("y = 1997")
     return back.select("o_orderkey", "o_orderdate", "y", "m")
 
 
 @query
 def partitions_replaced(t: Tables) -> DataFrame:
     """One month of the stored orders is rewritten from itself; the other months stay."""
-    folder = fresh_folder(_spark(t))
+    folder = fresh_folder(t.spark)
     dated = t["orders"].select(
         "o_orderkey",
         "o_orderstatus",
@@ -190,11 +186,11 @@ def partitions_replaced(t: Tables) -> DataFrame:
         F.month("o_orderdate").alias("m"),
     )
     file_sinks.write_parquet(dated, folder, ["y", "m"])
-    month = _spark(t).read.parquet(folder).where("y = 1997 AND m = 12")
+    month = t.spark.read.parquet(folder).where("y = 1997 AND m = 12")
     file_sinks.replace_partitions(
         month.withColumn("o_orderstatus", F.lit("CLOSED")), folder, ["y", "m"]
     )
-    return _spark(t).read.parquet(folder)
+    return t.spark.read.parquet(folder)
 
 
 @query
@@ -243,7 +239,7 @@ def log_parse_lines(t: Tables) -> DataFrame:
 @query
 def load_and_summarise(t: Tables) -> DataFrame:
     """Delimited file to table, checked for rows, then summarised into a table."""
-    spark = _spark(t)
+    spark = t.spark
     folder, database = fresh_folder(spark), fresh_database(spark)
     sold = t["lineitem"].select("l_partkey", "l_quantity")
     file_sinks.write_delimited(sold, folder)
@@ -260,7 +256,7 @@ def load_and_summarise(t: Tables) -> DataFrame:
 @query
 def dimension_reload(t: Tables) -> DataFrame:
     """A dimension cleared and loaded, then appended to, with a bare insert of fact rows."""
-    spark = _spark(t)
+    spark = t.spark
     database = fresh_database(spark)
     people = t["customer"].select("c_custkey", "c_mktsegment")
     spec = schemas.TableSpec("people", people.schema)
@@ -277,7 +273,7 @@ def dimension_reload(t: Tables) -> DataFrame:
 @query
 def bucketed_star(t: Tables) -> DataFrame:
     """The report by date on line items and parts that share their distribution key."""
-    spark = _spark(t)
+    spark = t.spark
     database = fresh_database(spark)
     specs = [
         schemas.TableSpec("lineitem", t["lineitem"].schema, (), (), ("l_partkey",), 8, ("l_orderkey",)),
@@ -287,15 +283,21 @@ def bucketed_star(t: Tables) -> DataFrame:
     for spec in specs:
         layouts.store(t[spec.name], f"{database}.{spec.name}", spec)
     stored = {spec.name: spark.table(f"{database}.{spec.name}") for spec in specs}
-    stored |= {name: t[name] for name in ("customer", "supplier")}
-    stored |= {name: layout.replicated(t[name]) for name in ("nation", "region")}
-    return star_queries.order_star(stored)["star_by_date"]
+    return star_queries.order_by_date(stored)
+
+
+@query
+def replicated_star(t: Tables) -> DataFrame:
+    """The report by two dimensions with the dimensions that fit copied to every task."""
+    small = ("part", "supplier", "nation", "region")
+    copied = {name: layout.replicated(t[name]) for name in small}
+    return star_queries.order_two_dim({**copied, "lineitem": t["lineitem"], "orders": t["orders"]})
 
 
 @query
 def lake_users(t: Tables) -> DataFrame:
     """Users table of the data-lake job, run on JSON files."""
-    spark = _spark(t)
+    spark = t.spark
     folder, out = fresh_folder(spark), fresh_folder(spark)
     _write_raw(t, folder)
     lake.run(spark, folder, out, partitions={"songs_table": ("year",)})
@@ -312,7 +314,7 @@ def _seen(songplays: DataFrame) -> DataFrame:
 @query
 def scheduled_songplays(t: Tables) -> DataFrame:
     """Fact table of the scheduled load, run twice on JSON files."""
-    spark = _spark(t)
+    spark = t.spark
     folder, database = fresh_folder(spark), fresh_database(spark)
     _write_raw(t, folder)
     for _ in range(2):
@@ -325,7 +327,7 @@ def scheduled_songplays(t: Tables) -> DataFrame:
 @query
 def stream_songplays(t: Tables) -> DataFrame:
     """Fact table filled by the file stream in several batches, with a file that comes twice."""
-    spark = _spark(t)
+    spark = t.spark
     folder, checkpoint = fresh_folder(spark), fresh_folder(spark)
     database = fresh_database(spark)
     tables.create_tables(spark, schemas.STAR_TABLES, database)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import statistics
 import time
 from collections.abc import Callable, Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.wide import percent_improvement
+from starloom.plans.star_queries import Report
 from starloom.schemas import TableSpec
 from starloom.sinks import layout, tables
 from starloom.sources.files import read_delimited
@@ -52,7 +54,7 @@ def seconds_of(query: Callable[[], DataFrame], runs: int = 3) -> float:
 
 def compare_query_times(
     spark: SparkSession,
-    reports: Callable[[Mapping[str, DataFrame]], dict[str, DataFrame]],
+    reports: Mapping[str, Report],
     plain: Mapping[str, DataFrame],
     laid_out: Mapping[str, DataFrame],
     runs: int = 3,
@@ -60,8 +62,7 @@ def compare_query_times(
     """Seconds of each report on the tables of both layouts, and the improvement in percent."""
 
     def timed(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
-        queries = list(reports(tables))
-        rows = [(q, seconds_of(lambda q=q: reports(tables)[q], runs)) for q in queries]
+        rows = [(q, seconds_of(partial(report, tables), runs)) for q, report in reports.items()]
         return spark.createDataFrame(rows, f"query string, {name} double")
 
     both = timed(plain, "plain").join(timed(laid_out, "laid_out"), "query")

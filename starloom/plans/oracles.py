@@ -434,3 +434,4 @@ ORACLES: dict[str, str] = {
 # The same result by another way of joining.
 for _name in ("fact_enrich_left", "fact_enrich_title", "delete_then_insert"):
     ORACLES[f"{_name}_spread"] = ORACLES[_name]
+ORACLES["replicated_star"] = ORACLES["star_two_dim"]

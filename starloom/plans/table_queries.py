@@ -10,26 +10,9 @@ from pyspark.sql import functions as F
 from starloom.functions import calendar, keys, text, wide
 from starloom.operators import aggregates, joins, merge, nested, quality, rows
 from starloom.plans import star_queries
+from starloom.schemas import GIVEN_TABLES
 from starloom.sources.tables import Tables
 
-# Names of the given tables.
-TABLE_NAMES = (
-    "region",
-    "nation",
-    "customer",
-    "supplier",
-    "part",
-    "orders",
-    "lineitem",
-    "events",
-    "documents",
-    "embeddings",
-    "pages",
-    "benchmark",
-    "labels",
-    "conversations",
-)
-
 Query = Callable[[Tables], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -41,7 +24,7 @@ def query(function: Query) -> Query:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def on_folder(function: Query) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: function(Tables(spark, folder, TABLE_NAMES))
+        return lambda spark, folder: function(Tables(spark, folder, GIVEN_TABLES))
 
     return {name: on_folder(function) for name, function in _QUERIES.items()}
 
@@ -237,22 +220,22 @@ def fact_enrich_one_match(t: Tables) -> DataFrame:
 
 @query
 def star_one_dim(t: Tables) -> DataFrame:
-    return star_queries.order_star(t)["star_one_dim"]
+    return star_queries.order_one_dim(t)
 
 
 @query
 def star_two_dim(t: Tables) -> DataFrame:
-    return star_queries.order_star(t)["star_two_dim"]
+    return star_queries.order_two_dim(t)
 
 
 @query
 def star_drill(t: Tables) -> DataFrame:
-    return star_queries.order_star(t)["star_drill"]
+    return star_queries.order_drill(t)
 
 
 @query
 def star_by_date(t: Tables) -> DataFrame:
-    return star_queries.order_star(t)["star_by_date"]
+    return star_queries.order_by_date(t)
 
 
 @query
@@ -417,7 +400,7 @@ def fact_append(t: Tables) -> DataFrame:
 @query
 def dq_checks(t: Tables) -> DataFrame:
     rules = [quality.has_rows("orders"), quality.never_null("orders", "o_orderkey")]
-    return quality.run_rules(t["orders"].sparkSession, rules, t)
+    return quality.run_rules(t.spark, rules, t)
 
 
 @query

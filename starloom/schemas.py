@@ -11,7 +11,9 @@ _TYPES = {
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
+    "float[]": T.ArrayType(T.FloatType()),
     "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
     "decimal(1,0)": T.DecimalType(1, 0),
     "decimal(8,2)": T.DecimalType(8, 2),
 }
@@ -103,6 +105,41 @@ SSB_LINEORDER = _columns(
     "lo_tax int, lo_commitdate int, lo_shipmode string"
 )
 
+# The given tables, their names and columns.
+GIVEN_TABLES = {
+    "region": _columns("r_regionkey int, r_name string"),
+    "nation": _columns("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": _columns(
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": _columns("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    "part": _columns(
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": _columns(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": _columns(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": _columns(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "documents": _columns(
+        "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    ),
+    "embeddings": _columns("vec_id bigint, embedding float[], label int"),
+    "pages": _columns("page_id bigint, url string, html string"),
+    "benchmark": _columns("item_id bigint, text string"),
+    "labels": _columns("doc_id bigint, quality int, toxic int"),
+    "conversations": _columns("conv_id bigint, turn bigint, role string, text string"),
+}
+
 
 @dataclass(frozen=True)
 class TableSpec:

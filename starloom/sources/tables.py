@@ -9,24 +9,27 @@ from pyspark.sql import types as T
 
 
 class Tables(Mapping):
-    """The parquet tables of a folder by name, each read when first asked for."""
+    """The parquet tables of a folder by name, each read when first asked for.
 
-    def __init__(self, spark: SparkSession, folder: str, names: Iterable[str]):
-        self._spark, self._folder, self._names = spark, folder.rstrip("/"), list(names)
+    The schemas are given, so that no files are opened to find them.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType]):
+        self.spark = spark
+        self._folder, self._schemas = folder.rstrip("/"), schemas
         self._read: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._names:
-            raise KeyError(name)
         if name not in self._read:
-            self._read[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+            reader = self.spark.read.schema(self._schemas[name])
+            self._read[name] = reader.parquet(f"{self._folder}/{name}.parquet")
         return self._read[name]
 
     def __iter__(self):
-        return iter(self._names)
+        return iter(self._schemas)
 
     def __len__(self) -> int:
-        return len(self._names)
+        return len(self._schemas)
 
 
 def from_local(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:

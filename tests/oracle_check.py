@@ -14,7 +14,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from starloom.plans.table_queries import TABLE_NAMES  # noqa: E402
+from starloom.schemas import GIVEN_TABLES  # noqa: E402
 
 TYPES = {
     "bigint": "BIGINT",
@@ -30,7 +30,7 @@ TYPES = {
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
-    for name in TABLE_NAMES:
+    for name in GIVEN_TABLES:
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return connection
 
