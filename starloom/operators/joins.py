@@ -42,6 +42,22 @@ def fits_broadcast(
     return measured.n <= max_rows and (measured.size or 0) <= max_bytes
 
 
+def hot_keys(rows: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than `hot_rows` rows, as `_hot_<key>`, and how many shares to make of each.
+
+    Estimated from a share of the rows in which such a key shows up about a thousand times. An
+    estimate is enough: it decides how the rows are divided, never which rows there are. There
+    are at most about `rows / hot_rows` such keys.
+    """
+    fraction = min(1.0, 1000 / hot_rows)
+    seen = rows.select(*on) if fraction == 1.0 else rows.select(*on).sample(fraction, seed=7)
+    counted = seen.groupBy(*on).agg((F.count(F.lit(1)) / fraction).alias("_n"))
+    return counted.where(F.col("_n") > hot_rows).select(
+        *[F.col(key).alias(f"_hot_{key}") for key in on],
+        F.ceil(F.col("_n") / hot_rows).cast("int").alias("_shares"),
+    )
+
+
 def spread_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -51,26 +67,22 @@ def spread_join(
 ) -> DataFrame:
     """Join in which a key with many rows is split over several tasks.
 
-    A first pass counts the rows of every key (pre-aggregated in the map tasks). A key with
-    more than `hot_rows` rows gets one extra copy of its lookup rows per `hot_rows`, and its
-    own rows are dealt over those copies by a hash of their values, which stays the same
-    when a lost task runs again. The list of such keys has at most `rows / hot_rows` entries.
-    A null key matches nothing but is dealt out too.
+    The rows of a hot key are dealt over its shares by a hash of their values, which stays the
+    same when a lost task runs again, and its lookup rows are copied to every share. Every
+    other key is one share. A null key matches nothing but is dealt out too.
     """
-    counted = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counted.where(F.col("_n") > hot_rows).select(
-        *[F.col(key).alias(f"_hot_{key}") for key in on],
-        F.ceil(F.col("_n") / hot_rows).cast("int").alias("_copies"),
-    )
-    copies = F.coalesce("_copies", F.lit(1))
+    hot = F.broadcast(hot_keys(rows, on, hot_rows))
     hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    is_hot = F.col("_shares").isNotNull()
 
     def marked(side: DataFrame) -> DataFrame:
         same = [side[key].eqNullSafe(hot[f"_hot_{key}"]) for key in on]
-        return side.join(F.broadcast(hot), reduce(lambda a, b: a & b, same), "left")
+        return side.join(hot, reduce(lambda a, b: a & b, same), "left")
 
-    dealt = marked(rows).withColumn("_share", F.pmod(F.xxhash64(*hashed), copies).cast("int"))
-    copied = marked(lookup).withColumn("_share", F.explode(F.sequence(F.lit(0), copies - 1)))
+    share = F.pmod(F.xxhash64(*hashed), F.col("_shares")).cast("int")
+    shares = F.when(is_hot, F.sequence(F.lit(0), F.col("_shares") - 1)).otherwise(F.array(F.lit(0)))
+    dealt = marked(rows).withColumn("_share", F.when(is_hot, share).otherwise(F.lit(0)))
+    copied = marked(lookup).withColumn("_share", F.explode(shares))
     extra = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in on]
     joined = dealt.select(*rows.columns, "_share").join(
         copied.select(*lookup.columns, "_share"), [*on, "_share"], how

@@ -22,6 +22,9 @@ MATCHES = {
 
 LENGTH_DECIMALS = 3
 
+# What makes a play: two plays of a session in the same second differ in time or position.
+PLAY_KEY = ["sessionId", "userId", "ts", "itemInSession"]
+
 
 def catalogue_of(songs: DataFrame, artists: DataFrame) -> DataFrame:
     """The lookup side from the stored dimensions: each song with the name of its artist."""
@@ -46,16 +49,12 @@ def songplays(
     user, time and position in the session, so a repeated event is one play.
     """
     round_to = {"length": LENGTH_DECIMALS} if "length" in MATCHES[match] else {}
+    attributes = ["song", "artist", "length", "level", "location", "userAgent"]
+    once = rows.earliest_per_key(
+        plays(events).select(*PLAY_KEY, *attributes), PLAY_KEY, attributes
+    )
     matched = joins.match_catalogue(
-        rows.earliest_per_key(
-            plays(events).select(
-                keys.hash_key("sessionId", "userId", "ts", "itemInSession").alias("songplay_id"),
-                *["ts", "userId", "level", "song", "artist", "length"],
-                *["sessionId", "location", "userAgent"],
-            ),
-            ["songplay_id"],
-            ["song", "artist", "length", "level", "location", "userAgent"],
-        ),
+        once,
         catalogue,
         on=MATCHES[match],
         take=["song_id", "artist_id"],
@@ -66,7 +65,7 @@ def songplays(
     )
     start_time = calendar.ms_to_timestamp(F.col("ts"))
     return matched.select(
-        "songplay_id",
+        keys.hash_key(*PLAY_KEY).alias("songplay_id"),
         start_time.alias("start_time"),
         F.col("userId").alias("user_id"),
         "level",
