@@ -77,8 +77,16 @@ def date_attributes(day: Column) -> list[Column]:
 
 def calendar(spark: SparkSession, first: date, last: date) -> DataFrame:
     """One row per day from `first` to `last`, both included, with its attributes."""
-    days = spark.sql(
-        "SELECT explode(sequence(:first, :last, interval 1 day)) AS day",
-        args={"first": first, "last": last},
-    )
+    bounds = spark.createDataFrame([(first, last)], "first date, last date")
+    return _days(bounds)
+
+
+def calendar_of(rows: DataFrame, moment: str) -> DataFrame:
+    """One row per day from the earliest to the latest day of the rows, with its attributes."""
+    day = F.to_date(moment)
+    return _days(rows.agg(F.min(day).alias("first"), F.max(day).alias("last")))
+
+
+def _days(bounds: DataFrame) -> DataFrame:
+    days = bounds.select(F.explode(F.sequence("first", "last")).alias("day"))
     return days.select(*date_attributes(F.col("day")))

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import schemas
-from starloom.functions import calendar, keys, weblog
-from starloom.operators import joins, rows
-from starloom.plans import dimensions, facts, lake, layouts, load_check, star_queries, warehouse
+from starloom.functions import calendar, keys
+from starloom.operators import rows
+from starloom.plans import facts, lake, layouts, load_check, star_queries, warehouse
+from starloom.plans.play_queries import play_events, seen, song_records
 from starloom.plans.table_queries import query
 from starloom.session import shared_folder
 from starloom.sinks import files as file_sinks
@@ -48,52 +49,15 @@ def fresh_database(spark: SparkSession) -> str:
     return name
 
 
-# Plays from the given tables: a purchase is a play, the user's number is the part that was
-# played, and its name, brand and price are title, artist and length.
-
-
-def _play_events(t: Tables) -> DataFrame:
-    played = joins.star_join(t["events"], (t["part"], "user_id", "p_partkey"))
-    return played.select(
-        F.col("p_brand").alias("artist"),
-        F.concat(F.lit("First"), "user_id").alias("firstName"),
-        F.concat(F.lit("Last"), "user_id").alias("lastName"),
-        F.lit(0).alias("itemInSession"),
-        F.col("p_retailprice").alias("length"),
-        F.when(F.col("value") > 50, "paid").otherwise("free").alias("level"),
-        F.when(F.col("event_type") == "purchase", dimensions.PLAY_PAGE)
-        .otherwise(F.col("event_type"))
-        .alias("page"),
-        F.col("event_id").alias("sessionId"),
-        F.col("p_name").alias("song"),
-        calendar.epoch_ms(F.col("ts")).alias("ts"),
-        F.col("user_id").cast("string").alias("userId"),
-        F.year("ts").alias("year"),
-        F.date_format("ts", "MM").alias("month"),
-    )
-
-
-def _song_records(t: Tables) -> DataFrame:
-    return t["part"].select(
-        F.col("p_brand").alias("artist_id"),
-        F.col("p_brand").alias("artist_name"),
-        F.col("p_type").alias("artist_location"),
-        F.col("p_retailprice").alias("duration"),
-        F.col("p_partkey").cast("string").alias("song_id"),
-        F.col("p_name").alias("title"),
-        F.col("p_size").alias("year"),
-    )
-
-
 def _write_raw(t: Tables, folder: str) -> None:
     """Line-JSON as the jobs expect it: `log_data/yyyy/MM` and `song_data`."""
-    events = _play_events(t)
-    months = warehouse.months_of(events.select("year", F.col("month").cast("int").alias("month")))
-    for yyyymm in months:
-        of_month = (F.col("year") == yyyymm // 100) & (F.col("month") == f"{yyyymm % 100:02d}")
-        path = f"{folder}/{lake.EVENT_FOLDER}/{yyyymm // 100}/{yyyymm % 100:02d}"
-        events.where(of_month).drop("year", "month").write.json(path)
-    _song_records(t).write.json(f"{folder}/{lake.SONG_FOLDER}")
+    events = play_events(t)
+    played = calendar.ms_to_timestamp(F.col("ts"))
+    yyyymm = F.year(played) * 100 + F.month(played)
+    for month in [row.m for row in events.select(yyyymm.alias("m")).distinct().collect()]:
+        path = f"{folder}/{lake.EVENT_FOLDER}/{month // 100}/{month % 100:02d}"
+        events.where(yyyymm == month).write.json(path)
+    song_records(t).write.json(f"{folder}/{lake.SONG_FOLDER}")
 
 
 @query
@@ -209,33 +173,6 @@ def random_keys(t: Tables) -> DataFrame:
     return keyed.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("key").alias("n_keys"))
 
 
-@query
-def log_parse_lines(t: Tables) -> DataFrame:
-    """Access log lines made from the events, parsed and typed."""
-    seconds = F.date_trunc("second", "ts").cast("timestamp")
-    size = F.when(F.col("event_type") == "error", "-").otherwise(F.col("user_id").cast("string"))
-    request = F.concat(F.lit("GET /"), "event_type", F.lit("/"), F.col("event_id"))
-    line = F.concat_ws(
-        " ",
-        F.concat(F.lit("host"), F.col("user_id")),
-        F.lit("- -"),
-        F.concat(F.lit("["), F.date_format(seconds, calendar.LOG_TIME_FORMAT), F.lit("]")),
-        F.concat(F.lit('"'), request, F.lit(' HTTP/1.0"')),
-        F.when(F.col("event_type") == "error", "500").otherwise("200"),
-        size,
-    )
-    good, _ = weblog.parse_lines(t["events"].select(line.alias("value")))
-    return weblog.typed(good).select(
-        "host",
-        "method",
-        "endpoint",
-        "protocol",
-        "response_code",
-        "content_size_bytes",
-        F.col("logged_at").cast("timestamp_ntz").alias("logged_at"),
-    )
-
-
 @query
 def load_and_summarise(t: Tables) -> DataFrame:
     """Delimited file to table, checked for rows, then summarised into a table."""
@@ -304,13 +241,6 @@ def lake_users(t: Tables) -> DataFrame:
     return spark.read.parquet(f"{out}/users_table")
 
 
-def _seen(songplays: DataFrame) -> DataFrame:
-    started = F.col("start_time").cast("timestamp_ntz").alias("start_time")
-    return songplays.select(
-        "songplay_id", started, "user_id", "level", "song_id", "artist_id", "session_id", "month"
-    )
-
-
 @query
 def scheduled_songplays(t: Tables) -> DataFrame:
     """Fact table of the scheduled load, run twice on JSON files."""
@@ -321,7 +251,7 @@ def scheduled_songplays(t: Tables) -> DataFrame:
         warehouse.run(
             spark, f"{folder}/{lake.EVENT_FOLDER}", f"{folder}/{lake.SONG_FOLDER}", database
         )
-    return _seen(tables.current(spark, f"{database}.songplays"))
+    return seen(tables.current(spark, f"{database}.songplays"))
 
 
 @query
@@ -331,8 +261,7 @@ def stream_songplays(t: Tables) -> DataFrame:
     folder, checkpoint = fresh_folder(spark), fresh_folder(spark)
     database = fresh_database(spark)
     tables.create_tables(spark, schemas.STAR_TABLES, database)
-    events = _play_events(t).drop("year", "month")
-    catalogue = _song_records(t)
+    events, catalogue = play_events(t), song_records(t)
     events.repartition(4).write.json(f"{folder}/first")
     events.where("level = 'paid'").write.json(f"{folder}/again")
     query = ingest.stream_songplays(
@@ -346,4 +275,4 @@ def stream_songplays(t: Tables) -> DataFrame:
         files_per_batch=2,
     )
     query.awaitTermination()
-    return _seen(tables.current(spark, f"{database}.songplays"))
+    return seen(tables.current(spark, f"{database}.songplays"))

@@ -427,6 +427,178 @@ ORACLES: dict[str, str] = {
         )
         WHERE rn = 1
     """,
+    "play_users": r"""
+        SELECT CAST(user_id AS VARCHAR) AS user_id, 'First' || user_id AS first_name,
+        'Last' || user_id AS last_name, CAST(NULL AS VARCHAR) AS gender,
+        CASE WHEN value > 50 THEN 'paid' ELSE 'free' END AS level
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC
+            ) AS rn
+            FROM events
+            JOIN part ON user_id = p_partkey
+            WHERE event_type = 'purchase'
+        )
+        WHERE rn = 1
+    """,
+    "play_users_first": r"""
+        SELECT CAST(user_id AS VARCHAR) AS user_id, 'First' || user_id AS first_name,
+        'Last' || user_id AS last_name, CAST(NULL AS VARCHAR) AS gender,
+        CASE WHEN value > 50 THEN 'paid' ELSE 'free' END AS level
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 ASC, event_id ASC
+            ) AS rn
+            FROM events
+            JOIN part ON user_id = p_partkey
+            WHERE event_type = 'purchase'
+        )
+        WHERE rn = 1
+    """,
+    "play_users_all": r"""
+        SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, 'First' || user_id AS first_name,
+        'Last' || user_id AS last_name, CAST(NULL AS VARCHAR) AS gender,
+        CASE WHEN value > 50 THEN 'paid' ELSE 'free' END AS level
+        FROM events
+        JOIN part ON user_id = p_partkey
+        WHERE event_type = 'purchase'
+    """,
+    "play_songs": r"""
+        SELECT CAST(p_partkey AS VARCHAR) AS song_id, p_name AS title, p_brand AS artist_id,
+        p_retailprice AS duration, p_size AS "year"
+        FROM part
+    """,
+    "play_artists": r"""
+        SELECT p_brand AS artist_id, p_brand AS name, p_type AS location,
+        CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY p_brand ORDER BY p_size DESC, CAST(p_partkey AS VARCHAR) DESC
+            ) AS rn
+            FROM part
+        )
+        WHERE rn = 1
+    """,
+    "play_time": r"""
+        SELECT start_time, CAST(extract(hour FROM start_time) AS INT) AS hour,
+        CAST(extract(day FROM start_time) AS INT) AS day,
+        CAST(extract(week FROM start_time) AS INT) AS week,
+        CAST(extract(isodow FROM start_time) - 1 AS INT) AS weekday,
+        CAST(extract(year FROM start_time) AS INT) AS year,
+        CAST(extract(month FROM start_time) AS INT) AS month
+        FROM (
+            SELECT DISTINCT epoch_ms(epoch_us(ts) // 1000) AS start_time
+            FROM events
+            JOIN part ON user_id = p_partkey
+            WHERE event_type = 'purchase'
+        )
+    """,
+    "play_time_of_facts": r"""
+        SELECT start_time, CAST(extract(hour FROM start_time) AS INT) AS hour,
+        CAST(extract(day FROM start_time) AS INT) AS day,
+        CAST(extract(week FROM start_time) AS INT) AS week,
+        CAST(extract(isodow FROM start_time) - 1 AS INT) AS weekday,
+        CAST(extract(year FROM start_time) AS INT) AS year,
+        CAST(extract(month FROM start_time) AS INT) AS month
+        FROM (
+            SELECT DISTINCT epoch_ms(epoch_us(ts) // 1000) AS start_time
+            FROM events
+            JOIN part ON user_id = p_partkey
+            WHERE event_type = 'purchase'
+        )
+    """,
+    "play_facts_title": r"""
+        SELECT event_id AS session_id, catalogue.song_id, catalogue.artist_id
+        FROM events
+        JOIN part AS played ON user_id = played.p_partkey
+        JOIN (
+            SELECT p_name, min(CAST(p_partkey AS VARCHAR)) AS song_id,
+            arg_min(p_brand, CAST(p_partkey AS VARCHAR)) AS artist_id
+            FROM part
+            GROUP BY p_name
+        ) catalogue USING (p_name)
+        WHERE event_type = 'purchase'
+    """,
+    "play_facts_title_artist": r"""
+        SELECT event_id AS session_id, catalogue.song_id, catalogue.artist_id
+        FROM events
+        JOIN part AS played ON user_id = played.p_partkey
+        JOIN (
+            SELECT p_name, p_brand, min(CAST(p_partkey AS VARCHAR)) AS song_id,
+            arg_min(p_brand, CAST(p_partkey AS VARCHAR)) AS artist_id
+            FROM part
+            GROUP BY p_name, p_brand
+        ) catalogue USING (p_name, p_brand)
+        WHERE event_type = 'purchase'
+    """,
+    "who_heard_what": r"""
+        SELECT song.p_name AS title, song.p_brand AS name,
+        'First' || user_id || ' Last' || user_id AS full_name
+        FROM events
+        JOIN part AS song ON user_id = song.p_partkey
+        WHERE event_type = 'purchase'
+    """,
+    "most_prolific_years": r"""
+        WITH songs_per_year AS (
+            SELECT CAST(p_size AS VARCHAR) AS "year", count(1) AS n
+            FROM part
+            WHERE p_size <> 0
+            GROUP BY p_size
+        )
+        SELECT n AS num_of_songs, string_agg("year", ', ' ORDER BY "year") AS years
+        FROM songs_per_year
+        GROUP BY n
+        ORDER BY n DESC
+        LIMIT 3
+    """,
+    "longest_songs": r"""
+        SELECT p_brand AS name, p_name AS title, p_retailprice AS duration
+        FROM part
+        ORDER BY p_retailprice DESC, CAST(p_partkey AS VARCHAR)
+        LIMIT 10
+    """,
+    "calendar_month_revenue": r"""
+        SELECT CAST(extract(month FROM o_orderdate) AS INT) AS m,
+        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+        FROM orders
+        GROUP BY 1
+    """,
+    "calendar_days": r"""
+        SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS d_datekey, strftime(d, '%B %-d, %Y') AS d_date,
+        strftime(d, '%A') AS d_dayofweek, strftime(d, '%B') AS d_month,
+        CAST(extract(year FROM d) AS INT) AS d_year,
+        CAST(strftime(d, '%Y%m') AS INT) AS d_yearmonthnum, strftime(d, '%b%Y') AS d_yearmonth,
+        CAST(extract(dow FROM d) + 1 AS INT) AS d_daynuminweek,
+        CAST(extract(day FROM d) AS INT) AS d_daynuminmonth,
+        CAST(extract(doy FROM d) AS INT) AS d_daynuminyear,
+        CAST(extract(month FROM d) AS INT) AS d_monthnuminyear,
+        CAST(extract(week FROM d) AS INT) AS d_weeknuminyear,
+        CASE WHEN extract(dow FROM d) = 6 THEN '1' ELSE '0' END AS d_lastdayinweekfl,
+        CASE WHEN CAST(d AS DATE) = last_day(d) THEN '1' ELSE '0' END AS d_lastdayinmonthfl,
+        CASE WHEN extract(isodow FROM d) < 6 THEN '1' ELSE '0' END AS d_weekdayfl
+        FROM (
+            SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS d
+            FROM orders
+        )
+    """,
+    "log_parse_map": r"""
+        SELECT 'host' || user_id AS host, '/' || event_type || '/' || event_id AS endpoint,
+        CASE WHEN event_type = 'error' THEN '-' ELSE CAST(user_id AS VARCHAR) END AS content_size
+        FROM events
+    """,
+    "log_split_fields": r"""
+        SELECT 'host' || user_id AS host,
+        CASE WHEN event_type = 'error' THEN '-' ELSE CAST(user_id AS VARCHAR) END AS content_size
+        FROM events
+    """,
+    "log_largest_responses": r"""
+        SELECT '/' || event_type || '/' || event_id AS endpoint, user_id AS content_size_bytes
+        FROM events
+        WHERE event_type <> 'error'
+        ORDER BY user_id DESC, endpoint
+        LIMIT 10
+    """,
+    "play_facts": _SONGPLAYS,
     "scheduled_songplays": _SONGPLAYS,
     "stream_songplays": _SONGPLAYS,
 }
@@ -435,3 +607,5 @@ ORACLES: dict[str, str] = {
 for _name in ("fact_enrich_left", "fact_enrich_title", "delete_then_insert"):
     ORACLES[f"{_name}_spread"] = ORACLES[_name]
 ORACLES["replicated_star"] = ORACLES["star_two_dim"]
+ORACLES["monthly_revenue_in_sql"] = ORACLES["monthly_revenue"]
+ORACLES["dq_rule_queries"] = ORACLES["dq_checks"]

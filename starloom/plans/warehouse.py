@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.functions import calendar
 from starloom.operators import merge, quality
 from starloom.plans import dimensions, facts
 from starloom.sinks import tables
@@ -61,10 +62,13 @@ def in_months(rows: DataFrame, months: list[int]) -> DataFrame:
 
 
 def merge_time(spark: SparkSession, events: DataFrame, table: str) -> None:
-    moments = dimensions.time(events)
-    stored = in_months(tables.current(spark, table), months_of(moments))
-    added = merge.unseen(stored, moments, ["start_time"])
-    tables.append_rows(added.hint("rebalance", "year", "month"), table)
+    played = calendar.ms_to_timestamp(F.col("ts"))
+    months = months_of(
+        dimensions.plays(events).select(F.year(played).alias("year"), F.month(played).alias("month"))
+    )
+    stored = in_months(tables.current(spark, table), months)
+    added = merge.unseen(stored, dimensions.time(events), ["start_time"])
+    tables.append_partitions(added, table, ["year", "month"], ["start_time"])
 
 
 def written_batch(batch: DataFrame, table: str) -> tuple[DataFrame, list[int]]:
@@ -84,7 +88,7 @@ def append_songplays(batch: DataFrame, table: str) -> list[int]:
     if months:
         stored = in_months(tables.current(batch.sparkSession, table), months)
         added = merge.unseen(stored, written, ["songplay_id"])
-        tables.append_rows(added.hint("rebalance", "year", "month"), table)
+        tables.append_partitions(added, table, ["year", "month"], ["start_time"])
     return months
 
 
@@ -100,7 +104,8 @@ def replace_songplays(batch: DataFrame, table: str) -> list[int]:
         kept = merge.without_keys(
             stored, merge.batch_keys(written, ["songplay_id"]), ["songplay_id"]
         )
-        tables.replace_partitions(kept.unionByName(written), table, ["year", "month"])
+        merged = kept.unionByName(written)
+        tables.replace_partitions(merged, table, ["year", "month"], ["start_time"])
     return months
 
 

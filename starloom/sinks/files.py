@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def _prepared(rows: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+def prepared(rows: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+    """The rows as they should reach the writing tasks."""
     if partition_by:
         # Brings the rows of a folder together so that it gets few files. AQE then splits a
         # folder that is too large for one task and merges those that are small.
@@ -28,7 +29,7 @@ def write_parquet(
 
     Sorted files have narrow value ranges per row group, which later filters skip by.
     """
-    writer = _prepared(rows, partition_by, sort_by).write.mode(mode)
+    writer = prepared(rows, partition_by, sort_by).write.mode(mode)
     if partition_by:
         # A static overwrite: folders of earlier runs that this run has no rows for go too.
         writer = writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
@@ -42,7 +43,7 @@ def replace_partitions(
 
     `rows` may be read from the same path.
     """
-    _prepared(rows, partition_by, sort_by).write.mode("overwrite").option(
+    prepared(rows, partition_by, sort_by).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*partition_by).parquet(path)
 

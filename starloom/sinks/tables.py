@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.schemas import TableSpec
+from starloom.sinks.files import prepared
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -87,10 +88,19 @@ def create_table_as(rows: DataFrame, name: str, partition_by: Sequence[str] = ()
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
-def replace_partitions(rows: DataFrame, name: str, partition_by: Sequence[str]) -> None:
+def append_partitions(
+    rows: DataFrame, name: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
+) -> None:
+    """Appends to a partitioned table, with few files per partition and sorted within them."""
+    append_rows(prepared(rows, partition_by, sort_by), name)
+
+
+def replace_partitions(
+    rows: DataFrame, name: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()
+) -> None:
     """Replaces only the partitions that `rows` has values for, once all tasks are done."""
     spark = rows.sparkSession
-    ordered = rows.select(*spark.table(name).columns).hint("rebalance", *partition_by)
+    ordered = prepared(rows, partition_by, sort_by).select(*spark.table(name).columns)
     with _overwrite_mode(spark, "dynamic"):
         ordered.write.insertInto(name, overwrite=True)
 
