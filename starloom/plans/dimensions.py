@@ -42,8 +42,8 @@ ARTIST_ORDER = ["year", "song_id", "name", "location"]
 
 
 def plays(events: DataFrame) -> DataFrame:
-    """Play events of known users."""
-    return rows.with_keys(rows.where_value(events, "page", PLAY_PAGE), "userId")
+    """Play events of known users at a known time."""
+    return rows.with_keys(rows.where_value(events, "page", PLAY_PAGE), "userId", "ts")
 
 
 def user_rows(events: DataFrame) -> DataFrame:

@@ -212,14 +212,18 @@ def bucketed_star(t: Tables) -> DataFrame:
     """The report by date on line items and parts that share their distribution key."""
     spark = t.spark
     database = fresh_database(spark)
+
+    def spec(name: str, **laid_out) -> schemas.TableSpec:
+        return schemas.TableSpec(name, t[name].schema, **laid_out)
+
     specs = [
-        schemas.TableSpec("lineitem", t["lineitem"].schema, (), (), ("l_partkey",), 8, ("l_orderkey",)),
-        schemas.TableSpec("part", t["part"].schema, (), (), ("p_partkey",), 8, ("p_partkey",)),
-        schemas.TableSpec("orders", t["orders"].schema, sort_by=("o_orderdate",)),
+        spec("lineitem", bucket_by=("l_partkey",), buckets=8, sort_by=("l_orderkey",)),
+        spec("part", bucket_by=("p_partkey",), buckets=8),
+        spec("orders", sort_by=("o_orderdate",)),
     ]
-    for spec in specs:
-        layouts.store(t[spec.name], f"{database}.{spec.name}", spec)
-    stored = {spec.name: spark.table(f"{database}.{spec.name}") for spec in specs}
+    for each in specs:
+        layouts.store(t[each.name], f"{database}.{each.name}", each)
+    stored = {each.name: spark.table(f"{database}.{each.name}") for each in specs}
     return star_queries.order_by_date(stored)
 
 

@@ -27,7 +27,9 @@ def star_two_dim(fact: DataFrame, *dimensions: Dimension, revenue: Column, by) -
     return sum_by(star_join(fact, *dimensions), revenue, *by)
 
 
-def star_drill(fact: DataFrame, *dimensions: Dimension, revenue: Column, by, year: str) -> DataFrame:
+def star_drill(
+    fact: DataFrame, *dimensions: Dimension, revenue: Column, by, year: str
+) -> DataFrame:
     """As `star_two_dim`, in order of year, the largest sum of a year first."""
     sums = star_two_dim(fact, *dimensions, revenue=revenue, by=by)
     ties = [name for name in sums.columns if name not in (year, "revenue")]
@@ -123,7 +125,7 @@ def _year() -> Column:
 
 
 def in_dates(rows: DataFrame, moment: str, first: str, end: str) -> DataFrame:
-    """From `first` up to, not including, `end`: plain comparisons, so the file scan can use them."""
+    """From `first` up to, not including, `end`: plain comparisons, which the scan can use."""
     bounds = [F.lit(day).cast("timestamp_ntz") for day in (first, end)]
     return rows.where((F.col(moment) >= bounds[0]) & (F.col(moment) < bounds[1]))
 

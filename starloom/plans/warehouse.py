@@ -10,24 +10,36 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom import schemas
 from starloom.functions import calendar
 from starloom.operators import merge, quality
 from starloom.plans import dimensions, facts
 from starloom.sinks import tables
-from starloom.sources.files import by_name, read_json, run_date_path
+from starloom.sources.files import by_name, read_json, read_json_checked, run_date_path
 
 
 def stage(
     spark: SparkSession,
     path: str,
-    schema,
+    schema: T.StructType,
     table: str,
     run_date: date | None = None,
+    keep_rejects: bool = False,
 ) -> None:
-    """Clears a staging table and loads the files of the run's month, or all of them."""
-    rows = read_json(spark, run_date_path(path, run_date), schema)
+    """Clears a staging table and loads the files of the run's month, or all of them.
+
+    A field that does not fit is null, and so is every field of a line that cannot be parsed.
+    With `keep_rejects` such lines go to `<table>_rejects` with their file instead; that takes
+    a second pass over the files.
+    """
+    folder = run_date_path(path, run_date)
+    if keep_rejects:
+        rows, rejected = read_json_checked(spark, folder, schema)
+        tables.create_table_as(rejected, f"{table}_rejects")
+    else:
+        rows = read_json(spark, folder, schema)
     tables.load_table(by_name(rows, schema), table)
 
 
@@ -57,15 +69,14 @@ def months_of(rows: DataFrame) -> list[int]:
 
 
 def in_months(rows: DataFrame, months: list[int]) -> DataFrame:
-    """Rows of those months: a condition on partition columns alone, so other folders are not read."""
+    """Rows of those months. The condition is on partition columns, so no other folder is read."""
     return rows.where((F.col("year") * 100 + F.col("month")).isin(months))
 
 
 def merge_time(spark: SparkSession, events: DataFrame, table: str) -> None:
     played = calendar.ms_to_timestamp(F.col("ts"))
-    months = months_of(
-        dimensions.plays(events).select(F.year(played).alias("year"), F.month(played).alias("month"))
-    )
+    parts = [F.year(played).alias("year"), F.month(played).alias("month")]
+    months = months_of(dimensions.plays(events).select(*parts))
     stored = in_months(tables.current(spark, table), months)
     added = merge.unseen(stored, dimensions.time(events), ["start_time"])
     tables.append_partitions(added, table, ["year", "month"], ["start_time"])
@@ -154,6 +165,7 @@ def run(
     run_date: date | None = None,
     match: str = "title_artist_length",
     reprocess: bool = False,
+    keep_rejects: bool = False,
 ) -> list:
     """One run of the load. Returns the results of the checks; raises if one fails.
 
@@ -164,8 +176,9 @@ def run(
         return tables.qualified(table, database)
 
     tables.create_tables(spark, schemas.STAGING_TABLES + schemas.STAR_TABLES, database)
-    stage(spark, events_path, schemas.PLAY_EVENTS, name("staging_events"), run_date)
-    stage(spark, songs_path, schemas.SONG_CATALOGUE, name("staging_songs"))
+    songs, plays = schemas.SONG_CATALOGUE, schemas.PLAY_EVENTS
+    stage(spark, events_path, plays, name("staging_events"), run_date, keep_rejects)
+    stage(spark, songs_path, songs, name("staging_songs"), keep_rejects=keep_rejects)
     events, catalogue = spark.table(name("staging_events")), spark.table(name("staging_songs"))
 
     # The dimensions do not depend on each other, so their jobs run side by side. They come

@@ -50,7 +50,9 @@ def create_tables(
         spark.sql(" ".join(clauses))
 
 
-def drop_tables(spark: SparkSession, specs: Iterable[TableSpec], database: str | None = None) -> None:
+def drop_tables(
+    spark: SparkSession, specs: Iterable[TableSpec], database: str | None = None
+) -> None:
     for spec in specs:
         name = qualified(spec.name, database)
         for version in _versions(spark, name):

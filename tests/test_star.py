@@ -146,7 +146,8 @@ def test_lake(spark, raw, tmp_path):
 
 def star_tables(spark, database):
     return {
-        spec.name: values(tables.current(spark, f"{database}.{spec.name}")) for spec in schemas.STAR_TABLES
+        spec.name: values(tables.current(spark, f"{database}.{spec.name}"))
+        for spec in schemas.STAR_TABLES
     }
 
 
@@ -166,6 +167,17 @@ def test_scheduled_load_is_repeatable(spark, raw, database):
     assert star_tables(spark, database) == once
 
 
+def test_scheduled_load_keeps_rejected_lines(spark, raw, database):
+    paths = (f"{raw}/log_data", f"{raw}/song_data", database)
+    warehouse.run(spark, *paths)
+    once = star_tables(spark, database)
+    warehouse.run(spark, *paths, keep_rejects=True)
+    assert star_tables(spark, database) == once
+    rejected = spark.table(f"{database}.staging_events_rejects").collect()
+    assert [r.line for r in rejected] == ['{"artist": "Ann", "page": ']
+    assert spark.table(f"{database}.staging_events").count() == 9
+
+
 def test_scheduled_load_by_month(spark, raw, database):
     """Two runs of a month each give what one run over both gives."""
     paths = (f"{raw}/log_data", f"{raw}/song_data", database)
