@@ -280,3 +280,16 @@ def stream_songplays(t: Tables) -> DataFrame:
     )
     query.awaitTermination()
     return seen(tables.current(spark, f"{database}.songplays"))
+
+
+@query
+def stream_staging(t: Tables) -> DataFrame:
+    """Line-JSON taken by a file stream into a staging folder, in two starts of the stream."""
+    spark = t.spark
+    folder, staged, checkpoint = (fresh_folder(spark) for _ in range(3))
+    events = t["events"].select("event_id", "user_id", "event_type")
+    for kind, names in (("first", ["view", "error"]), ("then", ["signup", "purchase", "click"])):
+        rows.where_value(events, "event_type", names).write.json(f"{folder}/{kind}")
+        arriving = ingest.stream_json(spark, folder, events.schema)
+        ingest.stage_stream(arriving, f"staging_{kind}", staged, checkpoint).awaitTermination()
+    return spark.read.schema(events.schema).parquet(staged)

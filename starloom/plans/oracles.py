@@ -599,6 +599,11 @@ ORACLES: dict[str, str] = {
         LIMIT 10
     """,
     "play_facts": _SONGPLAYS,
+    "stream_staging": r"""
+        SELECT event_id, user_id, event_type
+        FROM events
+        WHERE event_type IS NOT NULL
+    """,
     "scheduled_songplays": _SONGPLAYS,
     "stream_songplays": _SONGPLAYS,
 }

@@ -24,6 +24,24 @@ def stream_json(
     )
 
 
+def _checkpoint(rows: DataFrame, name: str, checkpoint: str | None) -> str:
+    return checkpoint or f"{shared_folder(rows.sparkSession)}/streams/{name}"
+
+
+def stage_stream(
+    rows: DataFrame, name: str, output: str, checkpoint: str | None = None
+) -> StreamingQuery:
+    """Appends what is there now to a parquet folder, then stops; every file is taken once."""
+    return (
+        rows.writeStream.queryName(name)
+        .format("parquet")
+        .option("path", output)
+        .option("checkpointLocation", _checkpoint(rows, name, checkpoint))
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def merge_stream(
     rows: DataFrame,
     name: str,
@@ -36,11 +54,10 @@ def merge_stream(
     batch that was cut short runs again; `merge` has to give the same table then, as the
     merges by key do. Without `checkpoint` it goes to the cluster's shared folder.
     """
-    folder = checkpoint or f"{shared_folder(rows.sparkSession)}/streams/{name}"
     return (
         rows.writeStream.queryName(name)
         .foreachBatch(lambda batch, _: merge(batch))
-        .option("checkpointLocation", folder)
+        .option("checkpointLocation", _checkpoint(rows, name, checkpoint))
         .trigger(availableNow=True)
         .start()
     )

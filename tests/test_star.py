@@ -264,3 +264,19 @@ def test_stream_takes_only_new_files(spark, raw, database, catalogue, tmp_path):
     take()
     assert tables.current(spark, table).count() == 6
     assert values(spark.table(table).where("song_id = 'SO3'"), "user_id") == [("2",)]
+
+
+def test_jobs_from_the_command_line(spark, raw, database, tmp_path):
+    from starloom.__main__ import parse, run
+
+    out = str(tmp_path / "out")
+    run(spark, parse(["lake", raw, out, "--match", "title"]))
+    assert spark.read.parquet(f"{out}/songplays_table").where("song_id = 'SO1'").count() == 4
+    raw_paths = [f"{raw}/log_data", f"{raw}/song_data"]
+    month = ["--run-date", "2018-11-25", "--database", database, "--keep-rejects"]
+    run(spark, parse(["load", *raw_paths, *month]))
+    assert tables.current(spark, f"{database}.songplays").count() == 4
+    # The checkpoint goes to the shared folder; the stream adds what the load has not seen.
+    for _ in range(2):
+        run(spark, parse(["stream", raw_paths[0], "--database", database]))
+        assert tables.current(spark, f"{database}.songplays").count() == 5
