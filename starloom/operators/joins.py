@@ -64,14 +64,16 @@ def spread_join(
     on: Sequence[str],
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    ungrouped: DataFrame | None = None,
 ) -> DataFrame:
     """Join in which a key with many rows is split over several tasks.
 
     The rows of a hot key are dealt over its shares by a hash of their values, which stays the
     same when a lost task runs again, and its lookup rows are copied to every share. Every
-    other key is one share. A null key matches nothing but is dealt out too.
+    other key is one share. A null key matches nothing but is dealt out too. `ungrouped` is
+    what `rows` came from, if that was costly: hot keys are looked for there.
     """
-    hot = F.broadcast(hot_keys(rows, on, hot_rows))
+    hot = F.broadcast(hot_keys(rows if ungrouped is None else ungrouped, on, hot_rows))
     hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
     is_hot = F.col("_shares").isNotNull()
 
@@ -95,21 +97,23 @@ def key_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    source: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    ungrouped: DataFrame | None = None,
+    ungrouped_lookup: DataFrame | None = None,
 ) -> DataFrame:
     """Join on equal column names: `lookup` goes to every task if it was measured to be small,
     else both sides are shuffled with the heavy keys of `rows` split.
 
-    `how` is one of inner, left, left_semi, left_anti. `source` is what `lookup` was grouped
-    from, if it was: when that is small already, the grouping need not run to tell.
+    `how` is one of inner, left, left_semi, left_anti. `ungrouped` and `ungrouped_lookup` are
+    what the two sides were grouped from, if they were: what can be told from those needs no
+    grouping.
     """
-    small = (source is not None and fits_broadcast(source, max_rows)) or fits_broadcast(
-        lookup, max_rows
-    )
+    small = (
+        ungrouped_lookup is not None and fits_broadcast(ungrouped_lookup, max_rows)
+    ) or fits_broadcast(lookup, max_rows)
     if not small:
-        return spread_join(rows, lookup, on, how, hot_rows)
+        return spread_join(rows, lookup, on, how, hot_rows, ungrouped)
     joined = rows.join(F.broadcast(lookup), list(on), how)
     extra = [] if how in ("left_semi", "left_anti") else lookup.columns
     return joined.select(*rows.columns, *[c for c in extra if c not in on])
@@ -123,35 +127,45 @@ def match_catalogue(
     how: str = "left",
     round_to: Mapping[str, int] | None = None,
     one_match: str | None = None,
+    ungrouped: DataFrame | None = None,
     **limits: int,
 ) -> DataFrame:
     """Adds the `take` columns of the matching catalogue rows to each event.
 
     `on` maps event columns to catalogue columns. `round_to` compares an event column as a
     number with that many decimals on both sides. `one_match` keeps only the catalogue row
-    with the lowest value of that column per key, so an event never matches twice.
+    with the lowest value of that column per key, so an event never matches twice. `ungrouped`
+    is as for `key_join`.
     """
     round_to = round_to or {}
-    keys = [f"_key_{n}" for n in range(len(on))]
-
-    def compared(column: str, decimals: int | None) -> Column:
-        return F.col(column) if decimals is None else F.round(F.col(column), decimals)
-
-    sides = list(zip(keys, on.items()))
-    plays = events.select(
-        "*", *[compared(e, round_to.get(e)).alias(key) for key, (e, _) in sides]
-    )
-    lookup = catalogue.select(
-        *[compared(c, round_to.get(e)).alias(key) for key, (e, c) in sides], *take
-    ).dropna(subset=keys)
-    source = lookup
-    if one_match == list(take)[0] and len(take) == 1:
-        lookup = lowest_per_key(lookup, keys, one_match)
-    elif one_match:
-        lookup = lookup.groupBy(*keys).agg(
-            F.min_by(F.struct(*take), F.struct(one_match)).alias("_first")
-        ).select(*keys, "_first.*")
-    return key_join(plays, lookup, keys, how, source, **limits).drop(*keys)
+    names = {event: f"_key_{n}" for n, event in enumerate(on)}
+    keys = list(names.values())
+
+    def compared(columns: Mapping[str, str]) -> list[Column]:
+        return [
+            (F.round(column, round_to[event]) if event in round_to else F.col(column)).alias(
+                names[event]
+            )
+            for event, column in columns.items()
+        ]
+
+    of_events = compared({event: event for event in on})
+    lookup = records = catalogue.select(*compared(on), *take).dropna(subset=keys)
+    if one_match:
+        values = F.struct(*take)
+        first = records.groupBy(*keys).agg(F.min_by(values, F.struct(one_match)).alias("_first"))
+        lookup = first.select(*keys, "_first.*")
+        if list(take) == [one_match]:
+            lookup = lowest_per_key(records, keys, one_match)
+    return key_join(
+        events.select("*", *of_events),
+        lookup,
+        keys,
+        how,
+        ungrouped=None if ungrouped is None else ungrouped.select(*of_events),
+        ungrouped_lookup=records,
+        **limits,
+    ).drop(*keys)
 
 
 def star_join(fact: DataFrame, *dimensions: tuple[DataFrame, str, str]) -> DataFrame:

@@ -81,5 +81,7 @@ def delete_then_insert(
     The target may hold many rows per key, so the anti join splits heavy keys.
     """
     named = staged.select(*keys)
-    kept = key_join(target, named.distinct(), keys, "left_anti", named, **limits)
+    kept = key_join(
+        target, named.distinct(), keys, "left_anti", ungrouped_lookup=named, **limits
+    )
     return kept.unionByName(insert.select(*target.columns).distinct())

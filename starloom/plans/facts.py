@@ -50,9 +50,8 @@ def songplays(
     """
     round_to = {"length": LENGTH_DECIMALS} if "length" in MATCHES[match] else {}
     attributes = ["song", "artist", "length", "level", "location", "userAgent"]
-    once = rows.earliest_per_key(
-        plays(events).select(*PLAY_KEY, *attributes), PLAY_KEY, attributes
-    )
+    played = plays(events).select(*PLAY_KEY, *attributes)
+    once = rows.earliest_per_key(played, PLAY_KEY, attributes)
     matched = joins.match_catalogue(
         once,
         catalogue,
@@ -61,6 +60,7 @@ def songplays(
         how=how,
         round_to=round_to,
         one_match="song_id",
+        ungrouped=played,
         **limits,
     )
     start_time = calendar.ms_to_timestamp(F.col("ts"))
