@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.rows import lowest_per_key
+from starloom.operators.rows import earliest_per_key, lowest_per_key
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -152,11 +152,11 @@ def match_catalogue(
     of_events = compared({event: event for event in on})
     lookup = records = catalogue.select(*compared(on), *take).dropna(subset=keys)
     if one_match:
-        values = F.struct(*take)
-        first = records.groupBy(*keys).agg(F.min_by(values, F.struct(one_match)).alias("_first"))
-        lookup = first.select(*keys, "_first.*")
-        if list(take) == [one_match]:
-            lookup = lowest_per_key(records, keys, one_match)
+        lookup = (
+            lowest_per_key(records, keys, one_match)
+            if list(take) == [one_match]
+            else earliest_per_key(records, keys, [one_match])
+        )
     return key_join(
         events.select("*", *of_events),
         lookup,

@@ -31,8 +31,8 @@ def with_keys(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def _pick(rows: DataFrame, keys: Sequence[str], order: Sequence[str], choose) -> DataFrame:
-    values = [name for name in rows.columns if name not in keys]
-    row = choose(F.struct(*values), F.struct(*order)).alias("_row")
+    rest = [name for name in rows.columns if name not in keys and name not in order]
+    row = choose(F.struct(*order, *rest)).alias("_row")
     return rows.groupBy(*keys).agg(row).select(
         *[F.col(name) if name in keys else F.col(f"_row.{name}") for name in rows.columns]
     )
@@ -41,11 +41,11 @@ def _pick(rows: DataFrame, keys: Sequence[str], order: Sequence[str], choose) ->
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the highest `order` for every key.
 
-    An aggregate, so every map task sends at most one row per key: a key that holds a
-    third of the table costs no more than any other. `order` has to end in columns that
-    settle ties, or the choice among equals is open.
+    An aggregate, so every map task sends at most one row per key: a key that holds a third of
+    the table costs no more than any other. Among rows with the same `order` the highest of the
+    other columns counts, so the choice is the same on every run.
     """
-    return _pick(rows, keys, order, F.max_by)
+    return _pick(rows, keys, order, F.max)
 
 
 def earliest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -54,7 +54,7 @@ def earliest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str])
     The same row that `last` over a descending frame up to the current row gives at the
     first row of a key, without bringing the rows of a key together.
     """
-    return _pick(rows, keys, order, F.min_by)
+    return _pick(rows, keys, order, F.min)
 
 
 def lowest_per_key(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
