@@ -85,6 +85,22 @@ def test_key_join_against_brute_force(spark, how, limits):
     assert values(joined) == sorted(expected, key=repr)
 
 
+def test_spread_join_on_text_and_numbers_of_other_types(spark):
+    """Text keys, zeros of either sign, NaN, and key types that differ between the sides."""
+    nan = float("nan")
+    keyed = [("a", 0.0, 1), ("a", -0.0, 2), ("b", nan, 3), (None, 1.0, 4)]
+    found = [("a", -0.0, 1, 10), ("a", 0.0, 2, 20), ("b", nan, 3, 30), (None, 1.0, 4, 40)]
+    left = some(spark, keyed, "s string, d double, k int")
+    right = some(spark, found, "s string, d double, k bigint, w int")
+    for on in (["s", "d"], ["k"], ["s", "k"], ["s", "d", "k"]):
+        lookup = right.select(*on, "w")
+        plain = left.join(lookup, on, "left").select(*left.columns, "w")
+        spread = joins.spread_join(left, lookup, on, "left", hot_rows=1)
+        assert repr(values(spread)) == repr(values(plain))  # as text, where NaN equals itself
+    assert "_hash" in plan_of(joins.spread_join(left, right.select("s", "d", "w"), ["s", "d"]))
+    assert "_hash" not in plan_of(joins.spread_join(left, right.select("s", "k", "w"), ["s", "k"]))
+
+
 def test_key_join_splits_the_heavy_key(spark, settings):
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
@@ -140,10 +156,10 @@ def test_first_joined_falls_back_to_the_whole_fact(spark):
 
 
 def test_matching_takes_lowest_and_rounds(spark):
-    events = some(spark, [("a", 1.00041), ("a", 1.001), ("b", None), (None, 1.0)], "t string, d double")
-    catalogue = some(
-        spark, [("a", 1.0004, 9), ("a", 1.00044, 7), ("a", 2.0, 1), (None, 1.0, 5)], "t string, d double, id int"
-    )
+    played = [("a", 1.00041), ("a", 1.001), ("b", None), (None, 1.0)]
+    known = [("a", 1.0004, 9), ("a", 1.00044, 7), ("a", 2.0, 1), (None, 1.0, 5)]
+    events = some(spark, played, "t string, d double")
+    catalogue = some(spark, known, "t string, d double, id int")
     on = {"t": "t", "d": "d"}
     matched = joins.match_catalogue(
         events, catalogue, on, ["id"], round_to={"d": 3}, one_match="id"
