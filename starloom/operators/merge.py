@@ -16,13 +16,14 @@ from starloom.operators.joins import fits_broadcast, key_join
 from starloom.operators.rows import earliest_per_key, latest_per_key
 
 
-def batch_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The distinct keys of a batch; sent to every task if they were measured to be few, so that
-    a large target is not shuffled to meet them."""
+def batch_keys(batch: DataFrame, keys: Sequence[str], repeated: bool = True) -> DataFrame:
+    """The keys of a batch, each once; sent to every task if they were measured to be few, so
+    that a large target is not shuffled to meet them. `repeated` says if a key may occur twice.
+    """
     named = batch.select(*keys)
-    distinct = named.distinct()
+    distinct = named.distinct() if repeated else named
     # Most batches are small before repeated keys are dropped, which is quicker to tell.
-    small = fits_broadcast(named) or fits_broadcast(distinct)
+    small = fits_broadcast(named) or (repeated and fits_broadcast(distinct))
     return F.broadcast(distinct) if small else distinct
 
 
@@ -43,13 +44,13 @@ def upsert_update(
 
 
 def unseen(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Batch rows whose key the target does not have.
+    """Rows of a batch without repeated keys whose key the target does not have.
 
     Of the target only the keys are read, and only those of the batch go on: what is left to
     compare is no larger than the batch.
     """
-    known = target.select(*keys).join(batch_keys(batch, keys), list(keys), "left_semi")
-    return without_keys(batch, known, keys)
+    wanted = batch_keys(batch, keys, repeated=False)
+    return without_keys(batch, target.select(*keys).join(wanted, list(keys), "left_semi"), keys)
 
 
 def new_rows(

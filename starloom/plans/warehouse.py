@@ -84,7 +84,7 @@ def merge_time(spark: SparkSession, events: DataFrame, table: str) -> None:
 
 def written_batch(batch: DataFrame, table: str) -> tuple[DataFrame, list[int]]:
     """The batch written out, and its months. It is used several times; its join runs once."""
-    tables.create_table_as(batch, f"{table}__batch", ["year", "month"])
+    tables.create_table_as(batch, f"{table}__batch")
     written = tables.current(batch.sparkSession, f"{table}__batch")
     return written, months_of(written)
 
@@ -112,9 +112,8 @@ def replace_songplays(batch: DataFrame, table: str) -> list[int]:
     written, months = written_batch(batch, table)
     if months:
         stored = in_months(tables.current(batch.sparkSession, table), months)
-        kept = merge.without_keys(
-            stored, merge.batch_keys(written, ["songplay_id"]), ["songplay_id"]
-        )
+        again = merge.batch_keys(written, ["songplay_id"], repeated=False)
+        kept = merge.without_keys(stored, again, ["songplay_id"])
         merged = kept.unionByName(written)
         tables.replace_partitions(merged, table, ["year", "month"], ["start_time"])
     return months
