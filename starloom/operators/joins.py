@@ -42,20 +42,24 @@ def fits_broadcast(
     return measured.n <= max_rows and (measured.size or 0) <= max_bytes
 
 
-def hot_keys(rows: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than `hot_rows` rows, as `_hot_<key>`, and how many shares to make of each.
+def hot_keys(rows: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than `hot_rows` rows, as `_hot_<key>`, and how many shares to make of each;
+    None if there are none.
 
     Estimated from a share of the rows in which such a key shows up about a thousand times. An
     estimate is enough: it decides how the rows are divided, never which rows there are. There
-    are at most about `rows / hot_rows` such keys.
+    are at most about `rows / hot_rows` such keys. They are fetched here, so that both sides of
+    a join go by the same list.
     """
     fraction = min(1.0, 1000 / hot_rows)
     seen = rows.select(*on) if fraction == 1.0 else rows.select(*on).sample(fraction, seed=7)
     counted = seen.groupBy(*on).agg((F.count(F.lit(1)) / fraction).alias("_n"))
-    return counted.where(F.col("_n") > hot_rows).select(
+    hot = counted.where(F.col("_n") > hot_rows).select(
         *[F.col(key).alias(f"_hot_{key}") for key in on],
         F.ceil(F.col("_n") / hot_rows).cast("int").alias("_shares"),
     )
+    found = hot.collect()
+    return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def spread_join(
@@ -73,30 +77,35 @@ def spread_join(
     other key is one share. A null key matches nothing but is dealt out too. `ungrouped` is
     what `rows` came from, if that was costly: hot keys are looked for there.
     """
-    hot = F.broadcast(hot_keys(rows if ungrouped is None else ungrouped, on, hot_rows))
-    hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
-    is_hot = F.col("_shares").isNotNull()
-
-    def marked(side: DataFrame) -> DataFrame:
-        same = [side[key].eqNullSafe(hot[f"_hot_{key}"]) for key in on]
-        return side.join(hot, reduce(lambda a, b: a & b, same), "left")
-
-    share = F.pmod(F.xxhash64(*hashed), F.col("_shares")).cast("int")
-    shares = F.when(is_hot, F.sequence(F.lit(0), F.col("_shares") - 1)).otherwise(F.array(F.lit(0)))
-    dealt = marked(rows).withColumn("_share", F.when(is_hot, share).otherwise(F.lit(0)))
-    copied = marked(lookup).withColumn("_share", F.explode(shares))
-    by = [*on, "_share"]
+    hot = hot_keys(rows if ungrouped is None else ungrouped, on, hot_rows)
+    left, right, by = rows, lookup, list(on)
+    if hot is not None:
+        left, right = _dealt(rows, on, hot), _copied(lookup, on, hot)
+        by = [*by, "_share"]
     if _sorts_by_text(rows, lookup, on):
         # A number to compare first: the sort of a text key compares whole texts far less often.
-        dealt = dealt.withColumn("_hash", F.xxhash64(*on))
-        copied = copied.withColumn("_hash", F.xxhash64(*on))
+        left, right = (side.withColumn("_hash", F.xxhash64(*on)) for side in (left, right))
         by = ["_hash", *by]
-    added = [name for name in by if name not in on]
-    joined = dealt.select(*rows.columns, *added).join(
-        copied.select(*lookup.columns, *added), by, how
-    )
     extra = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in on]
-    return joined.select(*rows.columns, *extra)
+    return left.join(right, by, how).select(*rows.columns, *extra)
+
+
+def _marked(side: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
+    same = [side[key].eqNullSafe(hot[f"_hot_{key}"]) for key in on]
+    return side.join(F.broadcast(hot), reduce(lambda a, b: a & b, same), "left")
+
+
+def _dealt(rows: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
+    hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    dealt = F.pmod(F.xxhash64(*hashed), F.col("_shares")).cast("int")
+    share = F.when(F.col("_shares").isNotNull(), dealt).otherwise(F.lit(0)).alias("_share")
+    return _marked(rows, on, hot).select(*rows.columns, share)
+
+
+def _copied(lookup: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
+    every = F.sequence(F.lit(0), F.col("_shares") - 1)
+    shares = F.when(F.col("_shares").isNotNull(), every).otherwise(F.array(F.lit(0)))
+    return _marked(lookup, on, hot).select(*lookup.columns, F.explode(shares).alias("_share"))
 
 
 def _sorts_by_text(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> bool:

@@ -85,6 +85,23 @@ def test_key_join_against_brute_force(spark, how, limits):
     assert values(joined) == sorted(expected, key=repr)
 
 
+def test_nothing_is_dealt_out_without_a_heavy_key(spark):
+    _, _, left, right = skewed(spark)
+    assert joins.hot_keys(left, ["k", "s"]) is None
+    assert "_share" not in plan_of(joins.spread_join(left, right, ["k", "s"]))
+    found = {tuple(row) for row in joins.hot_keys(left, ["k", "s"], 50).collect()}
+    assert (0, "s0", 20) in found and (None, "s9", 1) not in found
+    assert "_share" in plan_of(joins.spread_join(left, right, ["k", "s"], hot_rows=50))
+
+
+def test_heavy_keys_are_found_in_a_share_of_the_rows(spark):
+    rows = spark.range(0, 300_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k")
+    )
+    (found,) = joins.hot_keys(rows, ["k"], hot_rows=10_000).collect()
+    assert found["_hot_k"] == 0 and 8 <= found["_shares"] <= 13
+
+
 def test_spread_join_on_text_and_numbers_of_other_types(spark):
     """Text keys, zeros of either sign, NaN, and key types that differ between the sides."""
     nan = float("nan")
