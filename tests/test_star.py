@@ -45,6 +45,13 @@ def test_users(events):
     assert first.columns == schemas.USERS.names
 
 
+def test_plays_need_a_user_and_a_time(spark):
+    rows = [event("1", 5), event("", 6), event(None, 7), event("1", None), event("1", 8, page="Home")]
+    lines = spark.createDataFrame([(json.dumps(row),) for row in rows], "value string")
+    parsed = lines.select(F.from_json("value", schemas.PLAY_EVENTS).alias("r")).select("r.*")
+    assert values(dimensions.plays(parsed), "userId", "ts") == [("1", 5)]
+
+
 def test_first_seen_is_last_over_a_descending_frame(events):
     """The aggregate equals the windows it stands for."""
     plays = dimensions.plays(events)
