@@ -2,4 +2,96 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from starloom.llm.mixing import LANES, SEED
+from starloom.llm.sharding import HASH_BITS, SHARD_BYTES
+
+_UNIT = "(('0x' || substr(md5({}), 1, 8))::bigint / 4294967296.0)::double"
+_WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+
+#: The level at which targets stop is found by trying every source as the first that is free.
+MIX = f"""
+with sized as (
+    select doc_id, source, coalesce(len({_WORDS}), 0)::bigint as size,
+        floor({_UNIT.format("'lane|' || coalesce(doc_id::varchar, '~')")} * {LANES})::bigint as lane
+    from documents
+), named as (
+    select source, sum(size)::bigint as source_size,
+        (1 + (row_number() over (order by source nulls last) - 1) % 3)::bigint as weight
+    from sized group by source
+), levels as (
+    select a.source, a.source_size, a.weight, (3 * a.source_size)::bigint as most,
+        (select sum(source_size) from named) - coalesce(sum(3 * b.source_size) filter (
+            3 * b.source_size::double / b.weight < 3 * a.source_size::double / a.weight
+            or (3 * b.source_size::double / b.weight = 3 * a.source_size::double / a.weight and coalesce(b.source, '~~~~') < coalesce(a.source, '~~~~'))), 0) as left_words,
+        (select sum(weight) from named) - coalesce(sum(b.weight) filter (
+            3 * b.source_size::double / b.weight < 3 * a.source_size::double / a.weight
+            or (3 * b.source_size::double / b.weight = 3 * a.source_size::double / a.weight and coalesce(b.source, '~~~~') < coalesce(a.source, '~~~~'))), 0) as left_weight
+    from named a, named b group by all
+), leveled as (
+    select *, left_words::double / left_weight::double as level from levels
+), chosen as (
+    select min_by(level, most::double / weight) as level, min(most::double / weight) as limit_ratio
+    from leveled where level * weight <= most
+), targets as (
+    select source, source_size, weight,
+        case when most::double / weight < limit_ratio then most::double else chosen.level * weight end as target
+    from leveled, chosen
+), ranked as (
+    select doc_id, sized.source, size, source_size, target,
+        case when source_size > 0 then target / source_size else 0 end as expected,
+        row_number() over (partition by sized.source order by size, lane, doc_id nulls first) - 1 as place,
+        {_UNIT.format(f"'{SEED}|' || coalesce(sized.source, '~')")} as start
+    from sized join targets on sized.source is not distinct from targets.source
+)
+select doc_id, size, source_size, target,
+    least(floor(start + (place + 1) * expected) - floor(start + place * expected), 3)::bigint as copies,
+    (least(floor(start + (place + 1) * expected) - floor(start + place * expected), 3) * size)::bigint as taken
+from ranked
+"""
+
+SHARDS = f"""
+with sized as (
+    select row_number() over () as n, doc_id, coalesce(octet_length(encode(text)), 0)::bigint as n_bytes,
+        ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, {HASH_BITS // 4}))::bigint as h
+    from documents
+), levels as (
+    select sized.*, d.depth::int as depth, h >> ({HASH_BITS} - d.depth)::int as prefix
+    from sized, range(0, 31) d(depth)
+), buckets as (
+    select depth, prefix, sum(n_bytes)::bigint as shard_size from levels group by depth, prefix
+), fitting as (
+    select n, doc_id, n_bytes, depth, prefix, shard_size,
+        row_number() over (partition by n order by depth) as choice
+    from levels join buckets using (depth, prefix) where shard_size <= {SHARD_BYTES}
+)
+select doc_id, n_bytes,
+    case when depth = 0 then '' else right(repeat('0', 64) || bin(prefix), depth) end as shard_id,
+    depth as shard_depth, shard_size
+from fitting where choice = 1
+"""
+
+REPEATS = rf"""
+with worded as (
+    select row_number() over () as n, doc_id, coalesce({_WORDS}, []) as words from documents
+), windows as (
+    select n, unnest(range(1, len(words) - 33)) as start, words from worded where len(words) >= 35
+), counted as (
+    select n, start, count(*) over (partition by array_to_string(words[start : start + 34], ' ')) as found from windows
+), covered as (
+    select distinct n, start + k as place from counted, range(0, 35) r(k) where found > 1
+), places as (
+    select n, unnest(range(1, len(words) + 1)) as place, unnest(words) as word from worded
+), kept as (
+    select n, count(*) as n_kept, string_agg(word, ' ' order by place) as text
+    from places anti join covered using (n, place) group by n
+)
+select doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n_kept, 0))::bigint as n_removed,
+    sha256(coalesce(text, '')) as kept_sha256
+from worded left join kept using (n)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_systematic_mix": MIX,
+    "op5_extendible_shards": SHARDS,
+    "op9_count_min_repeats": REPEATS,
+}

@@ -6,16 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import minhash
+from starloom.llm import minhash, mixing, repeats, sharding
 from starloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents")).drop("source")
+
+
+def op5_extendible_shards(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    rows = sharding.sharded(documents.select("doc_id", "text"))
+    return rows.select("doc_id", sharding.text_bytes().alias("n_bytes"), *sharding.COLUMNS)
+
+
+def op9_count_min_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, folder, "documents")).drop("kept_text")
+
+
 def op10_minmax_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_systematic_mix": op2_systematic_mix,
+    "op5_extendible_shards": op5_extendible_shards,
+    "op9_count_min_repeats": op9_count_min_repeats,
     "op10_minmax_near_dedup": op10_minmax_near_dedup,
 }
