@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import minhash, mixing, repeats, sharding
+from starloom.llm import divergence, minhash, mixing, repeats, sharding, weaklabel
 from starloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ def op2_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents")).drop("source")
 
 
+def op3_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.judged(table(spark, folder, "documents"))
+
+
+def op4_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return weaklabel.classified(table(spark, folder, "documents"))
+
+
 def op5_extendible_shards(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     rows = sharding.sharded(documents.select("doc_id", "text"))
@@ -32,6 +40,8 @@ def op10_minmax_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_systematic_mix": op2_systematic_mix,
+    "op3_divergence_rules": op3_divergence_rules,
+    "op4_weak_label_quality": op4_weak_label_quality,
     "op5_extendible_shards": op5_extendible_shards,
     "op9_count_min_repeats": op9_count_min_repeats,
     "op10_minmax_near_dedup": op10_minmax_near_dedup,
