@@ -90,8 +90,69 @@ select doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n_kept, 0))
 from worded left join kept using (n)
 """
 
+PREFERENCES = """
+with replies as (
+    select conv_id, turn, min(text) as text from conversations
+    where role = 'assistant' and turn is not null and conv_id is not null group by conv_id, turn
+), final as (
+    select conv_id, max(turn) as turn, arg_max(text, turn) as text from replies group by conv_id
+), shared as (
+    select f.conv_id, count(c.conv_id) as n,
+        coalesce(string_agg('<|im_start|>' || coalesce(c.role, '') || chr(10) || coalesce(c.text, '') || '<|im_end|>' || chr(10), ''
+            order by c.turn, c.role, c.text), '') as prompt
+    from final f left join conversations c on c.conv_id = f.conv_id and c.turn < f.turn
+    group by f.conv_id
+), pairs as (
+    select f.conv_id, shared.n, shared.prompt, f.text as own, g.text as other, g.conv_id is not null as paired
+    from final f join shared using (conv_id) left join final g on g.conv_id = xor(f.conv_id, 1)
+), told as (
+    select *, paired and own is not distinct from other as equal,
+        '<|im_start|>assistant' || chr(10) || coalesce(own, '') || '<|im_end|>' || chr(10) as own_turn,
+        '<|im_start|>assistant' || chr(10) || coalesce(other, '') || '<|im_end|>' || chr(10) as other_turn
+    from pairs
+)
+select conv_id as pair_id, (n + equal::int)::int as n_shared_turns,
+    case when equal then prompt || own_turn else prompt end as prompt,
+    case when equal then '' else own_turn end as chosen,
+    case when equal then '' else '22-' || length(own_turn) end as chosen_spans,
+    case when equal or not paired then '' else other_turn end as rejected,
+    case when equal or not paired then '' else '22-' || length(other_turn) end as rejected_spans
+from told
+"""
+
+LEAKS = rf"""
+with items as (
+    select item_id, {_WORDS.replace("text", "lower(text)", 1)} as words from benchmark
+), item_shingles as (
+    select item_id, len(words) as n, array_to_string(words[k : k + 4], ' ') as h, count(*) as times
+    from (select item_id, words, unnest(range(1, len(words) - 3)) as k from items where len(words) >= 5) group by all
+), docs as (
+    select row_number() over () as r, doc_id, coalesce({_WORDS.replace("text", "lower(text)", 1)}, []) as words from documents
+), doc_shingles as (
+    select r, len(words) as n_doc, k - 1 as place, array_to_string(words[k : k + 4], ' ') as h
+    from (select r, words, unnest(range(1, len(words) - 3)) as k from docs where len(words) >= 5)
+), hits as (
+    select r, item_id, n, h, times, place, n_doc, least(n, n_doc) as size from doc_shingles join item_shingles using (h)
+), windows as (
+    select r, item_id, n, size, h, times, unnest(range(greatest(0, place - size + 5), least(place, n_doc - size) + 1)) as start from hits
+), found as (
+    select r, item_id, n, size, start, h, least(count(*), times) as shared from windows group by r, item_id, n, size, start, h, times
+), likeness as (
+    select r, item_id, start, sum(shared) as shared, (n - 4) + (size - 4) - sum(shared) as total from found group by r, item_id, n, size, start
+), leaks as (
+    select r, item_id, max(floor(100 * shared / total))::int as best from likeness where 100 * shared >= 75 * total group by r, item_id
+), by_doc as (
+    select r, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id) as items, max(best) as best from leaks group by r
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_items, 0)::bigint as n_items, coalesce(items, '') as items,
+    coalesce(best, 0)::int as best_percent, by_doc.r is null as kept
+from docs left join by_doc using (r)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_preference_pairs": PREFERENCES,
     "op2_systematic_mix": MIX,
     "op5_extendible_shards": SHARDS,
+    "op6_simhash_decontamination": LEAKS,
     "op9_count_min_repeats": REPEATS,
 }

@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import divergence, minhash, mixing, repeats, sharding, weaklabel
+from starloom.llm import decontamination, divergence, minhash, mixing, preference, repeats, sharding, weaklabel
 from starloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = preference.preference_pairs(*preference.neighbour_replies(table(spark, folder, "conversations")))
+    return pairs.withColumns({c: preference.spans_text(F.col(c)) for c in ("chosen_spans", "rejected_spans")})
+
+
 def op2_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents")).drop("source")
 
@@ -30,6 +36,10 @@ def op5_extendible_shards(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", sharding.text_bytes().alias("n_bytes"), *sharding.COLUMNS)
 
 
+def op6_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.decontaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op9_count_min_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.without_repeats(table(spark, folder, "documents")).drop("kept_text")
 
@@ -39,10 +49,12 @@ def op10_minmax_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_preference_pairs": op1_preference_pairs,
     "op2_systematic_mix": op2_systematic_mix,
     "op3_divergence_rules": op3_divergence_rules,
     "op4_weak_label_quality": op4_weak_label_quality,
     "op5_extendible_shards": op5_extendible_shards,
+    "op6_simhash_decontamination": op6_simhash_decontamination,
     "op9_count_min_repeats": op9_count_min_repeats,
     "op10_minmax_near_dedup": op10_minmax_near_dedup,
 }
