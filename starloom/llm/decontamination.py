@@ -38,28 +38,19 @@ def shingles(words_name: str, width: int) -> Column:
     )
 
 
-def fingerprint(values: Column) -> Column:
+def fingerprint(values: str) -> Column:
     """SimHash: each bit is that of most shingles, repeated ones counted as often as they stand.
 
     Sixteen sums hold the counts of four bits each, in fields of 16 bits.
     """
-    zero = F.struct(*(F.lit(0).cast("long").alias(f"s{g}") for g in range(16)))
-
-    def add(sums: Column, value: Column) -> Column:
-        return F.struct(
-            *((sums[f"s{g}"] + F.shiftrightunsigned(value, g).bitwiseAND(F.lit(_FIELDS))).alias(f"s{g}") for g in range(16))
-        )
-
-    def bits(sums: Column) -> Column:
-        ones = []
-        for g in range(16):
-            for f in range(4):
-                count = F.shiftrightunsigned(sums[f"s{g}"], 16 * f).bitwiseAND(F.lit(0xFFFF).cast("long"))
-                one = F.lit(1 << (g + 16 * f) if g + 16 * f < 63 else -(1 << 63)).cast("long")
-                ones.append(F.when(2 * count > F.size(values), one).otherwise(F.lit(0).cast("long")))
-        return reduce(lambda a, b: a.bitwiseOR(b), ones)
-
-    return F.aggregate(values, zero, add, bits)
+    zero = ", ".join(f"'s{g}', 0L" for g in range(16))
+    add = ", ".join(f"'s{g}', s.s{g} + (shiftrightunsigned(h, {g}) & {_FIELDS}L)" for g in range(16))
+    bits = " | ".join(
+        f"if(2 * (shiftrightunsigned(s.s{g}, {16 * f}) & 65535L) > s.n, shiftleft(1L, {g + 16 * f}), 0L)" for g in range(16) for f in range(4)
+    )
+    return F.expr(
+        f"aggregate({values}, named_struct('n', 0L, {zero}), (s, h) -> named_struct('n', s.n + 1L, {add}), s -> {bits})"
+    )
 
 
 def blocks(radius: int) -> list[int]:
@@ -69,8 +60,11 @@ def blocks(radius: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def _block_values(value: str, masks: list[int]) -> Column:
-    return F.array(*(F.col(value).bitwiseAND(F.lit(m).cast("long")) for m in masks))
+def _in_blocks(marked: DataFrame, mark: str, masks: list[int]) -> DataFrame:
+    """A row for each block of each fingerprint, with the bits in it."""
+    numbered = marked.withColumn("block", F.explode(F.array(*(F.lit(k) for k in range(len(masks))))))
+    mask = F.element_at(F.array(*(F.lit(m).cast("long") for m in masks)), F.col("block") + 1)
+    return numbered.withColumn("value", F.col(mark).bitwiseAND(mask))
 
 
 def shared_weight(a: Column, b: Column) -> Column:
@@ -107,12 +101,10 @@ def leaks(documents: DataFrame, benchmark: DataFrame, like_percent: int = LIKE_P
             worded.dropDuplicates(["row_key"]).join(asked, "row_key")
             .select("row_key", F.size("words").alias("n_doc"), shingles("words", width).alias("all"), F.explode("asked").alias("w"))
             .select("row_key", "w.n", F.expr(f"slice(all, w.start + 1, least(w.n, n_doc) - {width} + 1)").alias("window"))
-            .withColumn("mark", fingerprint(F.col("window")))
-            .withColumn("values", _block_values("mark", masks))
-            .select("row_key", "n", "window", "mark", F.posexplode("values").alias("block", "value"))
+            .withColumn("mark", fingerprint("window"))
         )
-        index = mine.withColumn("item_mark", fingerprint(F.col("item"))).withColumn("values", _block_values("item_mark", masks))
-        index = index.select("item_id", "n", "item", "item_mark", F.posexplode("values").alias("block", "value"))
+        windows = _in_blocks(windows, "mark", masks)
+        index = _in_blocks(mine.withColumn("item_mark", fingerprint("item")), "item_mark", masks)
         differing = F.col("mark").bitwiseXOR(F.col("item_mark"))
         # of all blocks that agree, the first one finds the pair
         leading = reduce(
