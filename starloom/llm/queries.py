@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontamination, divergence, minhash, mixing, preference, repeats, sharding, weaklabel
+from starloom.llm import decontamination, divergence, minhash, mixing, pages, preference, repeats, sharding, spans, weaklabel
 from starloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,14 @@ def op6_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.decontaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op7_run_length_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.without_earlier(table(spark, folder, "documents")).drop("kept")
+
+
+def op8_tree_model_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extracted(table(spark, folder, "pages"))
+
+
 def op9_count_min_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.without_repeats(table(spark, folder, "documents")).drop("kept_text")
 
@@ -55,6 +63,8 @@ QUERIES: dict[str, Query] = {
     "op4_weak_label_quality": op4_weak_label_quality,
     "op5_extendible_shards": op5_extendible_shards,
     "op6_simhash_decontamination": op6_simhash_decontamination,
+    "op7_run_length_spans": op7_run_length_spans,
+    "op8_tree_model_text": op8_tree_model_text,
     "op9_count_min_repeats": op9_count_min_repeats,
     "op10_minmax_near_dedup": op10_minmax_near_dedup,
 }
