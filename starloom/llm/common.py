@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 BLOCK_BYTES = 1 << 20
@@ -59,8 +60,12 @@ def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tu
         first = last
 
 
-def slice_lists(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
-    """Consecutive runs of `values` as lists, `counts` long each."""
-    offsets = np.zeros(len(counts) + 1, np.int32)
-    np.cumsum(counts, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), values)
+def pack_texts(column: pa.Array) -> pa.Array:
+    """Texts as zstd, which shuffle in a third of their bytes. A null is an empty text."""
+    press = zstandard.ZstdCompressor(level=1)
+    return pa.array([press.compress((x or "").encode()) for x in column.to_pylist()], pa.binary())
+
+
+def unpack_texts(column: pa.Array) -> pa.Array:
+    press = zstandard.ZstdDecompressor()
+    return pa.array([press.decompress(x) for x in column.to_pylist()], pa.large_binary()).cast(pa.large_string())

@@ -14,13 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm import sketch
-from starloom.llm.common import text_blocks, written
+from starloom.llm.common import pack_texts, text_blocks, unpack_texts, written
 from starloom.llm.words import Rolling, Words, find_words, mix, sliding_minimum, window_hashes
 
 WINDOW = 35
@@ -57,19 +55,11 @@ def packed_texts(documents: DataFrame) -> DataFrame:
 
     def pack(batches):
         for batch in batches:
-            press = zstandard.ZstdCompressor(level=1)
-            texts = pc.fill_null(batch.column(2), "")
-            blobs = [press.compress(x.encode()) for x in texts.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary())], ["row_key", "doc_id", "packed"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pack_texts(batch.column(2))], ["row_key", "doc_id", "packed"])
 
     return documents.select(row_key().alias("row_key"), "doc_id", "text").mapInArrow(pack, "row_key long, doc_id long, packed binary")
 
 
-def unpacked(column: pa.Array) -> pa.Array:
-    press = zstandard.ZstdDecompressor()
-    return pa.array([press.decompress(x) for x in column.to_pylist()], pa.large_binary()).cast(pa.large_string())
-
-
 def repeated_windows(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, most_bits: int = MOST_BITS) -> DataFrame:
     """(row_key, start, mask): bit k says that the window at word start + k occurs elsewhere too.
 
@@ -229,7 +219,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM
     def cut(batches):
         names = ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"]
         for batch in batches:
-            texts = unpacked(batch.column(1))
+            texts = unpack_texts(batch.column(1))
             lists = batch.column(2)
             for first, last, data, offsets in text_blocks(texts):
                 words = find_words(data, offsets)
