@@ -105,16 +105,16 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_copies:
 def emitted(documents: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of `documents` as often as it is taken, with all its columns.
 
-    Documents that share doc_id, source and size are dealt by their place among each other.
+    Rows that agree in doc_id, source and size share what is taken of them as evenly as can be.
+    Columns named mix_... are for use within.
     """
-    keys = ["doc_id", "source", "size"]
-    order = Window.partitionBy(*keys)
-    plan = mixed(documents, **options).withColumn("mix_place", F.row_number().over(order.orderBy("copies"))).where("copies > 0")
-    plan = plan.select(*(F.col(k).alias(f"mix_{k}") for k in keys), "mix_place", F.col("copies").alias("mix_copies"))
-    placed = documents.withColumn("mix_words", word_count(F.col("text"))).withColumn(
-        "mix_row", F.row_number().over(Window.partitionBy("doc_id", "source", "mix_words").orderBy("text"))
-    )
-    same = F.expr("doc_id <=> mix_doc_id and source <=> mix_source and mix_words = mix_size and mix_row = mix_place")
-    return placed.join(plan, same).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(
-        *(documents[c] for c in documents.columns)
+    key = F.xxhash64("doc_id", "source", "size")
+    plan = mixed(documents, **options).select(key.alias("mix_key"), "copies").groupBy("mix_key").agg(
+        F.sum("copies").alias("mix_copies"), F.count("*").alias("mix_rows")
     )
+    keyed = documents.withColumn("mix_key", F.xxhash64("doc_id", "source", word_count(F.col("text"))))
+    joined = keyed.join(plan.where("mix_copies > 0"), "mix_key")
+    row = F.row_number().over(Window.partitionBy("mix_key").orderBy(F.xxhash64("text")))
+    mine = F.floor(row * F.col("mix_copies") / F.col("mix_rows")) - F.floor((row - 1) * F.col("mix_copies") / F.col("mix_rows"))
+    times = joined.withColumn("mix_times", mine.cast("int")).where("mix_times > 0")
+    return times.withColumn("mix_time", F.explode(F.sequence(F.lit(1), F.col("mix_times")))).select(*documents.columns)

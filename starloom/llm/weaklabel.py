@@ -164,19 +164,26 @@ def unfold(pattern: np.ndarray) -> np.ndarray:
     return (pattern[:, None] // 3 ** np.arange(len(LABELLERS))) % 3
 
 
-def classified(documents: DataFrame, trained_on: int = TRAINED_ON, least_score: float = LEAST_SCORE) -> DataFrame:
-    """doc_id, votes (text, one letter a labeller), posterior, score and kept for each row.
+class Classifier:
+    """The fitted model: posteriors of the vote patterns, and the scorer."""
 
-    All documents vote, and the estimation uses the counts of all distinct vote patterns, at most
-    3 to the power of 9. The scorer is fitted on the `trained_on` documents whose ids have the
-    smallest hashes, a bounded sample, and applied to all. Posterior and score have six decimals.
+    def __init__(self, posteriors: dict[int, float], weights, bias: float):
+        self.posteriors, self.weights, self.bias = posteriors, weights, bias
 
-    A null or empty text, or one without words, scores 0 and is rejected. Rows without a doc_id
-    vote and are judged, but do not train; rows that share a doc_id may all train. Equal texts
-    get equal scores. Other columns are ignored. An empty table gives an empty result.
-    """
-    spark = documents.sparkSession
-    counted = sorted(_voted(documents).groupBy("pattern").count().collect())
+
+def _patterns(rows: np.ndarray) -> np.ndarray:
+    return (rows.astype(np.int64) * 3 ** np.arange(len(LABELLERS))).sum(axis=1)
+
+
+def _scores(data: np.ndarray, offsets: np.ndarray, words: Words, weights: np.ndarray, bias: float) -> np.ndarray:
+    row, column, value = features(data, offsets, words)
+    score = np.bincount(row, weights=value * weights[column], minlength=len(words.counts)) + bias
+    return np.round(np.where(words.counts > 0, 1 / (1 + np.exp(-score)), 0.0), 6)
+
+
+def fitted(documents: DataFrame, trained_on: int = TRAINED_ON) -> Classifier:
+    """Votes of all documents, estimation over their patterns, and the scorer from a sample."""
+    counted = sorted(_voted(documents).groupBy("pattern").count().collect())  # 3 to the power of 9 at most
     patterns = np.array([r[0] for r in counted], np.int64)
     posterior, _ = fit_votes(unfold(patterns), np.array([r[1] for r in counted], np.float64)) if counted else (np.zeros(0), None)
     known = dict(zip(patterns.tolist(), posterior.tolist()))
@@ -190,7 +197,7 @@ def classified(documents: DataFrame, trained_on: int = TRAINED_ON, least_score:
         for batch in batches:
             for first, last, data, offsets in text_blocks(batch.column(1)):
                 words = find_words(data, offsets)
-                pattern = (votes(data, offsets, words).astype(np.int64) * 3 ** np.arange(len(LABELLERS))).sum(axis=1)
+                pattern = _patterns(votes(data, offsets, words))
                 row, column, value = features(data, offsets, words)
                 cuts = np.searchsorted(row, np.arange(last - first + 1))
                 yield pa.RecordBatch.from_arrays(
@@ -205,6 +212,7 @@ def classified(documents: DataFrame, trained_on: int = TRAINED_ON, least_score:
 
     trained = sample.mapInArrow(describe, "doc_id long, target double, columns binary, values binary")
     rows = sorted((r.doc_id, bytes(r.columns), bytes(r["values"]), r.target) for r in trained.collect())
+    weights, bias = np.zeros(1 << FEATURE_BITS), 0.0
     if rows:
         columns = [np.frombuffer(r[1], np.int16) for r in rows]
         values = [np.frombuffer(r[2], np.float32) for r in rows]
@@ -212,9 +220,21 @@ def classified(documents: DataFrame, trained_on: int = TRAINED_ON, least_score:
         weights, bias = fit_scorer(
             index, np.concatenate(columns).astype(np.int64), np.concatenate(values).astype(np.float64), np.array([r[3] for r in rows])
         )
-    else:
-        weights, bias = np.zeros(1 << FEATURE_BITS), 0.0
-    model = spark.sparkContext.broadcast(weights)  # 2^14 numbers
+    return Classifier(known, documents.sparkSession.sparkContext.broadcast(weights), bias)  # 2^14 numbers
+
+
+def classified(documents: DataFrame, trained_on: int = TRAINED_ON, least_score: float = LEAST_SCORE) -> DataFrame:
+    """doc_id, votes (text, one letter a labeller), posterior, score and kept for each row.
+
+    All documents vote, and the estimation uses the counts of all distinct vote patterns, at most
+    3 to the power of 9. The scorer is fitted on the `trained_on` documents whose ids have the
+    smallest hashes, a bounded sample, and applied to all. Posterior and score have six decimals.
+
+    A null or empty text, or one without words, scores 0 and is rejected. Rows without a doc_id
+    vote and are judged, but do not train; rows that share a doc_id may all train. Equal texts
+    get equal scores. Other columns are ignored. An empty table gives an empty result.
+    """
+    model = fitted(documents, trained_on)
 
     def judge(batches):
         names = ["doc_id", "votes", "posterior", "score"]
@@ -223,19 +243,32 @@ def classified(documents: DataFrame, trained_on: int = TRAINED_ON, least_score:
             for first, last, data, offsets in text_blocks(batch.column(1)):
                 words = find_words(data, offsets)
                 rows = votes(data, offsets, words)
-                pattern = (rows.astype(np.int64) * 3 ** np.arange(rows.shape[1])).sum(axis=1)
-                row, column, value = features(data, offsets, words)
-                score = np.bincount(row, weights=value * model.value[column], minlength=last - first) + bias
-                score = np.where(words.counts > 0, 1 / (1 + np.exp(-score)), 0.0)
+                posterior = [model.posteriors[p] for p in _patterns(rows).tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
                         pa.array(["".join(x) for x in letters[rows].tolist()], pa.string()),
-                        pa.array(np.round([known[p] for p in pattern.tolist()], 6).astype(np.float64)),
-                        pa.array(np.round(score, 6)),
+                        pa.array(np.round(np.array(posterior, np.float64), 6)),
+                        pa.array(_scores(data, offsets, words, model.weights.value, model.bias)),
                     ],
                     names,
                 )
 
     judged = documents.select("doc_id", "text").mapInArrow(judge, "doc_id long, votes string, posterior double, score double")
     return judged.withColumn("kept", F.col("score") >= least_score)
+
+
+def accepted(documents: DataFrame, trained_on: int = TRAINED_ON, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of `documents` that `classified` keeps, with all columns and without a shuffle."""
+    model = fitted(documents, trained_on)
+    place = documents.columns.index("text")
+
+    def choose(batches):
+        for batch in batches:
+            keep = [np.zeros(0, bool)]
+            for _, _, data, offsets in text_blocks(batch.column(place)):
+                score = _scores(data, offsets, find_words(data, offsets), model.weights.value, model.bias)
+                keep.append(score >= least_score)
+            yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return documents.mapInArrow(choose, documents.schema)
