@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import text_blocks, written
+from starloom.llm.common import pack_texts, text_blocks, unpack_texts, written
 from starloom.llm.graph import components
 from starloom.llm.words import find_words, mix, seeded, window_hashes
 
@@ -27,7 +27,7 @@ LIKE_PERCENT = 75
 #: similarity of 0.75 from 128 values is this low in less than one case in ten thousand.
 LEAST_ESTIMATE = 0.6
 MEMBERS = 128
-BUCKET_BLOCK = 1000
+BUCKET_BLOCK = 500
 
 _SEEDS = seeded("permutations", 2 * PERMUTATIONS)
 _XOR = (_SEEDS[:PERMUTATIONS] >> np.uint64(32)).astype(np.uint32)
@@ -142,12 +142,12 @@ def confirmed(pairs: DataFrame, documents: DataFrame, like_percent: int = LIKE_P
     wanted = dealt.select("a", "part", F.col("b").alias("doc_id")).unionByName(
         dealt.select("a", "part").distinct().withColumn("doc_id", F.col("a"))
     )
-    texts = wanted.join(documents.select("doc_id", "text").where("doc_id is not null"), "doc_id")
+    texts = wanted.join(packed(documents), "doc_id")
     stream = (
         texts.repartition("a", "part")
         .withColumn("partner", F.col("doc_id") != F.col("a"))
         .sortWithinPartitions("a", "part", "partner", "doc_id")
-        .select("a", "part", "doc_id", "text")
+        .select("a", "part", "doc_id", "packed")
     )
 
     def compare(batches):
@@ -155,7 +155,7 @@ def confirmed(pairs: DataFrame, documents: DataFrame, like_percent: int = LIKE_P
         for batch in batches:
             heads, parts, ids = (np.asarray(batch.column(k)) for k in range(3))
             keep_a, keep_b = [], []
-            for k, one in enumerate(shingle_sets(batch.column(3))):
+            for k, one in enumerate(shingle_sets(unpack_texts(batch.column(3)))):
                 if group != (heads[k], parts[k]):
                     group, hub = (heads[k], parts[k]), None
                 if ids[k] == heads[k]:
@@ -170,36 +170,42 @@ def confirmed(pairs: DataFrame, documents: DataFrame, like_percent: int = LIKE_P
     return stream.mapInArrow(compare, "a long, b long")
 
 
-def _alike_in_block(batches):
-    nodes, roots, sides, rows = [], [], [], []
-    for batch in batches:
-        nodes.append(np.asarray(batch.column("node")))
-        roots.append(np.asarray(batch.column("root")))
-        sides.append(np.asarray(batch.column("side")))
-        rows.extend(batch.column("signature").to_pylist())
-    node, root, side = np.concatenate(nodes), np.concatenate(roots), np.concatenate(sides)
-    matrix = np.frombuffer(b"".join(rows), np.uint32).reshape(len(rows), -1)
-    left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
-    for k in left:
-        other = right[root[right] != root[k]]
+def _links_of_block(batch: pa.Table, like_percent: int) -> tuple[list[int], list[int]]:
+    """Links that join components of one block, each confirmed on full sets; no more than needed."""
+    node, root, side = (np.asarray(batch.column(c)) for c in ("node", "root", "side"))
+    matrix = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(len(node), -1)
+    sets = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    root = root.copy()
+    right = np.flatnonzero(side & 2)
+    found: tuple[list[int], list[int]] = ([], [])
+    for k in np.flatnonzero(side & 1):
+        other = right[(root[right] != root[k]) & (100 * np.minimum(sizes[right], sizes[k]) >= like_percent * np.maximum(sizes[right], sizes[k]))]
+        if not len(other):
+            continue
         same = (matrix[other] == matrix[k]).mean(axis=1)
-        other = other[(same >= LEAST_ESTIMATE) & (node[other] != node[k])]
-        if len(other):
-            mine = np.full(len(other), node[k])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(mine, node[other])), pa.array(np.maximum(mine, node[other]))], ["a", "b"]
-            )
-
-
-def across_components(members: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are not yet connected and whose signatures say they may be alike.
-
-    Takes (bucket, node, root, signature) of buckets with more than one component. Buckets are
-    compared in blocks of a thousand by a thousand texts, however large they are.
+        for j in other[np.argsort(-same)][: int((same >= LEAST_ESTIMATE).sum())]:
+            if root[j] == root[k]:
+                continue
+            at = np.minimum(np.searchsorted(sets[k], sets[j]), sizes[k] - 1)
+            shared = int((sets[k][at] == sets[j]).sum())
+            if 100 * shared >= like_percent * (sizes[j] + sizes[k] - shared):
+                found[0].append(int(min(node[j], node[k])))
+                found[1].append(int(max(node[j], node[k])))
+                root[root == root[j]] = root[k]
+    return found
+
+
+def across_components(members: DataFrame, sets: DataFrame, like_percent: int = LIKE_PERCENT) -> DataFrame:
+    """Links (a, b) between texts of a bucket that are not connected yet.
+
+    Takes (bucket, node, root, signature) of buckets with more than one component, and the sets
+    of their nodes. Buckets are compared in blocks of five hundred by five hundred texts, however
+    large they are. Pairs are compared where they lie, and only links leave a block.
     """
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BUCKET_BLOCK).alias("blocks"))
     dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    placed = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+    placed = dealt.join(sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "bucket",
         F.least("block", "other").alias("first_block"),
         F.greatest("block", "other").alias("second_block"),
@@ -207,14 +213,32 @@ def across_components(members: DataFrame) -> DataFrame:
         "node",
         "root",
         "signature",
+        "shingles",
     )
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _alike_in_block(batches)
+    def compare(block: pa.Table) -> pa.Table:
+        a, b = _links_of_block(block, like_percent)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return placed.groupBy("bucket", "first_block", "second_block").applyInArrow(compare, "a long, b long").distinct()
 
 
+def packed(documents: DataFrame) -> DataFrame:
+    """(doc_id, packed): texts as zstd, which shuffles in a third of its bytes."""
+
+    def pack(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pack_texts(batch.column(1))], ["doc_id", "packed"])
+
+    return documents.select("doc_id", "text").where("doc_id is not null").mapInArrow(pack, "doc_id long, packed binary")
+
+
+def _sets(batches):
+    for batch in batches:
+        blobs = [x.tobytes() for x in shingle_sets(unpack_texts(batch.column(1)))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], ["node", "shingles"])
+
+
 def near_duplicates(documents: DataFrame, like_percent: int = LIKE_PERCENT) -> DataFrame:
     """One row per row of `documents`: doc_id, n_shingles, component_id, kept.
 
@@ -245,9 +269,11 @@ def near_duplicates(documents: DataFrame, like_percent: int = LIKE_PERCENT) -> D
     placed = shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     members = placed.join(mixed.select("bucket"), "bucket", "left_semi").join(nodes.dropDuplicates(["node"]), "node")
-    further = written(across_components(members), "further")
-    if not further.isEmpty():
-        more = written(confirmed(further, documents, like_percent), "confirmed")
+    members = written(members, "members")
+    if not members.isEmpty():
+        wanted = members.select(F.col("node").alias("doc_id")).distinct()
+        sets = packed(documents).join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
+        more = written(across_components(members, sets.dropDuplicates(["node"]), like_percent), "more")
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
     found = classes.join(roots, "node", "left").select(
