@@ -26,7 +26,9 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     load.add_argument("songs")
     load.add_argument("--run-date", type=date.fromisoformat, help="read only this day's month")
     load.add_argument("--reprocess", action="store_true", help="match stored plays anew")
-    load.add_argument("--keep-rejects", action="store_true", help="store lines that do not parse")
+    load.add_argument(
+        "--keep-rejects", action=argparse.BooleanOptionalAction, default=True, help="store lines that do not parse"
+    )
 
     stream = jobs.add_parser("stream", help="merge the plays of files that are new, then stop")
     stream.add_argument("events")
@@ -73,6 +75,7 @@ def run(spark, chosen: argparse.Namespace) -> None:
             lambda plays: warehouse.append_songplays(plays, songplays),
             name=f"{chosen.database}_songplays",
             checkpoint=chosen.checkpoint,
+            rejects=lambda lines: lines.write.mode("append").saveAsTable(f"{songplays}_rejects"),
         ).awaitTermination()
 
 

@@ -59,7 +59,11 @@ def map_to_columns(rows: DataFrame, field_names=FIELDS, parsed: str = "parsed")
 
 def parse_lines(lines: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
     """Lines that fit, as nine text columns, and the lines that do not."""
-    marked = lines.select(F.col(line).alias("line"), _parts(F.col(line)).alias("_parts"))
+    # The parts come out of a generator, below which no filter on them can be copied: the
+    # pattern runs once a line.
+    marked = lines.select(
+        F.col(line).alias("line"), F.explode_outer(F.array(_parts(F.col(line)))).alias("_parts")
+    )
     fits = F.coalesce(F.size("_parts") == len(FIELDS), F.lit(False))
     rows = marked.where(fits).select(
         *[F.get("_parts", F.lit(n)).alias(name) for n, name in enumerate(FIELDS)]

@@ -16,14 +16,20 @@ def count_by(rows: DataFrame, *keys: Column | str, name: str = "count") -> DataF
     return counts.orderBy(F.desc(name), *[c for c in counts.columns if c != name])
 
 
-def exact_sum(value: Column, decimals: int = 2) -> Column:
-    """Sum of numbers with that many decimals, given as double: the same to the last digit in
-    whatever order the rows come, unlike a sum of doubles.
+def exact_sum(value: Column, decimals: int) -> Column:
+    """Sum of numbers that are declared to have that many decimals, given as double: the same to
+    the last digit in whatever order the rows come, unlike a sum of doubles.
 
-    Adds whole units as bigint, several times as fast as decimals. The upper and lower bits are
-    added apart, so that trillions of rows do not overflow.
+    Nothing is rounded away: a value with more decimals than declared, beyond the noise of a
+    double, is an error. Adds whole units as bigint, several times as fast as decimals. The upper
+    and lower bits are added apart, so that trillions of rows do not overflow.
     """
-    units = F.rint(value * 10**decimals).cast("bigint")
+    scaled = value * 10**decimals
+    noise = F.lit(1e-6) + F.abs(scaled) * F.lit(1e-12)
+    refused = F.raise_error(F.concat(F.lit(f"more than {decimals} decimals: "), value.cast("string")))
+    units = F.when(F.abs(scaled - F.rint(scaled)) > noise, refused.cast("bigint")).otherwise(
+        F.rint(scaled).cast("bigint")
+    )
     upper, lower = F.shiftright(units, 20), units.bitwiseAND(F.lit(2**20 - 1))
     total = F.sum(upper).cast("decimal(38,0)") * F.lit(2**20) + F.sum(lower)
     return (total / F.lit(10**decimals)).cast("double")
@@ -34,11 +40,18 @@ def sum_by(rows: DataFrame, value: Column, *keys: Column | str, name: str = "rev
 
 
 def sum_by_month(
-    rows: DataFrame, moment: str, amount: Column, year: str = "y", month: str = "m"
+    rows: DataFrame,
+    moment: str,
+    amount: Column,
+    year: str = "y",
+    month: str = "m",
+    decimals: int | None = None,
 ) -> DataFrame:
-    return rows.groupBy(
-        F.year(moment).alias(year), F.month(moment).alias(month)
-    ).agg(exact_sum(amount).alias("revenue"))
+    """Amounts are added as they are; with `decimals` declared, exactly."""
+    total = F.sum(amount) if decimals is None else exact_sum(amount, decimals)
+    return rows.groupBy(F.year(moment).alias(year), F.month(moment).alias(month)).agg(
+        total.alias("revenue")
+    )
 
 
 def fact_summary(rows: DataFrame, fact: str, by: str, decimals: int | None = None) -> DataFrame:
@@ -58,20 +71,19 @@ def _leading_counts(rows: DataFrame, key: str, places: int) -> tuple[DataFrame,
 
 
 def groups_with_ties(rows: DataFrame, key: str, places: int) -> DataFrame:
-    """The `places` highest row counts, each with the sorted list of groups that share it.
-
-    Only groups in a leading place are listed, so the text grows with the ties of those
-    places. `positions` gives the same answer with a row per group.
-    """
+    """The groups that have one of the `places` highest row counts: a row (num, member) each."""
     counts, leading = _leading_counts(rows, key, places)
-    members = F.array_sort(F.collect_list(F.col(key).cast("string")))
-    return (
-        counts.join(F.broadcast(leading), "num", "left_semi")
-        .groupBy("num")
-        .agg(F.array_join(members, ", ").alias("members"))
+    return counts.join(F.broadcast(leading), "num", "left_semi").select(
+        "num", F.col(key).cast("string").alias("member")
     )
 
 
+def listed(groups: DataFrame) -> DataFrame:
+    """Rows (num, member) as one text per num. Only for keys known to be few, such as years."""
+    members = F.array_sort(F.collect_list("member"))
+    return groups.groupBy("num").agg(F.array_join(members, ", ").alias("members"))
+
+
 def positions(rows: DataFrame, key: str, places: int) -> DataFrame:
     """One row per group in the first `places` positions; equal counts share a position.
 

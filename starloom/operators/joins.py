@@ -11,77 +11,24 @@ from pyspark.sql import types as T
 
 from starloom.operators.rows import earliest_per_key, lowest_per_key
 
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-HOT_ROWS = 2_000_000
-
-_WIDTH = 8
-
-
-def _row_bytes(rows: DataFrame) -> Column:
-    sizes = []
-    for field in rows.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            sizes.append(F.coalesce(F.octet_length(field.name), F.lit(0)) + _WIDTH)
-        elif isinstance(field.dataType, T.AtomicType):
-            sizes.append(F.lit(2 * _WIDTH))
-        else:
-            sizes.append(F.octet_length(F.to_json(F.struct(field.name))) + _WIDTH)
-    return reduce(lambda a, b: a + b, sizes)
-
-
-def fits_broadcast(
-    rows: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measures whether a frame is within both bounds; reads at most `max_rows` + 1 rows of it."""
-    measured = (
-        rows.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(rows)).alias("size"))
-        .first()
-    )
-    return measured.n <= max_rows and (measured.size or 0) <= max_bytes
-
 
-def hot_keys(rows: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than `hot_rows` rows, as `_hot_<key>`, and how many shares to make of each;
-    None if there are none.
-
-    Estimated from a share of the rows in which such a key shows up about a thousand times. An
-    estimate is enough: it decides how the rows are divided, never which rows there are. There
-    are at most about `rows / hot_rows` such keys. They are fetched here, so that both sides of
-    a join go by the same list.
-    """
-    fraction = min(1.0, 1000 / hot_rows)
-    seen = rows.select(*on) if fraction == 1.0 else rows.select(*on).sample(fraction, seed=7)
-    counted = seen.groupBy(*on).agg((F.count(F.lit(1)) / fraction).alias("_n"))
-    hot = counted.where(F.col("_n") > hot_rows).select(
-        *[F.col(key).alias(f"_hot_{key}") for key in on],
-        F.ceil(F.col("_n") / hot_rows).cast("int").alias("_shares"),
-    )
-    found = hot.collect()
-    return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
+def _sorts_by_text(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> bool:
+    """The first key is text, and equal keys hash alike because their types are the same."""
+    types = [(rows.schema[key].dataType, lookup.schema[key].dataType) for key in on]
+    return types[0][0] == T.StringType() and all(left == right for left, right in types)
 
 
-def spread_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    ungrouped: DataFrame | None = None,
+def key_join(
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner", shuffled: bool = False
 ) -> DataFrame:
-    """Join in which a key with many rows is split over several tasks.
+    """Join on equal column names; `how` is one of inner, left, left_semi, left_anti.
 
-    The rows of a hot key are dealt over its shares by a hash of their values, which stays the
-    same when a lost task runs again, and its lookup rows are copied to every share. Every
-    other key is one share. A null key matches nothing but is dealt out too. `ungrouped` is
-    what `rows` came from, if that was costly: hot keys are looked for there.
+    Nothing is measured while the query is built. Adaptive execution sees the real size of each
+    shuffled side: it sends a small `lookup` to every task, and it splits a partition that a
+    heavy key has made too large by map output, so that even equal rows go to several tasks.
+    `shuffled` asks for the shuffled join whatever the sizes.
     """
-    hot = hot_keys(rows if ungrouped is None else ungrouped, on, hot_rows)
-    left, right, by = rows, lookup, list(on)
-    if hot is not None:
-        left, right = _dealt(rows, on, hot), _copied(lookup, on, hot)
-        by = [*by, "_share"]
+    left, right, by = rows, lookup.hint("merge") if shuffled else lookup, list(on)
     if _sorts_by_text(rows, lookup, on):
         # A number to compare first: the sort of a text key compares whole texts far less often.
         left, right = (side.withColumn("_hash", F.xxhash64(*on)) for side in (left, right))
@@ -90,57 +37,6 @@ def spread_join(
     return left.join(right, by, how).select(*rows.columns, *extra)
 
 
-def _marked(side: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
-    same = [side[key].eqNullSafe(hot[f"_hot_{key}"]) for key in on]
-    return side.join(F.broadcast(hot), reduce(lambda a, b: a & b, same), "left")
-
-
-def _dealt(rows: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
-    hashed = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
-    dealt = F.pmod(F.xxhash64(*hashed), F.col("_shares")).cast("int")
-    share = F.when(F.col("_shares").isNotNull(), dealt).otherwise(F.lit(0)).alias("_share")
-    return _marked(rows, on, hot).select(*rows.columns, share)
-
-
-def _copied(lookup: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
-    every = F.sequence(F.lit(0), F.col("_shares") - 1)
-    shares = F.when(F.col("_shares").isNotNull(), every).otherwise(F.array(F.lit(0)))
-    return _marked(lookup, on, hot).select(*lookup.columns, F.explode(shares).alias("_share"))
-
-
-def _sorts_by_text(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> bool:
-    """The first key is text, and equal keys hash alike because their types are the same."""
-    types = [(rows.schema[key].dataType, lookup.schema[key].dataType) for key in on]
-    return types[0][0] == T.StringType() and all(left == right for left, right in types)
-
-
-def key_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
-    ungrouped: DataFrame | None = None,
-    ungrouped_lookup: DataFrame | None = None,
-) -> DataFrame:
-    """Join on equal column names: `lookup` goes to every task if it was measured to be small,
-    else both sides are shuffled with the heavy keys of `rows` split.
-
-    `how` is one of inner, left, left_semi, left_anti. `ungrouped` and `ungrouped_lookup` are
-    what the two sides were grouped from, if they were: what can be told from those needs no
-    grouping.
-    """
-    small = (
-        ungrouped_lookup is not None and fits_broadcast(ungrouped_lookup, max_rows)
-    ) or fits_broadcast(lookup, max_rows)
-    if not small:
-        return spread_join(rows, lookup, on, how, hot_rows, ungrouped)
-    joined = rows.join(F.broadcast(lookup), list(on), how)
-    extra = [] if how in ("left_semi", "left_anti") else lookup.columns
-    return joined.select(*rows.columns, *[c for c in extra if c not in on])
-
-
 def match_catalogue(
     events: DataFrame,
     catalogue: DataFrame,
@@ -149,14 +45,13 @@ def match_catalogue(
     how: str = "left",
     round_to: Mapping[str, int] | None = None,
     one_match: str | None = None,
-    ungrouped: DataFrame | None = None,
-    **limits: int,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Adds the `take` columns of the matching catalogue rows to each event.
 
     `on` maps event columns to catalogue columns. `round_to` compares an event column as a
     number with that many decimals on both sides. `one_match` keeps only the catalogue row
-    with the lowest value of that column per key, so an event never matches twice. `ungrouped`
+    with the lowest value of that column per key, so an event never matches twice. `shuffled`
     is as for `key_join`.
     """
     round_to = round_to or {}
@@ -179,15 +74,7 @@ def match_catalogue(
             if list(take) == [one_match]
             else earliest_per_key(records, keys, [one_match])
         )
-    return key_join(
-        events.select("*", *of_events),
-        lookup,
-        keys,
-        how,
-        ungrouped=None if ungrouped is None else ungrouped.select(*of_events),
-        ungrouped_lookup=records,
-        **limits,
-    ).drop(*keys)
+    return key_join(events.select("*", *of_events), lookup, keys, how, shuffled).drop(*keys)
 
 
 def star_join(fact: DataFrame, *dimensions: tuple[DataFrame, str, str]) -> DataFrame:
@@ -203,19 +90,16 @@ def star_join(fact: DataFrame, *dimensions: tuple[DataFrame, str, str]) -> DataF
 
 
 def first_joined(
-    fact: DataFrame,
-    dimensions: Sequence[tuple[DataFrame, str, str]],
-    n: int,
-    *order: Column,
-    spare: int = 10,
+    fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str, str]], n: int, *order: Column
 ) -> DataFrame:
     """The first n rows of `star_join` in an order that uses fact columns only.
 
-    The first n * `spare` fact rows are joined on their own. An inner join only drops or
-    repeats rows, so if n rows come out they are the answer, and the dimensions were never
-    shuffled against the whole fact. If fewer come out the whole fact is joined.
+    An inner join only drops or repeats rows. So the first n fact rows that have a match in every
+    dimension give all of the answer, and only these are joined to whole dimension rows.
     """
-    leading = star_join(fact.orderBy(*order).limit(n * spare), *dimensions)
-    if leading.limit(n).count() == n:
-        return leading.orderBy(*order).limit(n)
-    return star_join(fact, *dimensions).orderBy(*order).limit(n)
+    matched = reduce(
+        lambda rows, d: rows.join(d[0].select(F.col(d[2])), F.col(d[1]) == F.col(d[2]), "left_semi"),
+        dimensions,
+        fact,
+    )
+    return star_join(matched.orderBy(*order).limit(n), *dimensions).orderBy(*order).limit(n)

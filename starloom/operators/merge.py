@@ -1,35 +1,32 @@
 """Merges of a batch into a target, as plain functions from two frames to the merged frame.
 
 Parquet tables take no MERGE or DELETE, so each merge is an anti join and a union. A merge
-that runs twice with the same batch gives the same table. The sinks decide how the result
+that runs twice with the same batch gives the same table: keys are compared null-safe, so a
+null key is a key as any other. The sinks decide how the result
 replaces the stored table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import fits_broadcast, key_join
 from starloom.operators.rows import earliest_per_key, latest_per_key
 
 
-def batch_keys(batch: DataFrame, keys: Sequence[str], repeated: bool = True) -> DataFrame:
-    """The keys of a batch, each once; sent to every task if they were measured to be few, so
-    that a large target is not shuffled to meet them. `repeated` says if a key may occur twice.
-    """
-    named = batch.select(*keys)
-    distinct = named.distinct() if repeated else named
-    # Most batches are small before repeated keys are dropped, which is quicker to tell.
-    small = fits_broadcast(named) or (repeated and fits_broadcast(distinct))
-    return F.broadcast(distinct) if small else distinct
+def _matching(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    named = others.select(*[F.col(key).alias(f"_other_{key}") for key in keys])
+    same = [F.col(key).eqNullSafe(F.col(f"_other_{key}")) for key in keys]
+    return rows.join(named, reduce(lambda a, b: a & b, same), how)
 
 
 def without_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key does not occur in `others`."""
-    return rows.join(others.select(*keys), list(keys), "left_anti").select(*rows.columns)
+    """Rows whose key does not occur in `others`. Adaptive execution sends few others to every
+    task, and else splits a heavy key of `rows` over several."""
+    return _matching(rows, others, keys, "left_anti")
 
 
 def upsert_update(
@@ -40,7 +37,7 @@ def upsert_update(
     `order` may name batch columns that the target does not have.
     """
     latest = latest_per_key(batch, keys, order).select(*target.columns)
-    return without_keys(target, batch_keys(batch, keys), keys).unionByName(latest)
+    return without_keys(target, latest, keys).unionByName(latest)
 
 
 def unseen(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,8 +46,7 @@ def unseen(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     Of the target only the keys are read, and only those of the batch go on: what is left to
     compare is no larger than the batch.
     """
-    wanted = batch_keys(batch, keys, repeated=False)
-    return without_keys(batch, target.select(*keys).join(wanted, list(keys), "left_semi"), keys)
+    return without_keys(batch, _matching(target.select(*keys), batch, keys, "left_semi"), keys)
 
 
 def new_rows(
@@ -75,14 +71,13 @@ def fact_append(
 
 
 def delete_then_insert(
-    target: DataFrame, staged: DataFrame, insert: DataFrame, keys: Sequence[str], **limits: int
+    target: DataFrame, staged: DataFrame, insert: DataFrame, keys: Sequence[str], shuffled: bool = False
 ) -> DataFrame:
     """Drops the target rows whose key was staged, then adds the distinct rows of `insert`.
 
-    The target may hold many rows per key, so the anti join splits heavy keys.
+    A null key deletes nothing. The target may hold many rows per key: partitions that a heavy key makes too large are split
+    at run time. `shuffled` asks for the shuffled join whatever the sizes.
     """
-    named = staged.select(*keys)
-    kept = key_join(
-        target, named.distinct(), keys, "left_anti", ungrouped_lookup=named, **limits
-    )
+    named = staged.select(*keys).dropna().distinct()
+    kept = without_keys(target, named.hint("merge") if shuffled else named, keys)
     return kept.unionByName(insert.select(*target.columns).distinct())

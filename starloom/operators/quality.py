@@ -61,13 +61,20 @@ def run_rules(
     spark: SparkSession,
     rules: Iterable[Rule],
     tables: Mapping[str, DataFrame] | None = None,
-    value_type: str = "bigint",
+    value_type: str | None = None,
 ) -> DataFrame:
     """One row per rule: test_name, actual, op, expected, success.
 
+    A query that returns no row, or a null, has a null `actual` and fails. Values are compared as
+    they are. They are reported as double, or as bigint if all rules are aggregates compared with
+    whole numbers; `value_type` names another type.
+
     All aggregate rules of a table are worked out in one pass over it. A table that is not
     in `tables` is looked up by name.
     """
+    rules = list(rules)
+    whole = all(isinstance(r.expected, int) and not isinstance(r.actual, str) for r in rules)
+    value_type = value_type or ("bigint" if whole else "double")
     by_table: dict[str, list[Rule]] = {}
     results = []
     for rule in rules:
@@ -75,8 +82,11 @@ def run_rules(
             raise ValueError(f"rule {rule.name!r}: no comparison {rule.op!r}")
         if isinstance(rule.actual, str):
             asked = spark.sql(rule.actual)
-            first = asked.select(F.col(asked.columns[0]).alias("value")).limit(1)
-            results.append(first.select(_outcome(rule, F.col("value"), value_type).alias("r")))
+            named = asked.toDF(*(f"_{n}" for n in range(len(asked.columns))))
+            first = named.limit(1).select(F.col("_0").alias("value"), F.lit(True).alias("there"))
+            one = spark.range(1).select(F.lit(True).alias("here"))
+            answer = one.join(first, F.col("here") == F.col("there"), "left")
+            results.append(answer.select(_outcome(rule, F.col("value"), value_type).alias("r")))
         else:
             by_table.setdefault(rule.table, []).append(rule)
     for name, of_table in by_table.items():

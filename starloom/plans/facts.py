@@ -39,7 +39,7 @@ def songplays(
     catalogue: DataFrame,
     match: str = "title_artist_length",
     how: str = "left",
-    **limits: int,
+    shuffled: bool = False,
 ) -> DataFrame:
     """One row per play.
 
@@ -60,8 +60,7 @@ def songplays(
         how=how,
         round_to=round_to,
         one_match="song_id",
-        ungrouped=played,
-        **limits,
+        shuffled=shuffled,
     )
     start_time = calendar.ms_to_timestamp(F.col("ts"))
     return matched.select(

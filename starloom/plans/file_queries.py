@@ -6,7 +6,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
+from datetime import date
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from starloom import schemas
 from starloom.functions import calendar, keys
-from starloom.operators import rows
+from starloom.operators import joins, rows
 from starloom.plans import facts, lake, layouts, load_check, star_queries, warehouse
 from starloom.plans.play_queries import play_events, seen, song_records
 from starloom.plans.table_queries import query
@@ -22,7 +23,7 @@ from starloom.session import shared_folder
 from starloom.sinks import files as file_sinks
 from starloom.sinks import layout, tables
 from starloom.sources import files
-from starloom.sources.tables import Tables
+from starloom.sources.tables import Tables, from_local
 from starloom.streaming import ingest
 
 
@@ -37,7 +38,7 @@ def fresh_folder(spark: SparkSession) -> str:
     try:
         base = shared_folder(spark)
     except ValueError:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise
         base = _local_folder(spark.sparkContext.applicationId)
     return f"{base}/{uuid.uuid4().hex}"
@@ -106,8 +107,8 @@ def stage_by_mapping(t: Tables) -> DataFrame:
 def delimited_gzip_parts(t: Tables) -> DataFrame:
     """Many gzip files without a header, read with a schema."""
     folder = fresh_folder(t.spark)
-    sold = t["lineitem"].drop("l_shipdate")
-    spread = sold.repartition(16)
+    sold = t["lineitem"]
+    spread = sold.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
     file_sinks.write_delimited(spread, folder, ";", header=False, compression="gzip")
     return files.read_delimited(t.spark, folder, sold.schema, ";", header_rows=0)
 
@@ -161,9 +162,99 @@ def partitions_replaced(t: Tables) -> DataFrame:
 def union_by_name(t: Tables) -> DataFrame:
     """Frames with different columns, one after the other."""
     events = t["events"]
-    bought = events.where("event_type = 'purchase'").select("event_id", "user_id", "value")
-    seen = events.where("event_type = 'view'").select("user_id", "event_id")
-    return bought.unionByName(seen, allowMissingColumns=True)
+    valued = F.col("event_type") == "purchase"
+    bought = events.where(valued).select("event_id", "user_id", "value")
+    others = events.where(~F.coalesce(valued, F.lit(False))).select("user_id", "event_id")
+    return bought.unionByName(others, allowMissingColumns=True)
+
+
+@query
+def run_date_files(t: Tables) -> DataFrame:
+    """Events in folders by month; the folder of one run date is read."""
+    folder = fresh_folder(t.spark)
+    parts = t["events"].select(
+        "event_id", "event_type", F.date_format("ts", "yyyy").alias("y"), F.date_format("ts", "MM").alias("m")
+    )
+    for y, m in sorted({(r.y, r.m) for r in parts.select("y", "m").distinct().collect()}):
+        month = parts.where((F.col("y") == y) & (F.col("m") == m)).select("event_id", "event_type")
+        month.write.json(f"{folder}/{y}/{m}")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
+    return files.read_json(t.spark, files.run_date_path(folder, date(2024, 1, 15)), schema)
+
+
+@query
+def delimited_single_gzip(t: Tables) -> DataFrame:
+    """One gzip file, which one task reads and deals out for what follows."""
+    folder = fresh_folder(t.spark)
+    file_sinks.write_delimited(t["part"], folder, "|", header=False, single_file=True, compression="gzip")
+    tasks = t.spark.sparkContext.defaultParallelism
+    return files.read_delimited(t.spark, folder, t["part"].schema, "|", header_rows=0, spread=tasks)
+
+
+@query
+def gzip_text_lines(t: Tables) -> DataFrame:
+    """Lines of gzip text files, counted by their first word."""
+    folder = fresh_folder(t.spark)
+    lines = t["part"].select(F.concat_ws(" ", "p_name", "p_brand").alias("value"))
+    lines.write.option("compression", "gzip").text(folder)
+    first = F.substring_index("value", " ", 1).alias("word")
+    return files.read_lines(t.spark, folder).groupBy(first).agg(F.count("*").alias("n"))
+
+
+@query
+def single_file_export(t: Tables) -> DataFrame:
+    """A summary exported as one file with a header, and read back."""
+    folder = fresh_folder(t.spark)
+    summary = t["lineitem"].groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
+    file_sinks.write_delimited(summary, folder, single_file=True)
+    return files.read_delimited(t.spark, folder, summary.schema).select("l_returnflag", "l_linestatus", "n")
+
+
+@query
+def local_lookup(t: Tables) -> DataFrame:
+    """Customers by region: the fixed list of regions is held by the driver as local rows."""
+    names = from_local(t.spark, t["region"].select("r_regionkey", "r_name").collect(), "key int, region string")
+    nations = joins.star_join(t["nation"], (names, "n_regionkey", "key"))
+    return joins.star_join(t["customer"], (nations, "c_nationkey", "n_nationkey")).groupBy("region").agg(
+        F.count("*").alias("n")
+    )
+
+
+@query
+def several_header_rows(t: Tables) -> DataFrame:
+    """Delimited files with three lines at the head of each."""
+    folder = fresh_folder(t.spark)
+    keyed = t["orders"].select("o_orderkey", "o_orderstatus")
+    head = "made by a test|# three lines|o_orderkey;o_orderstatus"
+    rows_of = keyed.select(
+        F.pmod("o_orderkey", F.lit(7)).alias("part"), F.lit(9).alias("place"), F.concat_ws(";", "o_orderkey", "o_orderstatus").alias("value")
+    )
+    heads = rows_of.select("part").distinct().select("part", F.posexplode(F.split(F.lit(head), "[|]")).alias("place", "value"))
+    in_order = rows_of.unionByName(heads).repartition("part").sortWithinPartitions("part", "place")
+    in_order.select("part", "value").write.partitionBy("part").text(folder)
+    return files.read_delimited(t.spark, folder, keyed.schema, ";", header_rows=3)
+
+
+@query
+def rejected_lines(t: Tables) -> DataFrame:
+    """Lines of JSON and of delimited text that fit, and those kept apart, counted."""
+    folder = fresh_folder(t.spark)
+    broken = F.col("event_id") % 10 == 3
+    as_json = F.to_json(F.struct("event_id", "event_type"))
+    t["events"].select(F.when(broken, F.concat(F.lit("{"), as_json)).otherwise(as_json).alias("value")).write.text(f"{folder}/json")
+    as_csv = F.concat_ws(",", F.when(broken, F.lit("none")).otherwise(F.col("event_id").cast("string")), "event_type")
+    t["events"].select(as_csv.alias("value")).write.text(f"{folder}/csv")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
+    found = {
+        "json": files.read_json_checked(t.spark, f"{folder}/json", schema, glob="*.txt"),
+        "csv": files.read_delimited_checked(t.spark, f"{folder}/csv", schema, header_rows=0),
+    }
+    counts = [
+        rows.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), F.lit(fits).alias("fits"), "n")
+        for kind, sides in found.items()
+        for fits, rows in zip((True, False), sides)
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query

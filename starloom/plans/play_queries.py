@@ -143,7 +143,8 @@ def longest_songs(t: Tables) -> DataFrame:
 
 def _payments(t: Tables) -> DataFrame:
     return t["orders"].select(
-        F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("payment_date")
+        F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
+        F.col("o_orderdate").alias("payment_date"),
     )
 
 
@@ -204,6 +205,18 @@ def log_split_fields(t: Tables) -> DataFrame:
     return log_lines(t).select(*[part.alias(name) for name, part in parts.items()])
 
 
+@query
+def log_popular_hosts(t: Tables) -> DataFrame:
+    good, _ = weblog.parse_lines(log_lines(t))
+    return reports.popular_hosts(good)
+
+
+@query
+def log_popular_content(t: Tables) -> DataFrame:
+    good, _ = weblog.parse_lines(log_lines(t))
+    return reports.popular_content(good)
+
+
 @query
 def log_largest_responses(t: Tables) -> DataFrame:
     good, _ = weblog.parse_lines(log_lines(t))
@@ -213,6 +226,17 @@ def log_largest_responses(t: Tables) -> DataFrame:
 # Rules as queries
 
 
+@query
+def dq_empty_rule(t: Tables) -> DataFrame:
+    """A rule whose query gives no row fails, and fractions and unnamed columns are reported."""
+    named_views({"ruled_orders": t["orders"]})
+    rules = [
+        quality.Rule("nothing found", "SELECT o_orderkey FROM ruled_orders WHERE o_orderkey < 0", "=", 0),
+        quality.Rule("a fraction", "SELECT 0.4D FROM ruled_orders LIMIT 1", "<", 0.5),
+    ]
+    return quality.run_rules(t.spark, rules)
+
+
 @query
 def dq_rule_queries(t: Tables) -> DataFrame:
     named_views({"checked_orders": t["orders"]})

@@ -27,7 +27,7 @@ def who_heard_what(t: Mapping[str, DataFrame]) -> DataFrame:
 def most_prolific_years(t: Mapping[str, DataFrame], places: int = 3) -> DataFrame:
     """Highest song counts per year, with the years that share each count."""
     dated = t["songs"].where(F.col("year") != 0)
-    return aggregates.groups_with_ties(dated, "year", places).select(
+    return aggregates.listed(aggregates.groups_with_ties(dated, "year", places)).select(
         F.col("num").alias("num_of_songs"), F.col("members").alias("years")
     ).orderBy(F.desc("num_of_songs"))
 
@@ -49,7 +49,7 @@ def revenue_per_month(payments: DataFrame) -> DataFrame:
     return payments.sparkSession.sql(
         """
         SELECT year(payment_date) AS y, month(payment_date) AS m,
-               CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE) AS revenue
+               CAST(sum(amount) AS DOUBLE) AS revenue
         FROM {payments}
         GROUP BY year(payment_date), month(payment_date)
         """,
@@ -60,7 +60,7 @@ def revenue_per_month(payments: DataFrame) -> DataFrame:
 def revenue_per_calendar_month(payments: DataFrame) -> DataFrame:
     """Revenue by month number, years together."""
     month = F.month("payment_date").alias("m")
-    return aggregates.sum_by(payments, aggregates.exact_sum(F.col("amount")), month)
+    return aggregates.sum_by(payments, F.sum("amount").cast("double"), month)
 
 
 def popular_hosts(log: DataFrame) -> DataFrame:

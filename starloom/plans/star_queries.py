@@ -152,7 +152,7 @@ def order_two_dim(t: Tables) -> DataFrame:
         (t["part"].where("p_type = 'PROMO'"), *_PART),
         (american.select("s_suppkey"), *_SUPPLIER),
         (t["orders"].select("o_orderkey", _year()), *_ORDER),
-        revenue=exact_sum(F.col("l_extendedprice")),
+        revenue=exact_sum(F.col("l_extendedprice"), decimals=2),
         by=["d_year", "p_brand"],
     )
 
@@ -167,7 +167,7 @@ def order_drill(t: Tables) -> DataFrame:
         t["lineitem"],
         (orders, *_ORDER),
         (_in_nations(t, "supplier", "s_nationkey", "s_nation"), *_SUPPLIER),
-        revenue=exact_sum(F.col("l_extendedprice")),
+        revenue=exact_sum(F.col("l_extendedprice"), decimals=2),
         by=["c_nation", "s_nation", _year()],
         year="d_year",
     )

@@ -141,7 +141,7 @@ def _catalogue(t: Tables) -> DataFrame:
     return t["part"].where("p_size <= 25").select("p_partkey", "p_name", "p_brand", "p_retailprice")
 
 
-def _titled(t: Tables, **limits: int) -> DataFrame:
+def _titled(t: Tables, shuffled: bool = False) -> DataFrame:
     matched = joins.match_catalogue(
         _plays(t).select("l_orderkey", "l_linenumber", "song"),
         _catalogue(t),
@@ -149,7 +149,7 @@ def _titled(t: Tables, **limits: int) -> DataFrame:
         take=["p_partkey"],
         how="inner",
         one_match="p_partkey",
-        **limits,
+        shuffled=shuffled,
     )
     return matched.select("l_orderkey", "l_linenumber", "p_partkey")
 
@@ -167,22 +167,19 @@ def fact_enrich_title_artist(t: Tables) -> DataFrame:
         on={"song": "p_name", "artist": "p_brand"},
         take=["p_partkey"],
         how="inner",
+        one_match="p_partkey",
     )
-    return aggregates.distinct_rows(matched, "l_orderkey", "l_linenumber", "p_partkey")
-
-
-# The way a join takes beyond what may be broadcast, at a size where heavy keys occur.
-SPREAD = {"max_rows": 0, "hot_rows": 200}
+    return matched.select("l_orderkey", "l_linenumber", "p_partkey")
 
 
-def _enriched(t: Tables, **limits: int) -> DataFrame:
+def _enriched(t: Tables, shuffled: bool = False) -> DataFrame:
     matched = joins.match_catalogue(
         _plays(t),
         _catalogue(t),
         on={"song": "p_name", "artist": "p_brand", "length": "p_retailprice"},
         take=["p_partkey"],
         round_to={"length": 3},
-        **limits,
+        shuffled=shuffled,
     )
     play_id = keys.hash_key("l_orderkey", "l_linenumber").alias("play_id")
     return matched.select(play_id, "l_orderkey", "p_partkey")
@@ -195,12 +192,12 @@ def fact_enrich_left(t: Tables) -> DataFrame:
 
 @query
 def fact_enrich_left_spread(t: Tables) -> DataFrame:
-    return _enriched(t, **SPREAD)
+    return _enriched(t, shuffled=True)
 
 
 @query
 def fact_enrich_title_spread(t: Tables) -> DataFrame:
-    return _titled(t, **SPREAD)
+    return _titled(t, shuffled=True)
 
 
 @query
@@ -277,7 +274,15 @@ def top_n_join(t: Tables) -> DataFrame:
 
 @query
 def monthly_revenue(t: Tables) -> DataFrame:
-    return aggregates.sum_by_month(t["orders"], "o_orderdate", F.col("o_totalprice"))
+    return aggregates.sum_by_month(t["orders"], "o_orderdate", F.col("o_totalprice"), decimals=2)
+
+
+@query
+def monthly_unit_price(t: Tables) -> DataFrame:
+    """Values of many decimals are added as they are."""
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    sums = aggregates.sum_by_month(t["lineitem"], "l_shipdate", price)
+    return sums.select("y", "m", F.round("revenue", 4).alias("revenue"))
 
 
 @query
@@ -333,8 +338,7 @@ def map_field(t: Tables) -> DataFrame:
 
 @query
 def struct_field(t: Tables) -> DataFrame:
-    openings = rows.where_value(t["conversations"], "turn", 0)
-    packed = openings.select(F.struct("conv_id", "role", "text").alias("data"))
+    packed = t["conversations"].select(F.struct("conv_id", "role", "text").alias("data"))
     return nested.struct_fields(packed, "data.conv_id", "data.role")
 
 
@@ -361,7 +365,7 @@ def upsert_ignore(t: Tables) -> DataFrame:
     return merged.select("c_custkey", "c_mktsegment")
 
 
-def _reloaded_users(t: Tables, **limits: int) -> DataFrame:
+def _reloaded_users(t: Tables, shuffled: bool = False) -> DataFrame:
     events = t["events"].select("user_id", "event_type", "ts")
     staged = events.where(F.col("ts") >= _moment("2024-01-29"))
     return merge.delete_then_insert(
@@ -369,7 +373,7 @@ def _reloaded_users(t: Tables, **limits: int) -> DataFrame:
         staged=staged,
         insert=staged.where("event_type = 'purchase'"),
         keys=["user_id"],
-        **limits,
+        shuffled=shuffled,
     )
 
 
@@ -380,7 +384,7 @@ def delete_then_insert(t: Tables) -> DataFrame:
 
 @query
 def delete_then_insert_spread(t: Tables) -> DataFrame:
-    return _reloaded_users(t, **SPREAD)
+    return _reloaded_users(t, shuffled=True)
 
 
 @query

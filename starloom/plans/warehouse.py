@@ -5,8 +5,12 @@ Running it again on the same files changes nothing.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +30,12 @@ def stage(
     schema: T.StructType,
     table: str,
     run_date: date | None = None,
-    keep_rejects: bool = False,
+    keep_rejects: bool = True,
 ) -> None:
     """Clears a staging table and loads the files of the run's month, or all of them.
 
-    A field that does not fit is null, and so is every field of a line that cannot be parsed.
-    With `keep_rejects` such lines go to `<table>_rejects` with their file instead; that takes
-    a second pass over the files.
+    Lines that do not fit the schema go to `<table>_rejects` with their file, which takes a second
+    pass over the files. Without `keep_rejects` such a line stops the load.
     """
     folder = run_date_path(path, run_date)
     if keep_rejects:
@@ -69,8 +72,13 @@ def months_of(rows: DataFrame) -> list[int]:
 
 
 def in_months(rows: DataFrame, months: list[int]) -> DataFrame:
-    """Rows of those months. The condition is on partition columns, so no other folder is read."""
-    return rows.where((F.col("year") * 100 + F.col("month")).isin(months))
+    """Rows of those months, by plain conditions on the partition columns for each year, which a
+    metastore can prune by: no other folder is read."""
+    by_year: dict[int, list[int]] = {}
+    for yyyymm in months:
+        by_year.setdefault(yyyymm // 100, []).append(yyyymm % 100)
+    wanted = [(F.col("year") == y) & F.col("month").isin(ms) for y, ms in sorted(by_year.items())]
+    return rows.where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
 
 
 def merge_time(spark: SparkSession, events: DataFrame, table: str) -> None:
@@ -82,11 +90,17 @@ def merge_time(spark: SparkSession, events: DataFrame, table: str) -> None:
     tables.append_partitions(added, table, ["year", "month"], ["start_time"])
 
 
-def written_batch(batch: DataFrame, table: str) -> tuple[DataFrame, list[int]]:
-    """The batch written out, and its months. It is used several times; its join runs once."""
-    tables.create_table_as(batch, f"{table}__batch")
-    written = tables.current(batch.sparkSession, f"{table}__batch")
-    return written, months_of(written)
+@contextmanager
+def written_batch(batch: DataFrame, table: str) -> Iterator[tuple[DataFrame, list[int]]]:
+    """The batch written out, and its months. It is used several times; its join runs once. The
+    table has a name of its own, so runs do not meet in it, and is dropped at the end."""
+    spark, name = batch.sparkSession, f"{table}__batch_{uuid.uuid4().hex[:12]}"
+    try:
+        tables.create_table_as(batch, name)
+        written = tables.current(spark, name)
+        yield written, months_of(written)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def append_songplays(batch: DataFrame, table: str) -> list[int]:
@@ -95,11 +109,11 @@ def append_songplays(batch: DataFrame, table: str) -> list[int]:
     Reads the keys of the batch's months and writes the new rows, nothing else. Gives the
     months.
     """
-    written, months = written_batch(batch, table)
-    if months:
-        stored = in_months(tables.current(batch.sparkSession, table), months)
-        added = merge.unseen(stored, written, ["songplay_id"])
-        tables.append_partitions(added, table, ["year", "month"], ["start_time"])
+    with written_batch(batch, table) as (written, months):
+        if months:
+            stored = in_months(tables.current(batch.sparkSession, table), months)
+            added = merge.unseen(stored, written, ["songplay_id"])
+            tables.append_partitions(added, table, ["year", "month"], ["start_time"])
     return months
 
 
@@ -109,13 +123,12 @@ def replace_songplays(batch: DataFrame, table: str) -> list[int]:
     The batch's months are rewritten; other months are neither read nor written. Gives the
     months.
     """
-    written, months = written_batch(batch, table)
-    if months:
-        stored = in_months(tables.current(batch.sparkSession, table), months)
-        again = merge.batch_keys(written, ["songplay_id"], repeated=False)
-        kept = merge.without_keys(stored, again, ["songplay_id"])
-        merged = kept.unionByName(written)
-        tables.replace_partitions(merged, table, ["year", "month"], ["start_time"])
+    with written_batch(batch, table) as (written, months):
+        if months:
+            stored = in_months(tables.current(batch.sparkSession, table), months)
+            kept = merge.without_keys(stored, written, ["songplay_id"])
+            merged = kept.unionByName(written)
+            tables.replace_partitions(merged, table, ["year", "month"], ["start_time"])
     return months
 
 
@@ -164,7 +177,7 @@ def run(
     run_date: date | None = None,
     match: str = "title_artist_length",
     reprocess: bool = False,
-    keep_rejects: bool = False,
+    keep_rejects: bool = True,
 ) -> list:
     """One run of the load. Returns the results of the checks; raises if one fails.
 

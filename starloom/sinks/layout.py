@@ -8,39 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits_broadcast
-
-
-def heaviest_key(rows: DataFrame, key: str) -> int:
-    """Rows of the most frequent value of a key."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first().n
-
 
 def write_bucketed(
-    rows: DataFrame,
-    name: str,
-    key: str,
-    buckets: int,
-    sort_by: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
-) -> bool:
+    rows: DataFrame, name: str, key: str, buckets: int, sort_by: Sequence[str] = ()
+) -> None:
     """A table distributed by a key: tables with the same buckets join on it without a shuffle.
 
     The rows are shuffled to their buckets first, so a bucket is one file instead of one per
-    writing task. A bucket is read by one task, so a key with more than `hot_rows` rows must
-    not be bucketed: the table is then written sorted only, its joins shuffle and AQE splits
-    the heavy partitions. Says whether the table is bucketed.
+    writing task. A bucket is read by one task: who gives a table buckets says that no value of
+    the key is too heavy for one. A key with heavy values is for `write_sorted`, whose joins
+    shuffle and split such values at run time.
     """
-    sort_by = list(sort_by) or [key]
-    if heaviest_key(rows, key) > hot_rows:
-        write_sorted(rows, name, *sort_by)
-        return False
     spread = rows.repartition(buckets, F.col(key))
     spread.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(
-        *sort_by
+        *(list(sort_by) or [key])
     ).saveAsTable(name)
-    return True
 
 
 def write_sorted(rows: DataFrame, name: str, *sort_by: str) -> None:
@@ -56,6 +38,7 @@ def write_sorted(rows: DataFrame, name: str, *sort_by: str) -> None:
     )
 
 
-def replicated(dimension: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A dimension marked to be copied to every task, if it was measured to be small enough."""
-    return F.broadcast(dimension) if fits_broadcast(dimension, max_rows) else dimension
+def replicated(dimension: DataFrame) -> DataFrame:
+    """A dimension that its owner declares to be small and of bounded size: it is copied to every
+    task. Without the declaration adaptive execution copies what it finds to be small."""
+    return F.broadcast(dimension)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+JSON_FILES = "*.json*"
 
 
 def read_json(
@@ -19,16 +20,18 @@ def read_json(
     path: str | Sequence[str],
     schema: T.StructType,
     recursive: bool = True,
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
+    glob: str = JSON_FILES,
 ) -> DataFrame:
     """Line-JSON under a folder, a glob, or several of them, as one frame.
 
-    Files in subfolders are included. A field that does not fit the schema is null; `mode`
-    FAILFAST stops instead, and `read_json_checked` keeps the bad lines apart.
+    Files in subfolders are included if their names fit `glob`. A line that does not fit the
+    schema stops the read; with `mode` PERMISSIVE its fields are null, and `read_json_checked`
+    keeps such lines apart.
     """
     reader = spark.read.schema(schema).option("mode", mode)
     if recursive:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*")
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     return reader.json(path if isinstance(path, str) else list(path))
 
 
@@ -42,7 +45,7 @@ def read_json_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1
 
 
 def read_json_checked(
-    spark: SparkSession, path: str, schema: T.StructType
+    spark: SparkSession, path: str, schema: T.StructType, glob: str = JSON_FILES
 ) -> tuple[DataFrame, DataFrame]:
     """Lines that fit the schema, and the others as (line, file)."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
@@ -51,7 +54,7 @@ def read_json_checked(
     )
     lines = (
         spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json*")
+        .option("pathGlobFilter", glob)
         .text(path)
         .where(F.trim("value") != "")
         .select("value", F.col("_metadata.file_path").alias("file"), parsed.alias("row"))
@@ -112,7 +115,7 @@ def read_delimited(
     header_rows: int = 1,
     infer: bool = False,
     spread: int | None = None,
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
     **key_values,
 ) -> DataFrame:
     """Delimited text, gzip included: a file, a glob or a folder.
@@ -120,12 +123,19 @@ def read_delimited(
     Without a schema every column is text, or inferred if asked for. `key_values` fill the
     placeholders of a path such as `trips/{ds}.csv`. A gzip file is one task however large
     it is; `spread` deals its rows over that many tasks for the work that follows, and many
-    smaller files need none of that.
+    smaller files need none of that. `header_rows` lines at the head of every file are skipped;
+    more than one needs a schema. A line that does not fit the schema stops the read, unless
+    `mode` is PERMISSIVE; `read_delimited_checked` keeps such lines apart.
     """
-    if header_rows not in (0, 1):
-        raise ValueError("a delimited file has one header row or none")
+    path = path.format(**key_values) if key_values else path
     if schema is not None and infer:
         raise ValueError("give a schema or infer one, not both")
+    if header_rows > 1:
+        if schema is None:
+            raise ValueError("a file with several header rows needs a schema")
+        parsed = F.from_csv("value", _ddl(schema), {"sep": sep, "mode": mode}).alias("row")
+        rows = _after_header(spark, path, header_rows).select(parsed).select("row.*")
+        return rows.repartition(spread) if spread else rows
     reader = (
         spark.read.option("sep", sep)
         .option("header", header_rows == 1)
@@ -135,10 +145,41 @@ def read_delimited(
     if schema is not None:
         # With a schema the header is only skipped: columns go by position.
         reader = reader.schema(schema).option("enforceSchema", True)
-    rows = reader.csv(path.format(**key_values) if key_values else path)
+    rows = reader.csv(path)
     return rows.repartition(spread) if spread else rows
 
 
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _after_header(spark: SparkSession, path: str, header_rows: int) -> DataFrame:
+    """Lines (value, file) behind the head of each file. A file's first lines are numbered in a row
+    by the task that reads its start, so the number of the first tells which to skip."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    heads = lines.where("block = 0").groupBy(F.col("file").alias("of")).agg(F.min("line").alias("head"))
+    behind = (F.col("block") > 0) | (F.col("line") >= F.col("head") + header_rows)
+    return lines.join(heads, F.col("file") == F.col("of")).where(behind & (F.trim("value") != "")).select("value", "file")
+
+
+def read_delimited_checked(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header_rows: int = 1
+) -> tuple[DataFrame, DataFrame]:
+    """Lines that fit the schema, and the others as (line, file)."""
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_csv("value", _ddl(with_corrupt), options).alias("row")
+    lines = _after_header(spark, path, header_rows).select("value", "file", parsed)
+    bad = F.col(f"row.{CORRUPT}").isNotNull()
+    good = lines.where(~bad).select(*[F.col(f"row.{name}") for name in schema.names])
+    return good, lines.where(bad).select(F.col("value").alias("line"), "file")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines, gzip included, in a column `value`."""
     return spark.read.text(path)

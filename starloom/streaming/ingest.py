@@ -5,20 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starloom.session import shared_folder
+from starloom.sources.files import CORRUPT, JSON_FILES
 
 
 def stream_json(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    files_per_batch: int = 1000,
+    mode: str = "FAILFAST",
+    glob: str = JSON_FILES,
 ) -> DataFrame:
-    """New line-JSON files under a folder, in batches of a bounded number of files."""
+    """New line-JSON files under a folder, in batches of a bounded number of files.
+
+    A line that does not fit the schema stops the stream, so that none is lost unseen.
+    """
     return (
         spark.readStream.schema(schema)
+        .option("mode", mode)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json*")
+        .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(path)
     )
@@ -72,7 +83,22 @@ def stream_songplays(
     name: str = "songplays",
     checkpoint: str | None = None,
     files_per_batch: int = 1000,
+    rejects: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
-    """New event files to plays to the fact table."""
-    events = stream_json(spark, path, schema, files_per_batch)
-    return merge_stream(events, name, lambda batch: merge(to_plays(batch)), checkpoint)
+    """New event files to plays to the fact table.
+
+    Lines that do not fit the schema go to `rejects`, in a column `line`; without it the first
+    such line stops the stream. A batch that runs again hands its rejects over again.
+    """
+    if rejects is None:
+        events = stream_json(spark, path, schema, files_per_batch)
+        return merge_stream(events, name, lambda batch: merge(to_plays(batch)), checkpoint)
+
+    def take(batch: DataFrame) -> None:
+        bad = F.col(CORRUPT).isNotNull()
+        rejects(batch.where(bad).select(F.col(CORRUPT).alias("line")))
+        merge(to_plays(batch.where(~bad).drop(CORRUPT)))
+
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    events = stream_json(spark, path, with_corrupt, files_per_batch, mode="PERMISSIVE")
+    return merge_stream(events, name, take, checkpoint)

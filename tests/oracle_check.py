@@ -72,7 +72,7 @@ def main() -> int:
     from starloom.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("oracle check", "local[8]", settings={"spark.sql.shuffle.partitions": "8"})
+    spark = build_session("oracle check", "local[8]", settings={"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = duck(folder)
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
