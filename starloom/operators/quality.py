@@ -83,9 +83,8 @@ def run_rules(
         if isinstance(rule.actual, str):
             asked = spark.sql(rule.actual)
             named = asked.toDF(*(f"_{n}" for n in range(len(asked.columns))))
-            first = named.limit(1).select(F.col("_0").alias("value"), F.lit(True).alias("there"))
-            one = spark.range(1).select(F.lit(True).alias("here"))
-            answer = one.join(first, F.col("here") == F.col("there"), "left")
+            # An aggregate gives one row for no rows too.
+            answer = named.limit(1).agg(F.first("_0").alias("value"))
             results.append(answer.select(_outcome(rule, F.col("value"), value_type).alias("r")))
         else:
             by_table.setdefault(rule.table, []).append(rule)
