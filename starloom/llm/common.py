@@ -60,6 +60,13 @@ def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tu
         first = last
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, for work that holds several copies of a batch."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def pack_texts(column: pa.Array) -> pa.Array:
     """Texts as zstd, which shuffle in a third of their bytes. A null is an empty text."""
     press = zstandard.ZstdCompressor(level=1)

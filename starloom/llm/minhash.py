@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import pack_texts, text_blocks, unpack_texts, written
+from starloom.llm.common import few_rows, pack_texts, text_blocks, unpack_texts, written
 from starloom.llm.graph import components
 from starloom.llm.words import find_words, mix, seeded, window_hashes
 
@@ -152,7 +152,7 @@ def confirmed(pairs: DataFrame, documents: DataFrame, like_percent: int = LIKE_P
 
     def compare(batches):
         group, hub = None, None
-        for batch in batches:
+        for batch in few_rows(batches):
             heads, parts, ids = (np.asarray(batch.column(k)) for k in range(3))
             keep_a, keep_b = [], []
             for k, one in enumerate(shingle_sets(unpack_texts(batch.column(3)))):
@@ -227,14 +227,14 @@ def packed(documents: DataFrame) -> DataFrame:
     """(doc_id, packed): texts as zstd, which shuffles in a third of its bytes."""
 
     def pack(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pack_texts(batch.column(1))], ["doc_id", "packed"])
 
     return documents.select("doc_id", "text").where("doc_id is not null").mapInArrow(pack, "doc_id long, packed binary")
 
 
 def _sets(batches):
-    for batch in batches:
+    for batch in few_rows(batches):
         blobs = [x.tobytes() for x in shingle_sets(unpack_texts(batch.column(1)))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], ["node", "shingles"])
 

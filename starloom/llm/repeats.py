@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm import sketch
-from starloom.llm.common import pack_texts, text_blocks, unpack_texts, written
+from starloom.llm.common import few_rows, pack_texts, text_blocks, unpack_texts, written
 from starloom.llm.words import Rolling, Words, find_words, mix, sliding_minimum, window_hashes
 
 WINDOW = 35
@@ -54,7 +54,7 @@ def packed_texts(documents: DataFrame) -> DataFrame:
     """row_key, doc_id and the text as zstd, which shuffles in a third of its bytes."""
 
     def pack(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pack_texts(batch.column(2))], ["row_key", "doc_id", "packed"])
 
     return documents.select(row_key().alias("row_key"), "doc_id", "text").mapInArrow(pack, "row_key long, doc_id long, packed binary")
@@ -218,7 +218,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM
 
     def cut(batches):
         names = ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"]
-        for batch in batches:
+        for batch in few_rows(batches):
             texts = unpack_texts(batch.column(1))
             lists = batch.column(2)
             for first, last, data, offsets in text_blocks(texts):
