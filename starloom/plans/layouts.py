@@ -38,7 +38,7 @@ def load_tables(
         rows = read_delimited(spark, f"{folder}/{spec.name}", spec.schema, sep, header_rows=0)
         store(rows, tables.qualified(spec.name, database), spec)
         seconds.append((spec.name, time.perf_counter() - start))
-    return spark.createDataFrame(seconds, f"table string, loadtime_{database} double")
+    return spark.createDataFrame(seconds, f"table string, seconds_{database} double")
 
 
 def seconds_of(query: Callable[[], DataFrame], runs: int = 3) -> float:

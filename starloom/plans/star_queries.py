@@ -95,12 +95,12 @@ def ssb_by_date(t: Tables) -> DataFrame:
     return star_by_date(t["lineorder"], part, revenue=_ssb_discounted(), date="lo_orderdate")
 
 
-# Names of the four reports.
+# Names of the four reports.
 SSB_REPORTS: dict[str, Report] = {
-    "oneDim": ssb_one_dim,
-    "twoDim": ssb_two_dim,
-    "drill": ssb_drill,
-    "oneDimSameDist": ssb_by_date,
+    "by_part_discount": ssb_one_dim,
+    "by_year_brand": ssb_two_dim,
+    "by_city": ssb_drill,
+    "by_date": ssb_by_date,
 }
 
 

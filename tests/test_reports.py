@@ -227,17 +227,17 @@ def order_star(spark):
 def test_order_star_reports(spark):
     star = order_star(spark)
     reports_of = {name: report(star) for name, report in star_queries.SSB_REPORTS.items()}
-    assert values(reports_of["oneDim"]) == [(100 + 600 + 1200 + 1400,)]
-    assert values(reports_of["twoDim"], "d_year", "p_brand1", "revenue") == [
+    assert values(reports_of["by_part_discount"]) == [(100 + 600 + 1200 + 1400,)]
+    assert values(reports_of["by_year_brand"], "d_year", "p_brand1", "revenue") == [
         (1997, "B1", 294),
         (1998, "B1", 392),
     ]
-    assert [tuple(r) for r in reports_of["drill"].collect()] == [
+    assert [tuple(r) for r in reports_of["by_city"].collect()] == [
         ("UNITED KI1", "UNITED KI5", 1997, 588),
         ("UNITED KI5", "UNITED KI5", 1997, 194),
         ("UNITED KI1", "UNITED KI1", 1997, 99),
     ]
-    assert [tuple(r) for r in reports_of["oneDimSameDist"].collect()] == [
+    assert [tuple(r) for r in reports_of["by_date"].collect()] == [
         (19971101, 600),
         (19971201, 100 + 600 + 2000 + 1200),
         (19980101, 800),
@@ -258,7 +258,7 @@ def test_order_star_load_and_reports(spark, tmp_path):
     laid = layouts.load_tables(
         spark, str(tmp_path), schemas.laid_out(schemas.SSB_TABLES, 4), "ssb_laid"
     )
-    assert plain.columns == ["table", "loadtime_ssb_plain"] and plain.count() == 5
+    assert plain.columns == ["table", "seconds_ssb_plain"] and plain.count() == 5
     assert plain.join(laid, "table").count() == 5
     stored = [
         {s.name: spark.table(f"{database}.{s.name}") for s in schemas.SSB_TABLES}
