@@ -97,9 +97,13 @@ def leaks(documents: DataFrame, benchmark: DataFrame, like_percent: int = LIKE_P
         last = F.least("at", F.col("n_doc") - size)
         starts = hits.select("row_key", "n", F.explode(F.sequence(first, last)).alias("start")).distinct()
         asked = starts.groupBy("row_key").agg(F.collect_list(F.struct("n", "start")).alias("asked"))
+        texts = documents.select(F.xxhash64("doc_id", "text").alias("row_key"), "text")
         windows = (
-            worded.dropDuplicates(["row_key"]).join(asked, "row_key")
-            .select("row_key", F.size("words").alias("n_doc"), shingles("words", width).alias("all"), F.explode("asked").alias("w"))
+            texts.join(asked, "row_key")
+            .select("row_key", "asked", words(F.col("text")).alias("words"))
+            .select("row_key", "asked", F.size("words").alias("n_doc"), shingles("words", width).alias("all"))
+            # the shingles stand below the generator: once a document, not once a window
+            .select("row_key", "n_doc", "all", F.explode("asked").alias("w"))
             .select("row_key", "w.n", F.expr(f"slice(all, w.start + 1, least(w.n, n_doc) - {width} + 1)").alias("window"))
             .withColumn("mark", fingerprint("window"))
         )
