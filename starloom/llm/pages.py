@@ -72,11 +72,42 @@ class Node:
     children: list[int] = field(default_factory=list)
 
 
-def parse(page: str) -> list[Node]:
-    """Nodes in page order, each after its parent. Nothing of scripts, styles, heads and controls."""
+def raw_ends(page: str, tag: str) -> dict[int, int]:
+    """Where each element `tag` ends, by the place of its opening tag. Self-closed tags open
+    nothing; those without a matching end tag are left out. A <body> ends an open <head>."""
+    names = "|".join(sorted(UNPARSED | {tag} | ({"body"} if tag == "head" else set())))
+    token = re.compile(rf"<!--.*?(?:-->|$)|<(/?)({names})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)", re.I | re.S)
+    ends, opened, at = {}, [], 0
+    while found := token.search(page, at):
+        at = found.end()
+        name = (found[2] or "").lower()
+        if not name or not found[1] and found[3].rstrip().endswith("/"):
+            continue
+        if found[1]:
+            if name == tag and opened:
+                ends[opened.pop()] = page.find(">", at) + 1 or len(page)
+        elif name == tag:
+            opened.append(found.start())
+        elif name == "body":
+            ends.update((start, found.start()) for start in opened)
+            opened.clear()
+        else:
+            end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
+            if end is None:
+                break
+            at = end.end()
+    return ends
+
+
+def parse(page: str, labelled: bool = False) -> list[Node]:
+    """Nodes in page order, each after its parent. Nothing of scripts, styles, heads and controls.
+
+    Of a control without an end tag only the tag is left out. `data-main` is read in labelled
+    pages only, as any other page may use it for something else."""
     nodes = [Node("html", -1)]
     open_nodes = [0]
     at, skip = 0, None
+    ends: dict[str, dict[int, int]] = {}
 
     def close(tags, stop=frozenset()) -> None:
         for depth in range(len(open_nodes) - 1, 0, -1):
@@ -127,20 +158,9 @@ def parse(page: str) -> list[Node]:
             if tag in UNPARSED:
                 skip = tag
             else:  # leave out what is inside, nested or not
-                depth, inside = 1, at
-                for more in re.compile(rf"<(/?){tag}(?=[\s/>])|<(script|style|title)\b.*?</\2\s*>|(<body\b)", re.I | re.S).finditer(page, at):
-                    if more[2]:
-                        continue
-                    if more[3]:
-                        if tag == "head":
-                            depth, inside = 0, more.start()
-                            break
-                        continue
-                    depth += -1 if more[1] else 1
-                    if depth == 0:
-                        inside = page.find(">", more.start()) + 1 or len(page)
-                        break
-                at = inside if depth == 0 else (len(page) if tag != "head" else at)
+                if tag not in ends:
+                    ends[tag] = raw_ends(page, tag)
+                at = ends[tag].get(found.start(), at)
             continue
         if tag in CLOSES_P:
             close({"p"}, {"td", "th", "table", "body", "article", "section", "div", "li", "main", "blockquote"})
@@ -151,7 +171,7 @@ def parse(page: str) -> list[Node]:
             continue
         attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(found[3])} if found[3].strip() else {}
         label = attributes.pop("data-main", None)
-        node = Node(tag, open_nodes[-1], names=" ".join(attributes.values()).lower(), label=None if label is None else int(label))
+        node = Node(tag, open_nodes[-1], names=" ".join(attributes.values()).lower(), label=int(label) if labelled and label is not None else None)
         nodes[open_nodes[-1]].children.append(len(nodes))
         nodes.append(node)
         if not found[3].rstrip().endswith("/"):
@@ -354,7 +374,7 @@ def labelled_sample(pages: DataFrame, count: int) -> list[list[Node]]:
 
 
 def trained(pages: DataFrame, trained_on: int = TRAINED_ON, labelled: tuple[str, ...] = LABELLED) -> Model:
-    trees = [parse(x) for x in labelled] * 20 + labelled_sample(pages, trained_on)
+    trees = [parse(x, labelled=True) for x in labelled] * 20 + labelled_sample(pages, trained_on)
     for nodes in trees:
         if nodes[0].chars == 0:
             measure(nodes)

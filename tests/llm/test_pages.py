@@ -74,3 +74,28 @@ def test_odd_pages(spark):
     by_id = {r.page_id: r for r in got}
     assert by_id[None].text == by_id[2].text == by_id[8].text == "" and by_id[10].text.count("\n\n") == 19999
     assert pages.extracted(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+STORY = "<article><h1>Rain</h1><p>It rained all day, and nobody went out. The river rose by a foot or more.</p></article>"
+
+
+@pytest.mark.parametrize("tag", sorted(pages.RAW - pages.UNPARSED - {"head"}))
+def test_controls_without_an_end_leave_the_page(model, tag):
+    expected = pages.main_text(f"<body>{STORY}</body>", model)
+    assert expected.startswith("Rain")
+    for control in (f"<nav><{tag}></nav>", f"<{tag}><{tag}/></{tag}>", f"<{tag}><{tag} a='>' /><{tag}>x</{tag}></{tag}>", f"<{tag}><!--<{tag}>--></{tag}>"):
+        assert pages.main_text(f"<body>{control}{STORY}</body>", model) == expected
+    assert expected in pages.main_text(f"<{tag}>Menu{STORY}", model)
+    many = pages.parse(f"<{tag}>" * 20000 + STORY)
+    assert any(n.tag == "article" for n in many)
+
+
+def test_heads_end_at_the_body():
+    for head in ("<head><title>T</title>", "<head><script>'<body>'</script></head>", "<head><meta><body class=x>"):
+        assert [n.tag for n in pages.parse(head + STORY) if n.tag not in ("", "body")] == ["html", "article", "h1", "p"]
+
+
+def test_data_main_of_crawled_pages_is_no_label(spark):
+    rows = [(k, "u", f"<body><div data-main={x}>{STORY}</div></body>", "clash") for k, x in enumerate(('"home"', '""', '"1"', '"0"', "x"))]
+    assert len({r.text for r in pages.extracted(spark.createDataFrame(rows, SCHEMA)).collect()}) == 1
+    assert all(n.label is None for n in pages.parse(rows[2][2]))
