@@ -25,6 +25,8 @@ WINDOW = 35
 GRAM = 16
 #: The sketch may take 2 * 2^27 bits, 32 MB.
 MOST_BITS = 27
+#: An anchor with more rows is split by window hash, so that no task holds more of one.
+MOST_ROWS = 4096
 _CONTEXTS = Rolling("contexts")
 _PLACE = np.uint64((1 << 34) - 1)
 
@@ -60,12 +62,47 @@ def packed_texts(documents: DataFrame) -> DataFrame:
     return documents.select(row_key().alias("row_key"), "doc_id", "text").mapInArrow(pack, "row_key long, doc_id long, packed binary")
 
 
-def repeated_windows(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, most_bits: int = MOST_BITS) -> DataFrame:
+def parted(rows: DataFrame, most_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows whose anchors have at most `most_rows` of them, and all others.
+
+    Counts combine before the shuffle. An n-th of the rows at most are heavy anchors, if n is
+    `most_rows`; they are few enough to be sent to every task.
+    """
+    heavy = written(rows.groupBy("anchor").count().where(F.col("count") > most_rows).select("anchor"), "heavy")
+    return tuple(rows.join(F.broadcast(heavy), "anchor", how) for how in ("left_anti", "left_semi"))
+
+
+def split_verdicts(rows: DataFrame) -> DataFrame:
+    """anchor, context and mask of stretches, with no group held: windows are counted by
+    (anchor, window), combined before the shuffle, and those that repeat are joined back."""
+
+    def explode(batches):
+        names = ["anchor", "window", "context", "bit", "n"]
+        for batch in few_rows(batches):
+            lists = batch.column("windows").to_pylist()
+            sizes = np.array([len(x) // 8 for x in lists], np.int64)
+            if not len(sizes):
+                continue
+            first = np.cumsum(sizes) - sizes
+            bits = np.int64(1) << (np.arange(sizes.sum()) - np.repeat(first, sizes))
+            anchor, context, n = (np.repeat(np.asarray(batch.column(c)), sizes) for c in ("anchor", "context", "n"))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, np.frombuffer(b"".join(lists), np.int64), context, bits, n)], names)
+
+    windows = rows.select("anchor", "context", "windows", "n").mapInArrow(explode, "anchor long, window long, context long, bit long, n long")
+    again = windows.groupBy("anchor", "window").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "window")
+    return windows.drop("n").join(again, ["anchor", "window"]).groupBy("anchor", "context").agg(F.bit_or("bit").alias("mask"))
+
+
+def repeated_windows(
+    documents: DataFrame, window: int = WINDOW, gram: int = GRAM, most_bits: int = MOST_BITS, most_rows: int = MOST_ROWS
+) -> DataFrame:
     """(row_key, start, mask): bit k says that the window at word start + k occurs elsewhere too.
 
     Consecutive windows with the same anchor travel as one row of window hashes. Equal rows of a
     task are sent once with their places, so that a passage found in very many texts weighs on
-    no single task; counts are summed per distinct row, and the verdicts joined back.
+    no single task; counts are summed per distinct row, and the verdicts joined back. A passage
+    between different texts gives its anchor a row in every text: anchors of more than
+    `most_rows` rows are split by window.
     """
     reach = window - gram + 1
     if not 1 <= reach <= 60:
@@ -133,7 +170,8 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, gram: int = GRA
         documents.select(row_key(), "text").mapInArrow(candidates, "anchor long, context long, windows binary, n long, places binary"),
         "candidates",
     )
-    distinct = rows.groupBy("anchor", "context", "windows").agg(F.sum("n").alias("n"))
+    light, heavy = parted(rows, most_rows)
+    distinct = light.groupBy("anchor", "context", "windows").agg(F.sum("n").alias("n"))
 
     def count(batches):
         """Reads rows sorted by anchor; windows are equal only if their anchors are."""
@@ -176,7 +214,7 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, gram: int = GRA
 
     verdicts = (
         distinct.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(count, "anchor long, context long, mask long")
-    )
+    ).unionByName(split_verdicts(heavy))
 
     def placed(batches):
         for batch in batches:
@@ -201,7 +239,9 @@ def _row_hashes(windows: np.ndarray, bounds: np.ndarray, offset: np.ndarray) ->
     return mix(_CONTEXTS.slices(sums, bounds[:-1], bounds[1:]) + offset.astype(np.uint64))
 
 
-def without_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM, most_bits: int = MOST_BITS) -> DataFrame:
+def without_repeats(
+    documents: DataFrame, window: int = WINDOW, gram: int = GRAM, most_bits: int = MOST_BITS, most_rows: int = MOST_ROWS
+) -> DataFrame:
     """Removes every word that a window covers which starts anywhere else too.
 
     Returns a row per row of `documents`: doc_id, n_words, n_removed, kept_text (kept words
@@ -211,7 +251,7 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM
     empty table gives an empty result.
     """
     marks = (
-        repeated_windows(documents, window, gram, most_bits)
+        repeated_windows(documents, window, gram, most_bits, most_rows)
         .groupBy("row_key")
         .agg(F.collect_list(F.struct("start", "mask")).alias("marks"))
     )

@@ -101,3 +101,24 @@ def test_a_passage_in_every_document(spark):
     rows = [(k, f"own{k} {passage} end{k}", "en", "s") for k in range(300)]
     got = repeats.without_repeats(frame(spark, rows)).collect()
     assert {(r.n_removed, r.kept_text) for r in got} == {(40, f"own{k} end{k}") for k in range(300)}
+
+
+def test_heavy_anchors_are_split(spark, documents, rows):
+    for most_rows in (0, 2):
+        got = repeats.without_repeats(documents, 8, 3, most_rows=most_rows).collect()
+        assert sorted(map(tuple, got), key=repr) == expected_words(rows, 8)
+
+
+def test_no_task_holds_a_heavy_anchor(spark):
+    passage = " ".join(f"w{k}" for k in range(40))
+    own = [" ".join(f"{side}{k}x{j}" for j in range(9)) for k in range(300) for side in "ab"]
+    rows = [(k, f"{own[2 * k]} {passage} {own[2 * k + 1]}", "en", "s") for k in range(300)] + [(300, f"{own[0]} once", "en", "s")]
+    docs = frame(spark, rows)
+    assert sorted(map(tuple, repeats.without_repeats(docs, most_rows=20).collect()), key=repr) == expected_words(rows, 35)
+    stretches = spark.createDataFrame([(a, c, b"w" * 8, 1) for a in range(3) for c in range((5, 20, 300)[a])], "anchor long, context long, windows binary, n long")
+    light, heavy = repeats.parted(stretches, 20)
+    assert {r.anchor for r in light.collect()} == {0, 1} and {r.anchor for r in heavy.collect()} == {2}
+    verdicts = repeats.split_verdicts(heavy)
+    plan = verdicts._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and plan.count("MapInArrow") == 2  # nothing but the explosions runs in Python
+    assert {r.mask for r in verdicts.collect()} == {1} and verdicts.count() == 300
