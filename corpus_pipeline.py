@@ -33,6 +33,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return weaklabel.accepted(docs)
 
 
+def quality_without_abuse(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weak-label classifier rejects for their writing or as abusive go."""
+    return weaklabel.accepted(docs, reject_abuse=True)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of the smallest doc_id stays.
 
@@ -62,7 +67,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("quality", quality),
+    ("quality", quality_without_abuse),
     ("near_dedup", near_dedup),
     ("decontaminate", decontaminate),
     ("mix", mix),

@@ -27,7 +27,7 @@ def op3_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return weaklabel.classified(table(spark, folder, "documents"))
+    return weaklabel.classified(table(spark, folder, "documents"), reject_abuse=True)
 
 
 def op5_extendible_shards(spark: SparkSession, folder: str) -> DataFrame:

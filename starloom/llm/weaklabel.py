@@ -4,6 +4,9 @@ Overlapping heuristic labellers vote good, bad or nothing on every document.
 Expectation-maximisation estimates how each labeller votes on good and on bad documents from how
 the votes agree, and so gives each document a probability of being good. These posteriors train a
 linear scorer on hashed features, which judges every document.
+
+Abuse is a second head: a text may be well written and abusive. Its labeller votes with the others,
+and its bad votes alone can reject a document.
 """
 
 from __future__ import annotations
@@ -15,9 +18,9 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import text_blocks
 from starloom.llm.divergence import basic_counts
-from starloom.llm.words import Words, find_words, mix
+from starloom.llm.words import LOWER, Words, find_words, mix
 
-LABELLERS = ("symbols", "capitals", "repeated_words", "bare_marks", "exclamations", "sentences", "word_length", "repeated_lines", "clean")
+LABELLERS = ("symbols", "capitals", "repeated_words", "bare_marks", "exclamations", "sentences", "word_length", "repeated_lines", "clean", "abuse")
 GOOD, BAD, NONE = 1, 2, 0
 ROUNDS = 200
 #: Documents that train the scorer: those whose ids have the smallest hashes.
@@ -27,6 +30,23 @@ STEPS = 300
 RATE = 4.0
 DECAY = 1e-4
 LEAST_SCORE = 0.4
+#: Words that are insults wherever they stand. Every list is looked up in every text, as `lang` may
+#: be missing or wrong; so words that are harmless in another of the languages are not listed.
+INSULTS = {
+    "en": "idiot idiots moron morons stupid scum scumbag imbecile cretin dimwit dumbass asshole bitch bastard retard",
+    "de": "idiot idioten trottel vollidiot depp dummkopf arschloch wichser hurensohn schlampe missgeburt drecksau abschaum",
+    "fr": "idiote crétin crétine abruti abrutie imbécile connard connasse salaud salope enculé débile",
+    "es": "idiota idiotas imbécil estúpido estúpida gilipollas pendejo cabrón puta subnormal escoria",
+}
+#: Words that insult or describe: without one of the above, two different ones make abuse.
+SLIGHTS = {
+    "en": "trash pathetic disgusting worthless clown clowns loser losers",
+    "de": "erbärmlich widerlich wertlos versager",
+    "fr": "pitoyable dégoûtant minable clown",
+    "es": "patético asqueroso inútil payaso basura",
+}
+#: Share of all words of a text that makes it abusive; a quoted insult in a longer text does not.
+ABUSE_RATE = 0.01
 
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
@@ -50,6 +70,34 @@ def _per_text(values: np.ndarray, words: Words) -> np.ndarray:
     return np.bincount(words.text, weights=values, minlength=len(words.counts))
 
 
+def _spelled(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Words in lower case, without punctuation and digits."""
+    low = LOWER[data]
+    low[(low < 0x80) & ~_LETTER[low]] = 32
+    accented = np.concatenate(([False], data[:-1] == 0xC3)) & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
+    low[accented] += 32
+    return find_words(low, offsets)
+
+
+def _lexicon(lists: dict[str, str]) -> np.ndarray:
+    data = " ".join(lists.values()).encode()
+    return np.unique(find_words(np.frombuffer(data, np.uint8), np.array([0, len(data)])).hashes())
+
+
+_INSULTS, _SLIGHTS = _lexicon(INSULTS), _lexicon(SLIGHTS)
+
+
+def abusive(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Texts of which insulting words are a share of `ABUSE_RATE`."""
+    words = _spelled(data, offsets)
+    hashes = words.hashes()
+    insult, slight = np.isin(hashes, _INSULTS), np.isin(hashes, _SLIGHTS)
+    rate = _per_text(insult | slight, words) / np.maximum(words.counts, 1)
+    pairs = np.unique(np.stack([words.text[slight].astype(np.uint64), hashes[slight]], axis=1), axis=0)
+    kinds = np.bincount(pairs[:, 0].astype(np.int64), minlength=len(words.counts))
+    return (rate >= ABUSE_RATE) & ((_per_text(insult, words) > 0) | (kinds > 1))
+
+
 def votes(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.ndarray:
     """One row a text, one column a labeller. A text without words gets none.
 
@@ -78,6 +126,7 @@ def votes(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.ndarray:
             np.where((length < 2.5) | (length > 12), BAD, NONE),
             np.where((lines >= 4) & (doubled >= 0.3), BAD, NONE),
             np.where(clean, GOOD, NONE),
+            np.where(abusive(data, offsets), BAD, NONE),
         ],
         axis=1,
     ).astype(np.int8)
@@ -183,7 +232,7 @@ def _scores(data: np.ndarray, offsets: np.ndarray, words: Words, weights: np.nda
 
 def fitted(documents: DataFrame, trained_on: int = TRAINED_ON) -> Classifier:
     """Votes of all documents, estimation over their patterns, and the scorer from a sample."""
-    counted = sorted(_voted(documents).groupBy("pattern").count().collect())  # 3 to the power of 9 at most
+    counted = sorted(_voted(documents).groupBy("pattern").count().collect())  # 3 to the power of 10 at most
     patterns = np.array([r[0] for r in counted], np.int64)
     posterior, _ = fit_votes(unfold(patterns), np.array([r[1] for r in counted], np.float64)) if counted else (np.zeros(0), None)
     known = dict(zip(patterns.tolist(), posterior.tolist()))
@@ -223,16 +272,20 @@ def fitted(documents: DataFrame, trained_on: int = TRAINED_ON) -> Classifier:
     return Classifier(known, documents.sparkSession.sparkContext.broadcast(weights), bias)  # 2^14 numbers
 
 
-def classified(documents: DataFrame, trained_on: int = TRAINED_ON, least_score: float = LEAST_SCORE) -> DataFrame:
+def classified(
+    documents: DataFrame, trained_on: int = TRAINED_ON, least_score: float = LEAST_SCORE, reject_abuse: bool = False
+) -> DataFrame:
     """doc_id, votes (text, one letter a labeller), posterior, score and kept for each row.
 
     All documents vote, and the estimation uses the counts of all distinct vote patterns, at most
-    3 to the power of 9. The scorer is fitted on the `trained_on` documents whose ids have the
+    3 to the power of 10. The scorer is fitted on the `trained_on` documents whose ids have the
     smallest hashes, a bounded sample, and applied to all. Posterior and score have six decimals.
 
     A null or empty text, or one without words, scores 0 and is rejected. Rows without a doc_id
     vote and are judged, but do not train; rows that share a doc_id may all train. Equal texts
     get equal scores. Other columns are ignored. An empty table gives an empty result.
+
+    `kept` is the verdict on the writing; with `reject_abuse`, abusive texts are not kept either.
     """
     model = fitted(documents, trained_on)
 
@@ -255,10 +308,15 @@ def classified(documents: DataFrame, trained_on: int = TRAINED_ON, least_score:
                 )
 
     judged = documents.select("doc_id", "text").mapInArrow(judge, "doc_id long, votes string, posterior double, score double")
-    return judged.withColumn("kept", F.col("score") >= least_score)
+    kept = F.col("score") >= least_score
+    if reject_abuse:
+        kept = kept & (F.substring("votes", LABELLERS.index("abuse") + 1, 1) != "b")
+    return judged.withColumn("kept", kept)
 
 
-def accepted(documents: DataFrame, trained_on: int = TRAINED_ON, least_score: float = LEAST_SCORE) -> DataFrame:
+def accepted(
+    documents: DataFrame, trained_on: int = TRAINED_ON, least_score: float = LEAST_SCORE, reject_abuse: bool = False
+) -> DataFrame:
     """The rows of `documents` that `classified` keeps, with all columns and without a shuffle."""
     model = fitted(documents, trained_on)
     place = documents.columns.index("text")
@@ -268,7 +326,7 @@ def accepted(documents: DataFrame, trained_on: int = TRAINED_ON, least_score: fl
             keep = [np.zeros(0, bool)]
             for _, _, data, offsets in text_blocks(batch.column(place)):
                 score = _scores(data, offsets, find_words(data, offsets), model.weights.value, model.bias)
-                keep.append(score >= least_score)
+                keep.append((score >= least_score) & ~abusive(data, offsets) if reject_abuse else score >= least_score)
             yield batch.filter(pa.array(np.concatenate(keep)))
 
     return documents.mapInArrow(choose, documents.schema)

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import divergence, minhash, mixing, sharding, weaklabel
+from starloom.llm.queries import QUERIES
 from llm.conftest import frame, sentence, words_of
 
 
@@ -180,6 +181,34 @@ def test_classifier_on_odd_rows(documents, rows):
     assert Counter(r.doc_id for r in weaklabel.accepted(documents).collect()) == kept
 
 
+def test_abuse_of_good_writing_is_rejected(spark):
+    story = "The river rose in the night, and by morning the lower fields were gone. Nobody in the valley had seen so much rain. "
+    texts = [
+        story,
+        story + "You are an IDIOT, a pathetic clown!",
+        story + "Ihr seid alle ABSCHAUM, du Trottel.",
+        story + "Quel CRÉTIN, cet abruti.",
+        story + "Eres un imbécil, ¡gilipollas!",
+        story * 20 + "One man called another an idiot.",
+        story * 2 + "A clown came, and the clown was a good clown.",
+        story + "Con una casa. The con was long; die Frau kam.",
+    ]
+    rows = [(k, t, None, "s") for k, t in enumerate(texts * 3)]
+    docs = frame(spark, rows)
+    got = weaklabel.classified(docs, least_score=0.0, reject_abuse=True).collect()
+    assert {r.doc_id % 8 for r in got if not r.kept} == {1, 2, 3, 4} == {r.doc_id % 8 for r in got if r.votes[-1] == "b"}
+    accepted = weaklabel.accepted(docs, least_score=0.0, reject_abuse=True).collect()
+    assert Counter(r.doc_id for r in accepted) == Counter(r.doc_id for r in got if r.kept)
+
+
+def test_toxic_labels_and_clean_ones(spark):
+    folder = "/root/testdata/sf0.1"
+    got = QUERIES["op4_weak_label_quality"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
+    english = got.join(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id").where("lang = 'en'")
+    toxic, clean = (english.where(w).agg(F.avg(F.expr("cast(kept as int)"))).first()[0] for w in ("toxic = 1", "toxic = 0 and quality = 1"))
+    assert toxic < 0.15 and clean > 0.99
+
+
 def test_expectation_maximisation_finds_the_bad_labeller():
     rng = np.random.default_rng(4)
     truth = rng.random(4000) < 0.7
