@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontamination, divergence, minhash, mixing, pages, preference, repeats, sharding, spans, weaklabel
+from starloom.llm import (
+    decontamination, divergence, minhash, mixing, packing, pages, periodic, preference, repeats, sharding, spans,
+    variants, weaklabel,
+)
 from starloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +59,20 @@ def op10_minmax_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = periodic.with_repeated_tails(table(spark, folder, "documents"))
+    return periodic.digests(periodic.periodic_runs(documents))
+
+
+def op12_large_item_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pieces(table(spark, folder, "documents"))
+    return packing.placed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.grouped(variants.vocabulary(table(spark, folder, "documents"), slip_one_in=97))
+
+
 QUERIES: dict[str, Query] = {
     "op1_preference_pairs": op1_preference_pairs,
     "op2_systematic_mix": op2_systematic_mix,
@@ -67,4 +84,7 @@ QUERIES: dict[str, Query] = {
     "op8_tree_model_text": op8_tree_model_text,
     "op9_count_min_repeats": op9_count_min_repeats,
     "op10_minmax_near_dedup": op10_minmax_near_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_large_item_packing": op12_large_item_packing,
+    "op13_spelling_variants": op13_spelling_variants,
 }
