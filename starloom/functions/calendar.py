@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.intervals import interval_join
+
 # Fixed value: date layout of a web access log.
 LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 
@@ -54,7 +56,7 @@ def time_parts(moment: Column) -> list[Column]:
 
 
 def date_attributes(day: Column) -> list[Column]:
-    """Attributes of a calendar day. Seasons and holidays need outside rules and are left out."""
+    """Attributes of a calendar day that follow from the day; `with_rules` adds season and holiday."""
     flag = lambda condition: F.when(condition, F.lit("1")).otherwise(F.lit("0"))
     return [
         F.date_format(day, "yyyyMMdd").cast("int").alias("d_datekey"),
@@ -90,3 +92,38 @@ def calendar_of(rows: DataFrame, moment: str) -> DataFrame:
 def _days(bounds: DataFrame) -> DataFrame:
     days = bounds.select(F.explode(F.sequence("first", "last")).alias("day"))
     return days.select(*date_attributes(F.col("day")))
+
+
+# What a rule says: from `first` to `last` (null: open), each year from `first_mmdd` to `last_mmdd`
+# (null: all year; over New Year if the first is the later one), a day has this season, or is a
+# holiday. Of several seasons of a day the one of the highest priority counts, then the first name.
+RULE = "kind string, name string, first date, last date, first_mmdd int, last_mmdd int, priority int"
+SEASON, HOLIDAY = "season", "holiday"
+
+
+def with_rules(days: DataFrame, day: str, rules: DataFrame) -> DataFrame:
+    """Adds d_sellingseason (null if no rule names one) and d_holidayfl to rows with a day.
+
+    Rules are joined to distinct days as intervals, those of dates and those of each year alike;
+    a rule that has both kinds of bounds holds where both do.
+    """
+    distinct = days.select(F.col(day).alias("_day")).where("_day is not null").distinct()
+    wraps = F.col("first_mmdd") > F.col("last_mmdd")
+    once = F.struct(F.col("first_mmdd").alias("low"), F.col("last_mmdd").alias("high"))
+    until, since = F.struct(F.lit(101).alias("low"), F.col("last_mmdd").alias("high")), F.struct(
+        F.col("first_mmdd").alias("low"), F.lit(1231).alias("high")
+    )
+    yearly = F.col("first_mmdd").isNotNull() | F.col("last_mmdd").isNotNull()
+    of_year = rules.where(yearly).withColumn("_part", F.explode(F.when(wraps, F.array(until, since)).otherwise(F.array(once))))
+    mmdd = F.month("_day") * 100 + F.dayofmonth("_day")
+    by_year = interval_join(distinct, mmdd, of_year, F.col("_part.low"), F.col("_part.high"), bits=12)
+    by_date = interval_join(distinct, F.unix_date("_day"), rules.where(~yearly), F.unix_date("first"), F.unix_date("last"))
+    in_dates = (F.col("_day") >= F.coalesce("first", "_day")) & (F.col("_day") <= F.coalesce("last", "_day"))
+    held = by_year.where(in_dates).drop("_part").unionByName(by_date)
+    season = F.when(F.col("kind") == SEASON, F.struct((-F.col("priority")).alias("rank"), "name"))
+    found = held.groupBy("_day").agg(
+        F.min(season).alias("_season"), F.max((F.col("kind") == HOLIDAY).cast("int")).alias("_holiday")
+    )
+    joined = days.join(found, F.col(day) == F.col("_day"), "left")
+    flag = F.when(F.col("_holiday") == 1, "1").otherwise("0")
+    return joined.select(*days.columns, F.col("_season.name").alias("d_sellingseason"), flag.alias("d_holidayfl"))

@@ -659,4 +659,82 @@ ORACLES |= {
         FROM events, (VALUES ('json'), ('csv')) k(kind)
         GROUP BY 1, 2
     """,
+    "numbered_orders": r"""
+        SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS order_no, o_orderkey
+        FROM orders
+    """,
+    "identity_over_loads": r"""
+        SELECT row_number() OVER (ORDER BY CASE event_id % 3 WHEN 1 THEN 1 WHEN 0 THEN 2 ELSE 3 END, ts, event_id) AS play_no,
+        event_id, user_id, ts
+        FROM events
+    """,
+    "merged_parts": r"""
+        SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal
+        FROM customer
+    """,
+    "running_first_seen": r"""
+        SELECT event_id, first_value(event_type) OVER (PARTITION BY user_id, ts ORDER BY event_id) AS first_type
+        FROM events
+    """,
+    "running_totals": r"""
+        WITH paid AS (
+            SELECT event_id, user_id, ts, CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,6)) END AS paid
+            FROM events
+        ), counted AS (
+            SELECT *, count(paid) OVER frame AS n_paid, sum(paid) OVER frame AS sum_paid, max(paid) OVER frame AS most_paid,
+            max(CASE WHEN paid IS NOT NULL THEN ts END) OVER frame AS last_ts
+            FROM paid
+            WINDOW frame AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        ), latest AS (
+            SELECT user_id, ts, arg_min(paid, event_id) AS last_paid
+            FROM paid
+            WHERE paid IS NOT NULL
+            GROUP BY user_id, ts
+        )
+        SELECT event_id, n_paid, CAST(sum_paid AS DOUBLE) AS sum_paid, CAST(most_paid AS DOUBLE) AS most_paid, CAST(last_paid AS DOUBLE) AS last_paid
+        FROM counted LEFT JOIN latest ON counted.user_id = latest.user_id AND last_ts = latest.ts
+    """,
+    "dim_date_seasons": r"""
+        WITH rules(kind, name, first, last, low, high, priority) AS (VALUES
+            ('season', 'Winter', NULL::DATE, NULL::DATE, 1201, 228, 1), ('season', 'Spring', NULL, NULL, 301, 531, 1),
+            ('season', 'Summer', NULL, NULL, 601, 831, 1), ('season', 'Fall', NULL, NULL, 901, 1130, 1),
+            ('season', 'Gifts', DATE '1996-01-01', NULL, 1115, 1231, 2),
+            ('season', 'Clearance', DATE '1997-02-10', DATE '1997-03-20', NULL, NULL, 3),
+            ('season', 'Jubilee', DATE '2001-06-01', NULL, NULL, NULL, 3),
+            ('holiday', 'New Year', NULL, NULL, 101, 101, 1), ('holiday', 'Labour Day', NULL, NULL, 501, 501, 1),
+            ('holiday', 'Founding', NULL, DATE '1997-12-31', 915, 915, 1),
+            ('holiday', 'Opening', DATE '1998-04-02', DATE '1998-04-03', NULL, NULL, 1)
+        ), days AS (
+            SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders
+        ), held AS (
+            SELECT d, kind, name, row_number() OVER (PARTITION BY d, kind ORDER BY priority DESC, name) AS rn
+            FROM (SELECT d, CAST(extract(month FROM d) * 100 + extract(day FROM d) AS INT) AS mmdd FROM days)
+            JOIN rules ON (first IS NULL OR d >= first) AND (last IS NULL OR d <= last) AND (
+                low IS NULL OR (low <= high AND mmdd BETWEEN low AND high) OR (low > high AND (mmdd >= low OR mmdd <= high)))
+        )
+        SELECT CAST(strftime(days.d, '%Y%m%d') AS INT) AS d_datekey,
+        monthname(days.d) || ' ' || extract(day FROM days.d) || ', ' || extract(year FROM days.d) AS d_date,
+        dayname(days.d) AS d_dayofweek, monthname(days.d) AS d_month, CAST(extract(year FROM days.d) AS INT) AS d_year,
+        CAST(extract(year FROM days.d) * 100 + extract(month FROM days.d) AS INT) AS d_yearmonthnum,
+        strftime(days.d, '%b%Y') AS d_yearmonth, CAST(extract(dow FROM days.d) + 1 AS INT) AS d_daynuminweek,
+        CAST(extract(day FROM days.d) AS INT) AS d_daynuminmonth, CAST(extract(doy FROM days.d) AS INT) AS d_daynuminyear,
+        CAST(extract(month FROM days.d) AS INT) AS d_monthnuminyear, CAST(extract(week FROM days.d) AS INT) AS d_weeknuminyear,
+        CASE WHEN extract(dow FROM days.d) = 6 THEN '1' ELSE '0' END AS d_lastdayinweekfl,
+        CASE WHEN days.d = last_day(days.d) THEN '1' ELSE '0' END AS d_lastdayinmonthfl,
+        CASE WHEN extract(isodow FROM days.d) < 6 THEN '1' ELSE '0' END AS d_weekdayfl,
+        season.name AS d_sellingseason, CASE WHEN holiday.name IS NULL THEN '0' ELSE '1' END AS d_holidayfl
+        FROM days
+        LEFT JOIN held AS season ON season.d = days.d AND season.kind = 'season' AND season.rn = 1
+        LEFT JOIN held AS holiday ON holiday.d = days.d AND holiday.kind = 'holiday' AND holiday.rn = 1
+    """,
+    "open_orders": r"""
+        SELECT day, count(*) AS n_open
+        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
+        JOIN (
+            SELECT o_orderkey, CAST(min(o_orderdate) AS DATE) AS first, CAST(max(l_shipdate) AS DATE) AS last
+            FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+            GROUP BY o_orderkey
+        ) ON day BETWEEN first AND last
+        GROUP BY day
+    """,
 }

@@ -5,7 +5,6 @@ Running it again on the same files changes nothing.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -47,15 +46,12 @@ def stage(
 
 
 def merge_users(spark: SparkSession, events: DataFrame, table: str) -> None:
-    batch = dimensions.user_rows(events)
-    merged = merge.upsert_update(spark.table(table), batch, ["user_id"], dimensions.USER_ORDER)
-    tables.publish(merged, table)
+    tables.merge_into_parts(dimensions.user_rows(events), table, ["user_id"], dimensions.USER_ORDER)
 
 
 def merge_artists(spark: SparkSession, catalogue: DataFrame, table: str) -> None:
     batch = dimensions.artist_rows(catalogue)
-    merged = merge.upsert_update(spark.table(table), batch, ["artist_id"], dimensions.ARTIST_ORDER)
-    tables.publish(merged, table)
+    tables.merge_into_parts(batch, table, ["artist_id"], dimensions.ARTIST_ORDER)
 
 
 def merge_songs(spark: SparkSession, catalogue: DataFrame, table: str) -> None:
@@ -92,15 +88,9 @@ def merge_time(spark: SparkSession, events: DataFrame, table: str) -> None:
 
 @contextmanager
 def written_batch(batch: DataFrame, table: str) -> Iterator[tuple[DataFrame, list[int]]]:
-    """The batch written out, and its months. It is used several times; its join runs once. The
-    table has a name of its own, so runs do not meet in it, and is dropped at the end."""
-    spark, name = batch.sparkSession, f"{table}__batch_{uuid.uuid4().hex[:12]}"
-    try:
-        tables.create_table_as(batch, name)
-        written = tables.current(spark, name)
+    """The batch written out, and its months."""
+    with tables.written_out(batch, table) as written:
         yield written, months_of(written)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def append_songplays(batch: DataFrame, table: str) -> list[int]:

@@ -146,7 +146,8 @@ class TableSpec:
     """A stored table: its columns, its key, and how its files are laid out.
 
     A `versioned` table is replaced as a whole by every merge; its name is a view of the
-    current version.
+    current version. A table with `parts` is stored in so many folders by a hash of its key, of
+    which a merge rewrites those that change; its name is a view without the folder's number.
     """
 
     name: str
@@ -157,17 +158,21 @@ class TableSpec:
     buckets: int = 0
     sort_by: tuple[str, ...] = ()
     versioned: bool = False
+    parts: int = 0
 
 
+#: Folders of a dimension that is merged into: a merge rewrites a thirty-second at least.
+DIMENSION_PARTS = 32
+
 STAGING_TABLES = (
     TableSpec("staging_events", PLAY_EVENTS),
     TableSpec("staging_songs", SONG_CATALOGUE),
 )
 
 STAR_TABLES = (
-    TableSpec("users", USERS, keys=("user_id",), versioned=True),
+    TableSpec("users", USERS, keys=("user_id",), parts=DIMENSION_PARTS),
     TableSpec("songs", SONGS, keys=("song_id",)),
-    TableSpec("artists", ARTISTS, keys=("artist_id",), versioned=True),
+    TableSpec("artists", ARTISTS, keys=("artist_id",), parts=DIMENSION_PARTS),
     TableSpec("time", TIME, keys=("start_time",), partition_by=("year", "month")),
     TableSpec("songplays", SONGPLAYS, keys=("songplay_id",), partition_by=("year", "month")),
 )

@@ -108,7 +108,7 @@ def test_append_matches_columns_by_name(spark):
 def test_create_and_drop_star_tables(spark):
     for _ in range(2):
         tables.create_tables(spark, schemas.STAR_TABLES + schemas.SSB_TABLES, "fresh")
-    created = {t.name for t in spark.catalog.listTables("fresh") if "__v" not in t.name}
+    created = {t.name for t in spark.catalog.listTables("fresh") if "__" not in t.name}
     assert created == {s.name for s in schemas.STAR_TABLES + schemas.SSB_TABLES}
     tables.drop_tables(spark, schemas.STAR_TABLES + schemas.SSB_TABLES, "fresh")
     assert spark.catalog.listTables("fresh") == []
