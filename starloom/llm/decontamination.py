@@ -3,8 +3,8 @@
 Windows of a document as long as a benchmark item get 64-bit fingerprints of their five-word
 shingles. Two fingerprints within `RADIUS` bits agree wholly in at least one of `RADIUS` + 1
 blocks, so a join on blocks finds all of them. What is found is verified by the exact weighted
-similarity of the shingles. Only windows that share a shingle with some item are fingerprinted:
-all others have a similarity of 0.
+similarity of the shingles. Only windows are fingerprinted in which as many shingles as the
+similarity asks for stand in some item of their length: all others are below it.
 """
 
 from __future__ import annotations
@@ -21,9 +21,8 @@ LIKE_PERCENT = 75
 RADIUS = 24
 #: Shingles of benchmark items that are broadcast; a larger benchmark is joined by shuffles.
 MOST_BROADCAST = 2_000_000
-#: Counters of 16 bits hold items of so many shingles.
-MOST_SHINGLES = 32_767
-_FIELDS = 0x0001000100010001
+#: Counters of 16 bits hold so many shingles; longer windows are counted in 32 bits.
+NARROW = 65_535
 
 
 def words(text: Column) -> Column:
@@ -39,18 +38,22 @@ def shingles(words_name: str, width: int) -> Column:
 
 
 def fingerprint(values: str) -> Column:
-    """SimHash: each bit is that of most shingles, repeated ones counted as often as they stand.
+    """SimHash: each bit is that of most shingles, repeated ones counted as often as they stand."""
+    return F.expr(f"if(size({values}) <= {NARROW}, {_counted(values, 16)}, {_counted(values, 32)})")
 
-    Sixteen sums hold the counts of four bits each, in fields of 16 bits.
-    """
-    zero = ", ".join(f"'s{g}', 0L" for g in range(16))
-    add = ", ".join(f"'s{g}', s.s{g} + (shiftrightunsigned(h, {g}) & {_FIELDS}L)" for g in range(16))
+
+def _counted(values: str, width: int) -> str:
+    """A sum holds the counts of 64 / width bits of the hashes, in a field each."""
+    per_sum, lowest = 64 // width, sum(1 << (width * k) for k in range(64 // width))
+    sums = range(64 // per_sum)
+    zero = ", ".join(f"'s{g}', 0L" for g in sums)
+    add = ", ".join(f"'s{g}', s.s{g} + (shiftrightunsigned(h, {g}) & {lowest}L)" for g in sums)
     bits = " | ".join(
-        f"if(2 * (shiftrightunsigned(s.s{g}, {16 * f}) & 65535L) > s.n, shiftleft(1L, {g + 16 * f}), 0L)" for g in range(16) for f in range(4)
-    )
-    return F.expr(
-        f"aggregate({values}, named_struct('n', 0L, {zero}), (s, h) -> named_struct('n', s.n + 1L, {add}), s -> {bits})"
+        f"if(2 * (shiftrightunsigned(s.s{g}, {width * f}) & {(1 << width) - 1}L) > s.n, shiftleft(1L, {g + width * f}), 0L)"
+        for g in sums
+        for f in range(per_sum)
     )
+    return f"aggregate({values}, named_struct('n', 0L, {zero}), (s, h) -> named_struct('n', s.n + 1L, {add}), s -> {bits})"
 
 
 def blocks(radius: int) -> list[int]:
@@ -67,13 +70,17 @@ def _in_blocks(marked: DataFrame, mark: str, masks: list[int]) -> DataFrame:
     return numbered.withColumn("value", F.col(mark).bitwiseAND(mask))
 
 
+def _told_apart(values: Column) -> Column:
+    """The values, each with how often it has stood before, as one number."""
+    ordered = F.array(F.sort_array(values))  # an element of an array, so that it is sorted once
+    number = lambda some: F.transform(some, lambda x, at: F.xxhash64(x, at - F.array_position(some, x)))
+    return F.get(F.transform(ordered, number), 0)
+
+
 def shared_weight(a: Column, b: Column) -> Column:
     """Shingles in common, each as often as it stands in both."""
-    return F.aggregate(
-        F.array_intersect(a, b),
-        F.lit(0),
-        lambda total, x: total + F.least(F.size(F.filter(a, lambda y: y == x)), F.size(F.filter(b, lambda y: y == x))),
-    )
+    once = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    return F.when(once, F.size(F.array_intersect(a, b))).otherwise(F.size(F.array_intersect(_told_apart(a), _told_apart(b))))
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, like_percent: int = LIKE_PERCENT, radius: int = RADIUS) -> DataFrame:
@@ -85,17 +92,24 @@ def leaks(documents: DataFrame, benchmark: DataFrame, like_percent: int = LIKE_P
     found = None
     for width in widths:
         mine = items.where(F.col("width") == width).select("item_id", "n", shingles("words", width).alias("item"))
-        mine = mine.where(F.when(F.size("item") <= MOST_SHINGLES, True).otherwise(F.raise_error(F.lit("a benchmark item is too long"))))
-        known = mine.select("n", F.explode("item").alias("h")).distinct()
+        # with `explode` a filter on the array's size would be pushed down to the text, to find its
+        # words again for each shingle
+        known = mine.select("n", F.explode_outer("item").alias("h")).where("h is not null").distinct()
         small = known.count() <= MOST_BROADCAST
         hint = F.broadcast if small else (lambda frame: frame)
         worded = documents.select(F.xxhash64("doc_id", "text").alias("row_key"), words(F.col("text")).alias("words"))
         placed = worded.select("row_key", F.size("words").alias("n_doc"), F.posexplode(shingles("words", width)).alias("at", "h"))
         hits = placed.join(hint(known), "h")
-        size = F.least("n", "n_doc")
-        first = F.greatest(F.lit(0), F.col("at") - size + width)
-        last = F.least("at", F.col("n_doc") - size)
-        starts = hits.select("row_key", "n", F.explode(F.sequence(first, last)).alias("start")).distinct()
+        # A window that stands in an item for so many of its places can be moved back until it ends
+        # with one of them, or to the start: what it has in common with the item does not shrink.
+        size = F.least("n", "n_doc") - width + 1
+        least = F.expr(f"((least(n, n_doc) + n - 2 * {width - 1}) * {like_percent} + {99 + like_percent}) div {100 + like_percent}")
+        placed_hits = hits.groupBy("row_key", "n", "n_doc").agg(F.sort_array(F.collect_set("at")).alias("places"))
+        ends = placed_hits.select("row_key", "n", "places", size.alias("size"), least.cast("int").alias("least")).where("size(places) >= least")
+        starts = F.expr(
+            "transform(filter(sequence(least - 1, size(places) - 1), j -> places[j] - places[j - least + 1] < size), j -> greatest(places[j] - size + 1, 0))"
+        )
+        starts = ends.select("row_key", "n", F.explode(F.array_distinct(starts)).alias("start"))
         asked = starts.groupBy("row_key").agg(F.collect_list(F.struct("n", "start")).alias("asked"))
         texts = documents.select(F.xxhash64("doc_id", "text").alias("row_key"), "text")
         windows = (
@@ -151,7 +165,7 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, like_percent: int
     by_row = found.groupBy("row_key").agg(
         F.sort_array(F.collect_set(F.coalesce(F.col("item_id").cast("long"), F.lit(-1)))).alias("items"), F.max(percent).alias("best_percent")
     )
-    rows = documents.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.xxhash64("doc_id", "text").alias("row_key"))
+    rows = documents.select("doc_id", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"), F.xxhash64("doc_id", "text").alias("row_key"))
     out = rows.join(by_row, "row_key", "left")
     return out.select(
         "doc_id",

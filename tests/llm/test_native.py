@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from starloom.llm import decontamination, preference
 from llm.conftest import frame, sentence, words_of
 
@@ -99,6 +101,34 @@ def test_leaks_against_brute_force(spark):
     assert decontamination.decontaminated(frame(spark, []), benchmark).collect() == []
 
 
+def test_very_long_items(spark):
+    """An item of more words than narrow counters hold, and most of it as a document."""
+    rng = random.Random(7)
+    long = [f"w{rng.randrange(9000)}" for _ in range(decontamination.NARROW + 9000)]
+    few = [rng.choice(("a", "b")) for _ in range(60)]
+    benchmark = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(few))], "item_id long, text string")
+    rows = [
+        (0, " ".join(long[:-5000]), "en", "s"), (1, " ".join(long[:20_000]), "en", "s"),
+        (2, "start " + " ".join(few) + " end", "en", "s"), (3, " ".join(rng.choice(("a", "b")) for _ in range(40)), "en", "s"),
+    ]
+    got = {r.doc_id: (r.items, r.best_percent) for r in decontamination.decontaminated(frame(spark, rows), benchmark).collect()}
+    assert got == {0: ("1", 93), 1: ("", 0), 2: ("2", 100), 3: ("", 0)}
+
+
+def test_wide_counters_give_the_same_marks(spark):
+    values = spark.createDataFrame([([random.Random(k).getrandbits(62) for _ in range(k + 1)],) for k in range(30)], "v array<long>")
+    both = values.select(*(F.expr(decontamination._counted("v", width)).alias(f"m{width}") for width in (16, 32))).collect()
+    assert all(r.m16 == r.m32 for r in both) and len({r.m16 for r in both}) == 30
+
+
+def test_shared_weight_counts_repeats(spark):
+    rng = random.Random(4)
+    pairs = [([rng.randrange(6) for _ in range(rng.randrange(12))], [rng.randrange(6) for _ in range(rng.randrange(12))]) for _ in range(80)]
+    got = spark.createDataFrame(pairs, "a array<long>, b array<long>").select("a", "b", decontamination.shared_weight(F.col("a"), F.col("b")).alias("n"))
+    for a, b, n in got.collect():
+        assert n == sum((Counter(a) & Counter(b)).values())
+
+
 def test_blocks_cover_all_bits():
     masks = [m % (1 << 64) for m in decontamination.blocks(24)]
     assert len(masks) == 25 and sum(masks) == (1 << 64) - 1 and all(masks)
