@@ -29,9 +29,10 @@ from starloom.llm.words import mix, seeded
 LEAST_LETTERS = 5
 LEAST_COUNT = 3
 RATIO = 2
-#: Words that the upper trees are fitted to: those of the smallest hashes.
+#: About so many words, those of the highest hashes, the upper trees are fitted to.
 SAMPLE = 1 << 17
-CELL_WORDS = 1 << 15
+#: A cell holds about so many words at most, and at least; between the two, there are four a core.
+CELL_WORDS, SMALL_CELL_WORDS = 1 << 15, 1 << 11
 HELD_WORDS = 200_000
 BATCH = 4096
 POINT, SAME, LONGER = 0, 1, 2
@@ -101,7 +102,7 @@ class Cells:
         for tree in self.trees.values():
             tree.members = []
         self.numbers: dict[tuple[int, int], tuple[int, int]] = {}
-        self.count = 0
+        self.tasks: list[int] = []
 
     def home(self, length: int, vectors: np.ndarray) -> np.ndarray:
         return self.trees[length].leaf_of(vectors) if length in self.trees else np.zeros(len(vectors), np.int64)
@@ -113,11 +114,15 @@ class Cells:
 
     def number(self, counts: list[tuple[int, int, int]]) -> None:
         """Takes the words in each (length, leaf). A leaf that holds too many, as its vectors are
-        equal or the sample said otherwise, is parted by a hash of the word."""
+        equal or the sample said otherwise, is parted by a hash of the word. Small ones share
+        a task."""
+        before = 0
         for length, leaf, n in sorted(counts):
             parts = -(-n // (2 * self.cell_words))
-            self.numbers[length, leaf] = self.count, parts
-            self.count += parts
+            self.numbers[length, leaf] = len(self.tasks), parts
+            for part in range(parts):
+                self.tasks.append(before // self.cell_words)
+                before += n // parts
 
 
 def _homes(words: DataFrame, cells: Cells) -> list[tuple[int, int, int]]:
@@ -138,6 +143,8 @@ def _homes(words: DataFrame, cells: Cells) -> list[tuple[int, int, int]]:
 def _routed(words: DataFrame, cells: Cells) -> DataFrame:
     """Each word once as a point of its cell, and once for each cell it may have near words in."""
 
+    task_of = np.array(cells.tasks, np.int32)
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few_rows(batches, BATCH):
             texts, n = batch.column(0).to_pylist(), batch.column(1)
@@ -165,11 +172,11 @@ def _routed(words: DataFrame, cells: Cells) -> DataFrame:
             cell = np.concatenate([some for _, some, _ in out])
             kind = np.concatenate([np.full(len(some), kind) for some, _, kind in out])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cell, pa.int32()), pa.array(kind, pa.int8()), batch.column(0).take(pa.array(row)), n.take(pa.array(row))],
-                ["cell", "kind", "word", "n"],
+                [pa.array(task_of[cell]), pa.array(cell, pa.int32()), pa.array(kind, pa.int8()), batch.column(0).take(pa.array(row)), n.take(pa.array(row))],
+                ["task", "cell", "kind", "word", "n"],
             )
 
-    return words.mapInArrow(route, "cell int, kind byte, word string, n long")
+    return words.mapInArrow(route, "task int, cell int, kind byte, word string, n long")
 
 
 class Index:
@@ -265,10 +272,10 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Near words of each cell, whose rows come points first."""
     cell, words, n, index = None, [], [], None
     for batch in few_rows(batches, BATCH):
-        cells, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        cells, kinds = batch.column("cell").to_numpy(), batch.column("kind").to_numpy()
         edges = np.flatnonzero((np.diff(cells) != 0) | (np.diff(kinds) != 0)) + 1
         for first, last in zip([0, *edges], [*edges, len(cells)]):
-            some, some_n = batch.column(2)[first:last].to_pylist(), batch.column(3)[first:last].to_numpy()
+            some, some_n = batch.column("word")[first:last].to_pylist(), batch.column("n")[first:last].to_numpy()
             if cells[first] != cell:
                 cell, words, n, index = cells[first], [], [], None
             if kinds[first] == POINT:
@@ -285,18 +292,23 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _summed(other, index.words, some_n, row, some, tie)
 
 
-def near_words(words: DataFrame, sample: int = SAMPLE, cell_words: int = CELL_WORDS) -> DataFrame:
+def near_words(words: DataFrame, sample: int = SAMPLE, cell_words: int | None = None) -> DataFrame:
     """word, n_near and the most frequent near word (other, other_n) of each word that has one.
 
     `words` has distinct words of Latin letters and their counts n. Two words are near if one
     letter that is changed, added or left out parts them. Of equally frequent ones the first in
     code-point order counts.
     """
-    some = words.select("word").orderBy(F.xxhash64("word"), "word").limit(sample).collect()
     count = words.count()
+    least = int(2**63 * (1 - 2 * min(sample / max(count, 1), 1)))  # as many hashes are as high as the sample is large
+    some = words.select("word").where(F.xxhash64("word") >= least).collect()  # about `sample` rows
+    if cell_words is None:
+        cores = words.sparkSession.sparkContext.defaultParallelism
+        cell_words = min(max(count // (4 * cores), SMALL_CELL_WORDS), CELL_WORDS)
     cells = Cells([row.word for row in some], len(some) / max(count, 1), cell_words)
     cells.number(_homes(words, cells))
-    routed = _routed(words, cells).repartition(max(cells.count, 1), "cell").sortWithinPartitions("cell", "kind")
+    tasks = cells.tasks[-1] + 1 if cells.tasks else 1
+    routed = _routed(words, cells).repartition(tasks, "task").sortWithinPartitions("cell", "kind")
     best = F.min(F.struct((-F.col("other_n")).alias("minus"), "other")).alias("best")
     found = routed.mapInArrow(_found, NEAR).groupBy("word").agg(F.sum("n_near").alias("n_near"), best)
     return found.select("word", "n_near", (-F.col("best.minus")).alias("other_n"), F.col("best.other").alias("other"))
@@ -317,7 +329,7 @@ def roots(forms: DataFrame) -> DataFrame:
         ways = written(further.select("word", F.coalesce("next", "root").alias("root")), "ways")
 
 
-def grouped(words: DataFrame, ratio: int = RATIO, sample: int = SAMPLE, cell_words: int = CELL_WORDS) -> DataFrame:
+def grouped(words: DataFrame, ratio: int = RATIO, sample: int = SAMPLE, cell_words: int | None = None) -> DataFrame:
     """word, form, root, n, n_near and form_n for the words and counts (word, n).
 
     A word's form is its most frequent near word if that is `ratio` times as frequent at least;
