@@ -20,11 +20,11 @@ FIELDS = (
     "content_size",
 )
 
-_LINE = (
+LINE = (
     r'^(\S+) (\S+) (\S+) \[([^\]]*)\] "(\S+)\s*(.*?)\s*(HTTP/[0-9.]+)?\s*" ([0-9]{3}) (\S+)\s*$'
 )
-_MARK = "\u0001"
-_MARKED = _MARK.join(f"${n}" for n in range(1, len(FIELDS) + 1))
+MARK = "\u0001"
+MARKED = MARK.join(f"${n}" for n in range(1, len(FIELDS) + 1))
 
 
 def fields_by_split(line: Column) -> dict[str, Column]:
@@ -39,7 +39,7 @@ def fields_by_split(line: Column) -> dict[str, Column]:
 def _parts(line: Column) -> Column:
     # One pass of the pattern per line: it rewrites the line to its nine fields, and a
     # cheap split takes them apart. Nine separate extractions would match nine times.
-    return F.split(F.regexp_replace(line, _LINE, _MARKED), _MARK)
+    return F.split(F.regexp_replace(line, LINE, MARKED), MARK)
 
 
 def parse_to_map(lines: DataFrame, line: str = "value", into: str = "parsed") -> DataFrame:

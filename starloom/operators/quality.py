@@ -6,8 +6,9 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import eq, gt, lt, ne
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # The comparisons a rule can make; the actual value is on the left.
@@ -98,7 +99,19 @@ def run_rules(
 
 def require(results: DataFrame) -> list:
     """The results as rows; raises if a rule failed. There are as many rows as rules."""
-    outcomes = results.collect()
+    return require_all(results.collect())
+
+
+class Outcome(NamedTuple):
+    test_name: str
+    actual: int | float | None
+    op: str
+    expected: int | float
+    success: bool
+
+
+def require_all(outcomes: Sequence) -> Sequence:
+    """The outcomes themselves; raises if a rule failed."""
     failed = [o for o in outcomes if not o.success]
     if failed:
         raise QualityError(
@@ -107,6 +120,31 @@ def require(results: DataFrame) -> list:
     return outcomes
 
 
+def observed(rows: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Callable[[], list[Outcome]]]:
+    """The same rows, which work out the rules as they go by, and the outcomes to ask for once the
+    rows have been written: the source is read once for both.
+
+    Rules are aggregates of one table; counts of distinct values cannot be observed.
+    """
+    for rule in rules:
+        if isinstance(rule.actual, str):
+            raise ValueError(f"rule {rule.name!r} is a query, not an aggregate of the rows")
+        if rule.op not in COMPARISONS:
+            raise ValueError(f"rule {rule.name!r}: no comparison {rule.op!r}")
+    observation = Observation()
+    watched = rows.observe(observation, *[rule.actual.alias(f"rule_{n}") for n, rule in enumerate(rules)])
+
+    def outcomes() -> list[Outcome]:
+        values = observation.get
+        found = [values.get(f"rule_{n}") for n in range(len(rules))]
+        return [
+            Outcome(rule.name, value, rule.op, rule.expected, value is not None and COMPARISONS[rule.op](value, rule.expected))
+            for rule, value in zip(rules, found)
+        ]
+
+    return watched, outcomes
+
+
 def require_rows(rows: DataFrame, name: str) -> DataFrame:
     """The frame itself; raises if it has no rows. Looks for one row, does not count."""
     if rows.isEmpty():

@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.functions import calendar
-from starloom.operators import numbering
+from starloom.functions import calendar, catalog
+from starloom.operators import numbering, quality
 from starloom.operators.frames import Running, running
 from starloom.operators.intervals import interval_join
 from starloom.plans.file_queries import fresh_database, fresh_folder
+from starloom.plans.play_queries import log_lines
 from starloom.plans.table_queries import query
 from starloom.sinks import tables
-from starloom.sources.tables import Tables, from_local
+from starloom.sources import files
+from starloom.sources.tables import Tables, from_local, named_views
+from starloom.streaming import ingest
 
 # Keys
 
@@ -60,6 +63,74 @@ def merged_parts(t: Tables) -> DataFrame:
     return tables.current(spark, table)
 
 
+# Staging, checks and streams
+
+
+@query
+def stage_by_paths(t: Tables) -> DataFrame:
+    """Lines of three shapes, and some that are no JSON, to staging columns by a file of paths."""
+    spark, folder = t.spark, fresh_folder(t.spark)
+    number, amount = F.col("event_id"), F.col("value")
+    nested = F.to_json(F.struct("event_id", F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("kind")).alias("user"), amount.alias("amount")))
+    as_text = F.to_json(
+        F.struct(
+            number.cast("string").alias("event_id"), F.array(F.lit(1)).alias("extra"), amount.cast("string").alias("amount"),
+            F.struct(F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("kind")).alias("user"),
+        )
+    )
+    bare = F.to_json(F.struct("event_id", F.col("event_type").alias("user")))
+    line = F.when(number % 50 == 7, "{not json").when(number % 3 == 0, nested).when(number % 3 == 1, as_text).otherwise(bare)
+    t["events"].select(line.alias("value")).write.text(f"{folder}/lines")
+    paths = """{"jsonpaths": ["$.event_id", "$['user']['id']", "$['user'].kind", "$.amount"]}"""
+    spark.createDataFrame([(paths,)], "value string").coalesce(1).write.text(f"{folder}/paths")
+    schema = schemas.columns("event_id bigint, user_id bigint, event_type string, amount double")
+    good, _ = files.read_json_by_paths(spark, f"{folder}/lines", f"{folder}/paths", schema, glob="*.txt")
+    return good
+
+
+@query
+def dq_during_load(t: Tables) -> DataFrame:
+    """Rules worked out while orders are written to a table, and the state of the table they let through."""
+    spark, database = t.spark, fresh_database(t.spark)
+    rules = [
+        quality.Rule("has rows", quality.row_count(), ">", 0),
+        quality.Rule("o_orderkey never null", quality.null_count("o_orderkey"), "=", 0),
+        quality.Rule("cheapest", F.min("o_totalprice"), ">", 0.0),
+    ]
+    outcomes = tables.publish(t["orders"], f"{database}.orders", rules=rules)
+    stored = spark.table(f"{database}.orders").agg(F.count("*").alias("stored"))
+    checked = from_local(spark, [(o.test_name, float(o.actual), o.success) for o in outcomes], "test_name string, actual double, success boolean")
+    return checked.withColumn("stored", F.lit(stored.first()[0]).cast("bigint"))
+
+
+@query
+def functions_by_name(t: Tables) -> DataFrame:
+    """Log lines and keys by functions of the catalog, in SQL."""
+    database = fresh_database(t.spark)
+    catalog.register(t.spark, database)
+    named_views({"event_log": log_lines(t).withColumn("value", F.concat("value", F.lit("")))})
+    return t.spark.sql(
+        f"""
+        SELECT parsed.host, parsed.endpoint, parsed.response_code AS code, fields['content_size'] AS size,
+        {database}.hash_key(array(parsed.host, NULL, parsed.endpoint)) AS key
+        FROM (SELECT {database}.log_line(value) AS parsed, {database}.log_fields(value) AS fields FROM event_log)
+        """
+    )
+
+
+@query
+def stream_once(t: Tables) -> DataFrame:
+    """Line-JSON appended batch by batch, each once, in two starts of the stream."""
+    spark = t.spark
+    folder, output, checkpoint = (fresh_folder(spark) for _ in range(3))
+    events = t["events"].select("event_id", "user_id", "event_type")
+    for part in range(2):
+        events.where(F.col("event_id") % 2 == part).repartition(3).write.json(f"{folder}/{part}")
+        arriving = ingest.stream_json(spark, folder, events.schema, files_per_batch=2)
+        ingest.append_once(arriving, "events", output, checkpoint).awaitTermination()
+    return ingest.read_once(spark, output, events.schema).drop("stream", "batch")
+
+
 # Running values
 
 

@@ -737,4 +737,29 @@ ORACLES |= {
         ) ON day BETWEEN first AND last
         GROUP BY day
     """,
+    "stage_by_paths": r"""
+        SELECT event_id, CASE WHEN event_id % 3 < 2 THEN user_id END AS user_id, CASE WHEN event_id % 3 < 2 THEN event_type END AS event_type,
+        CASE WHEN event_id % 3 < 2 THEN value END AS amount
+        FROM events
+        WHERE event_id % 50 <> 7
+    """,
+    "dq_during_load": r"""
+        SELECT test_name, CAST(actual AS DOUBLE) AS actual, true AS success, (SELECT count(*) FROM orders) AS stored
+        FROM (
+            SELECT 'has rows' AS test_name, count(*) AS actual FROM orders
+            UNION ALL SELECT 'o_orderkey never null', count(*) FILTER (o_orderkey IS NULL) FROM orders
+            UNION ALL SELECT 'cheapest', min(o_totalprice) FROM orders
+        )
+    """,
+    "functions_by_name": r"""
+        SELECT 'host' || user_id AS host, '/' || event_type || '/' || event_id AS endpoint,
+        CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS code,
+        CASE WHEN event_type = 'error' THEN '-' ELSE CAST(user_id AS VARCHAR) END AS size,
+        md5('host' || user_id || '||/' || event_type || '/' || event_id) AS key
+        FROM events
+    """,
+    "stream_once": r"""
+        SELECT event_id, user_id, event_type
+        FROM events
+    """,
 }

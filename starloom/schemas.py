@@ -19,77 +19,77 @@ _TYPES = {
 }
 
 
-def _columns(text: str) -> T.StructType:
+def columns(text: str) -> T.StructType:
     """A schema from `name type, ...`; works before there is a session."""
     fields = [field.split(" ") for field in text.split(", ")]
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 # Field names of the input files.
-PLAY_EVENTS = _columns(
+PLAY_EVENTS = columns(
     "artist string, auth string, firstName string, gender string, itemInSession int, "
     "lastName string, length double, level string, location string, method string, "
     "page string, registration double, sessionId bigint, song string, status int, "
     "ts bigint, userAgent string, userId string"
 )
 
-SONG_CATALOGUE = _columns(
+SONG_CATALOGUE = columns(
     "artist_id string, artist_latitude double, artist_location string, "
     "artist_longitude double, artist_name string, duration double, num_songs int, "
     "song_id string, title string, year int"
 )
 
-TICKETS = _columns(
+TICKETS = columns(
     "id double, sporting_event_id double, sport_location_id double, "
     "seat_level decimal(1,0), seat_section string, seat_row string, seat string, "
     "ticketholder_id double, ticket_price decimal(8,2)"
 )
 
-PAYMENTS = _columns(
+PAYMENTS = columns(
     "payment_id int, customer_id int, staff_id int, rental_id int, amount double, "
     "payment_date timestamp"
 )
 
 # Columns of the star tables.
-USERS = _columns(
+USERS = columns(
     "user_id string, first_name string, last_name string, gender string, level string"
 )
 
-SONGS = _columns(
+SONGS = columns(
     "song_id string, title string, artist_id string, duration double, year int"
 )
 
-ARTISTS = _columns(
+ARTISTS = columns(
     "artist_id string, name string, location string, latitude double, longitude double"
 )
 
-TIME = _columns(
+TIME = columns(
     "start_time timestamp, hour int, day int, week int, weekday int, year int, month int"
 )
 
-SONGPLAYS = _columns(
+SONGPLAYS = columns(
     "songplay_id string, start_time timestamp, user_id string, level string, "
     "song_id string, artist_id string, session_id bigint, location string, "
     "user_agent string, year int, month int"
 )
 
 # Columns of the order star.
-SSB_PART = _columns(
+SSB_PART = columns(
     "p_partkey int, p_name string, p_mfgr string, p_category string, p_brand1 string, "
     "p_color string, p_type string, p_size int, p_container string"
 )
 
-SSB_SUPPLIER = _columns(
+SSB_SUPPLIER = columns(
     "s_suppkey int, s_name string, s_address string, s_city string, s_nation string, "
     "s_region string, s_phone string"
 )
 
-SSB_CUSTOMER = _columns(
+SSB_CUSTOMER = columns(
     "c_custkey int, c_name string, c_address string, c_city string, c_nation string, "
     "c_region string, c_phone string, c_mktsegment string"
 )
 
-SSB_DATE = _columns(
+SSB_DATE = columns(
     "d_datekey int, d_date string, d_dayofweek string, d_month string, d_year int, "
     "d_yearmonthnum int, d_yearmonth string, d_daynuminweek int, d_daynuminmonth int, "
     "d_daynuminyear int, d_monthnuminyear int, d_weeknuminyear int, "
@@ -97,7 +97,7 @@ SSB_DATE = _columns(
     "d_holidayfl string, d_weekdayfl string"
 )
 
-SSB_LINEORDER = _columns(
+SSB_LINEORDER = columns(
     "lo_orderkey int, lo_linenumber int, lo_custkey int, lo_partkey int, "
     "lo_suppkey int, lo_orderdate int, lo_orderpriority string, "
     "lo_shippriority string, lo_quantity int, lo_extendedprice int, "
@@ -107,37 +107,37 @@ SSB_LINEORDER = _columns(
 
 # The given tables, their names and columns.
 GIVEN_TABLES = {
-    "region": _columns("r_regionkey int, r_name string"),
-    "nation": _columns("n_nationkey int, n_name string, n_regionkey int"),
-    "customer": _columns(
+    "region": columns("r_regionkey int, r_name string"),
+    "nation": columns("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": columns(
         "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
     ),
-    "supplier": _columns("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
-    "part": _columns(
+    "supplier": columns("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    "part": columns(
         "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
         "p_retailprice double"
     ),
-    "orders": _columns(
+    "orders": columns(
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
         "o_orderdate timestamp_ntz, o_orderpriority string"
     ),
-    "lineitem": _columns(
+    "lineitem": columns(
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
         "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
         "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
     ),
-    "events": _columns(
+    "events": columns(
         "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
         "props string"
     ),
-    "documents": _columns(
+    "documents": columns(
         "doc_id bigint, text string, lang string, source string, n_chars bigint"
     ),
-    "embeddings": _columns("vec_id bigint, embedding float[], label int"),
-    "pages": _columns("page_id bigint, url string, html string"),
-    "benchmark": _columns("item_id bigint, text string"),
-    "labels": _columns("doc_id bigint, quality int, toxic int"),
-    "conversations": _columns("conv_id bigint, turn bigint, role string, text string"),
+    "embeddings": columns("vec_id bigint, embedding float[], label int"),
+    "pages": columns("page_id bigint, url string, html string"),
+    "benchmark": columns("item_id bigint, text string"),
+    "labels": columns("doc_id bigint, quality int, toxic int"),
+    "conversations": columns("conv_id bigint, turn bigint, role string, text string"),
 }
 
 

@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators import merge, numbering, rows as row_operators
+from starloom.operators import merge, numbering, quality, rows as row_operators
 from starloom.schemas import TableSpec
 from starloom.sinks.files import prepared
 
@@ -188,12 +188,13 @@ def append_numbered(
     append_rows(numbering.numbered(fresh, number, [*order, *keys], folder, after=highest), name)
 
 
-def publish(rows: DataFrame, name: str, keep: int = 1) -> None:
+def publish(rows: DataFrame, name: str, keep: int = 1, rules: Sequence[quality.Rule] = ()) -> list[quality.Outcome]:
     """Replaces all rows behind a name at once, also by rows read from that name.
 
     The rows go to a new table; then the view `name` is pointed at it. Readers see the old
     rows or the new ones, and a failed run leaves the old ones in place. The last `keep`
-    older tables stay for readers that are still on them.
+    older tables stay for readers that are still on them. `rules` are worked out while the rows
+    are written; if one fails the new table is dropped and the old rows stay.
     """
     spark = rows.sparkSession
     if spark.catalog.tableExists(name) and not _is_view(spark, name):
@@ -201,10 +202,18 @@ def publish(rows: DataFrame, name: str, keep: int = 1) -> None:
     older = _versions(spark, name)
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
     version = f"{name}__v{stamp}_{uuid.uuid4().hex[:6]}"
-    rows.write.format("parquet").saveAsTable(version)
+    written, outcomes = quality.observed(rows, rules) if rules else (rows, list)
+    written.write.format("parquet").saveAsTable(version)
+    found = outcomes()
+    try:
+        quality.require_all(found)
+    except quality.QualityError:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
     for table in older[: max(0, len(older) - keep)]:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return found
 
 
 def _versions(spark: SparkSession, name: str) -> list[str]:

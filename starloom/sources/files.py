@@ -64,6 +64,46 @@ def read_json_checked(
     return good, lines.where(bad).select(F.col("value").alias("line"), "file")
 
 
+def paths_of(spark: SparkSession, path: str, columns: Sequence[str]) -> list[str]:
+    """The JSON paths of a mapping file, which lists one per column in order."""
+    text = spark.read.text(path, wholetext=True).where("value <> ''").first().value
+    paths = json.loads(text)["jsonpaths"]
+    if len(paths) != len(columns):
+        raise ValueError(f"{path} has {len(paths)} paths for {len(columns)} columns")
+    return paths
+
+
+def read_json_by_paths(
+    spark: SparkSession, path: str, paths_file: str, schema: T.StructType, glob: str = JSON_FILES
+) -> tuple[DataFrame, DataFrame]:
+    """Line-JSON to the schema's columns by a file of JSON paths, and lines that are no JSON as
+    (line, file).
+
+    Lines need not be alike: each is parsed once, as a variant, and every column takes what lies at
+    its path, cast to its type. A path that a line does not have, or a value that does not fit the
+    type, is null. Nothing is inferred, so no pass over the files comes before.
+    """
+    paths = paths_of(spark, paths_file, schema.names)
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", glob)
+        .text(path)
+        .where(F.trim("value") != "")
+        # out of a generator, below which no filter on it can be copied: a line is parsed once
+        .select(
+            F.col("value").alias("line"),
+            F.col("_metadata.file_path").alias("file"),
+            F.explode_outer(F.array(F.try_parse_json("value"))).alias("row"),
+        )
+    )
+    columns = [
+        F.try_variant_get("row", at, field.dataType.simpleString()).alias(field.name)
+        for at, field in zip(paths, schema.fields)
+    ]
+    bad = F.col("row").isNull()
+    return lines.where(~bad).select(*columns), lines.where(bad).select("line", "file")
+
+
 def mapping_from_paths_file(
     spark: SparkSession, path: str, columns: Sequence[str]
 ) -> dict[str, str]:
@@ -71,10 +111,7 @@ def mapping_from_paths_file(
 
     Understands `$['a']['b']` and `$.a.b`.
     """
-    text = spark.read.text(path, wholetext=True).first().value
-    paths = json.loads(text)["jsonpaths"]
-    if len(paths) != len(columns):
-        raise ValueError(f"{path} has {len(paths)} paths for {len(columns)} columns")
+    paths = paths_of(spark, path, columns)
     steps = re.compile(r"\['([^']+)'\]|\.([^.\[]+)")
     return {
         column: ".".join(f"`{quoted or plain}`" for quoted, plain in steps.findall(entry))

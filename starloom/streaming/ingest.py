@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -74,6 +74,63 @@ def merge_stream(
     )
 
 
+LEDGER = "_ledger"
+_LEDGER_SCHEMA = "stream string, batch bigint, n_rows bigint"
+
+
+def _committed(spark: SparkSession, output: str) -> DataFrame:
+    return spark.read.schema(_LEDGER_SCHEMA).parquet(f"{output}/{LEDGER}")
+
+
+def _enter(spark: SparkSession, output: str, *entries: tuple[str, int, int]) -> None:
+    entered = spark.createDataFrame(list(entries), _LEDGER_SCHEMA)
+    entered.coalesce(1).write.mode("append").parquet(f"{output}/{LEDGER}")
+
+
+def append_once(
+    rows: DataFrame,
+    name: str,
+    output: str,
+    checkpoint: str | None = None,
+    change: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> StreamingQuery:
+    """Appends what is there now to a folder, each batch exactly once, then stops.
+
+    A batch goes to a folder of its own and then, with its number of rows, into a ledger beside it. A batch
+    that comes again after it was entered is passed over; one that was cut short before replaces its
+    own folder. So stored rows are never read or compared, and `read_once` shows a batch as a whole or
+    not at all. Numbers of batches belong to a checkpoint: a new one needs a new name.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        known = _committed(batch.sparkSession, output)
+        if not known.where((F.col("stream") == name) & (F.col("batch") == number)).isEmpty():
+            return
+        seen = Observation()
+        watched = change(batch).observe(seen, F.count(F.lit(1)).alias("n"))
+        watched.write.mode("overwrite").parquet(f"{output}/stream={name}/batch={number}")
+        _enter(batch.sparkSession, output, (name, number, seen.get["n"]))
+
+    _enter(rows.sparkSession, output)  # so that there is a ledger before the first batch
+    return (
+        rows.writeStream.queryName(name)
+        .foreachBatch(take)
+        .option("checkpointLocation", _checkpoint(rows, name, checkpoint))
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_once(spark: SparkSession, output: str, schema: T.StructType) -> DataFrame:
+    """The rows of all batches that the ledger has, with their `stream` and `batch`."""
+    stored = T.StructType([*schema.fields, T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())])
+    done = _committed(spark, output).select("stream", "batch").distinct()
+    if done.isEmpty():
+        return spark.createDataFrame([], stored)
+    rows = spark.read.schema(stored).option("basePath", output).parquet(f"{output}/stream=*")
+    return rows.join(done, ["stream", "batch"], "left_semi").select(*stored.names)
+
+
 def stream_songplays(
     spark: SparkSession,
     path: str,

@@ -1,0 +1,183 @@
+"""Staging by paths, checks in the writing pass, functions in SQL, batches that come once."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from conftest import plan_of
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from starloom import schemas
+from starloom.functions import catalog, keys, weblog
+from starloom.operators import quality
+from starloom.sinks import tables
+from starloom.sources import files
+from starloom.streaming import ingest
+
+
+def test_lines_of_different_shape_by_paths(spark, tmp_path):
+    lines = [
+        {"user": {"id": 5, "tags": ["a", "b"]}, "price": 1.5, "on": True, "day": "2018-11-25"},
+        {"user": {"id": "6"}, "price": "2.5", "on": "false"},
+        {"user": 7, "price": {"is": 3}, "extra": [1]},
+        {"user": None},
+        ["no", "object"],
+    ]
+    text = "\n".join([json.dumps(line) for line in lines] + ["{broken", "", '{"user": {"id": 9}}'])
+    (tmp_path / "lines.json").write_text(text + "\n")
+    (tmp_path / "paths").write_text(json.dumps({"jsonpaths": ["$['user']['id']", "$.user.tags[1]", "$.price", "$.on", "$.day"]}))
+    schema = schemas.columns("id bigint, tag string, price double, active string, day string")
+    good, bad = files.read_json_by_paths(spark, str(tmp_path / "lines.json"), str(tmp_path / "paths"), schema)
+    got = [tuple(r) for r in good.collect()]
+    assert sorted(got, key=repr) == sorted(
+        [(5, "b", 1.5, "true", "2018-11-25"), (6, None, 2.5, "false", None), (None,) * 5, (None,) * 5, (None,) * 5, (9, None, None, None, None)], key=repr
+    )
+    assert [r.line for r in bad.collect()] == ["{broken"] and bad.first().file.endswith("lines.json")
+    assert good.schema.names == schema.names and [f.dataType for f in good.schema] == [f.dataType for f in schema]
+    assert plan_of(good).count("try_parse_json") <= 1 or plan_of(good).count("parse_json") <= 2  # a line is parsed once
+
+    (tmp_path / "few").write_text(json.dumps({"jsonpaths": ["$.a"]}))
+    with pytest.raises(ValueError):
+        files.read_json_by_paths(spark, str(tmp_path / "lines.json"), str(tmp_path / "few"), schema)
+
+
+def rules():
+    return [
+        quality.Rule("rows", quality.row_count(), ">", 2), quality.Rule("ids", quality.null_count("id"), "=", 0),
+        quality.Rule("least", F.min("id"), "!=", 5),
+    ]
+
+
+def test_rules_are_worked_out_while_rows_are_written(spark):
+    rows = spark.range(10)
+    outcomes = tables.publish(rows, "observed", rules=rules())
+    assert [(o.test_name, o.actual, o.success) for o in outcomes] == [("rows", 10, True), ("ids", 0, True), ("least", 0, True)]
+    assert spark.table("observed").count() == 10
+    before = {t.name for t in spark.catalog.listTables() if t.name.startswith("observed__v")}
+    for bad, named in ((spark.range(2), "rows: 2 should be > 2"), (spark.range(5, 9), "least: 5 should be != 5"), (spark.range(0), "rows: 0")):
+        with pytest.raises(quality.QualityError, match=named):
+            tables.publish(bad, "observed", rules=rules())
+        assert spark.table("observed").count() == 10  # the old rows are still there
+    assert {t.name for t in spark.catalog.listTables() if t.name.startswith("observed__v")} == before
+
+
+def test_one_pass_for_load_and_rules(spark, tmp_path):
+    spark.range(100).write.parquet(str(tmp_path / "in"))
+    watched, outcomes = quality.observed(spark.read.parquet(str(tmp_path / "in")), rules())
+    plan = plan_of(watched)
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan and "Exchange" not in plan
+    watched.write.parquet(str(tmp_path / "out"))
+    assert [o.actual for o in outcomes()] == [100, 0, 0]
+    with pytest.raises(ValueError):
+        quality.observed(spark.range(1), [quality.Rule("a query", "SELECT 1", "=", 1)])
+    with pytest.raises(ValueError):
+        quality.observed(spark.range(1), [quality.Rule("no op", quality.row_count(), "~", 1)])
+
+
+def test_a_null_outcome_fails(spark):
+    with pytest.raises(quality.QualityError, match="least: None"):
+        tables.publish(spark.range(0), "nulls_observed", rules=rules()[2:])
+    assert not spark.catalog.tableExists("nulls_observed")
+
+
+LOGS = [
+    'host - - [01/Jul/1995:00:00:01 -0400] "GET /a b HTTP/1.0" 200 6245', 'h2 i u [x] "GET /no-protocol" 404 -', "no log line", "", None,
+]
+
+
+def test_functions_by_name(spark):
+    logs = spark.createDataFrame([(line,) for line in LOGS], "value string")
+    logs.createOrReplaceTempView("some_logs")
+    spark.sql("CREATE DATABASE IF NOT EXISTS named_functions")
+    for database in (None, "named_functions"):
+        names = catalog.register(spark, database)
+        catalog.register(spark, database)  # may be repeated
+        lead = f"{database}." if database else ""
+        assert names == [f"{lead}{n}" for n in ("log_fields", "log_line", "random_key", "hash_key")]
+        got = spark.sql(f"SELECT value, {lead}log_fields(value) AS parsed, {lead}log_line(value) AS line FROM some_logs")
+        want = {r.value: r.parsed for r in weblog.parse_to_map(logs).collect()}
+        for r in got.collect():
+            assert r.parsed == want[r.value]
+            assert (r.line.asDict() if r.line else None) == want[r.value]
+        assert "Python" not in plan_of(got)
+        assert spark.sql(f"SELECT count(DISTINCT k) FROM (SELECT {lead}random_key() AS k FROM range(50))").first()[0] == 50
+        hashed = spark.sql(f"SELECT {lead}hash_key(array('a', NULL, 'b'))").first()[0]
+        assert hashed == logs.select(keys.hash_key(F.lit("a"), F.lit(None), F.lit("b"))).first()[0]
+    in_another = spark.newSession().sql("SELECT named_functions.log_line('bad') IS NULL").first()[0]
+    assert in_another is True
+
+
+def events_folder(spark, path, first, last):
+    spark.range(first, last).select("id", F.lit("x").alias("kind")).repartition(2).write.json(path)
+
+
+def test_a_batch_that_failed_before_the_ledger_is_stored_once(spark, tmp_path, monkeypatch):
+    source, output, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    schema = spark.createDataFrame([], "id long, kind string").schema
+    read = lambda: sorted(r.id for r in ingest.read_once(spark, output, schema).collect())
+
+    def run():
+        arriving = ingest.stream_json(spark, source, schema, files_per_batch=100)
+        ingest.append_once(arriving, "once", output, checkpoint).awaitTermination()
+
+    events_folder(spark, f"{source}/a", 0, 10)
+    run()
+    assert read() == list(range(10))
+    run()  # no new file
+    assert read() == list(range(10))
+
+    events_folder(spark, f"{source}/b", 10, 25)
+    enter = ingest._enter
+
+    def lost(spark_, output_, *entries):
+        if entries:
+            raise RuntimeError("lost between write and ledger")
+        enter(spark_, output_)
+
+    monkeypatch.setattr(ingest, "_enter", lost)
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert read() == list(range(10))  # written, but not shown
+    monkeypatch.setattr(ingest, "_enter", enter)
+    run()
+    assert read() == list(range(25))
+    ledger = spark.read.parquet(f"{output}/{ingest.LEDGER}").collect()
+    assert sorted((r.stream, r.batch, r.n_rows) for r in ledger) == [("once", 0, 10), ("once", 1, 15)]
+
+
+def test_a_batch_in_the_ledger_is_passed_over(spark, tmp_path, monkeypatch):
+    source, output, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    schema = spark.createDataFrame([], "id long, kind string").schema
+    events_folder(spark, f"{source}/a", 0, 10)
+    enter = ingest._enter
+
+    def lost(spark_, output_, *entries):
+        enter(spark_, output_, *entries)
+        if entries:
+            raise RuntimeError("lost between ledger and checkpoint")
+
+    def run(change=lambda batch: batch):
+        arriving = ingest.stream_json(spark, source, schema)
+        ingest.append_once(arriving, "once", output, checkpoint, change).awaitTermination()
+
+    monkeypatch.setattr(ingest, "_enter", lost)
+    with pytest.raises(StreamingQueryException):
+        run()
+    monkeypatch.setattr(ingest, "_enter", enter)
+
+    def never(batch):
+        raise AssertionError("the batch is stored already")
+
+    run(never)
+    got = ingest.read_once(spark, output, schema)
+    assert sorted(r.id for r in got.collect()) == list(range(10)) and got.columns == ["id", "kind", "stream", "batch"]
+
+
+def test_nothing_has_arrived(spark, tmp_path):
+    schema = spark.createDataFrame([], "id long, kind string").schema
+    (tmp_path / "in").mkdir()
+    arriving = ingest.stream_json(spark, str(tmp_path / "in"), schema)
+    ingest.append_once(arriving, "none", str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    assert ingest.read_once(spark, str(tmp_path / "out"), schema).collect() == []
