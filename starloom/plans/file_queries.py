@@ -29,7 +29,7 @@ from starloom.streaming import ingest
 
 @cache
 def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return tempfile.mkdtemp(prefix="run-")
 
 
 def fresh_folder(spark: SparkSession) -> str:
@@ -74,9 +74,9 @@ def json_with_schema(t: Tables) -> DataFrame:
 
 @query
 def json_inferred(t: Tables) -> DataFrame:
-    """Line-JSON with the schema found in the data."""
+    """Line-JSON with the schema found in the data, which takes all whole numbers for bigint."""
     folder = fresh_folder(t.spark)
-    t["customer"].select("c_custkey", "c_name", "c_acctbal").write.json(folder)
+    t["customer"].write.json(folder)
     return files.read_json_inferred(t.spark, folder)
 
 
@@ -117,16 +117,14 @@ def delimited_gzip_parts(t: Tables) -> DataFrame:
 def delimited_with_header(t: Tables) -> DataFrame:
     """Tab-separated with a header: all text, then types inferred."""
     folder = fresh_folder(t.spark)
-    written = t["orders"].select("o_orderkey", "o_totalprice", "o_orderstatus")
-    file_sinks.write_delimited(written, folder, sep="\t")
+    file_sinks.write_delimited(t["orders"], folder, sep="\t")
     as_text = files.read_delimited(t.spark, folder, sep="\t")
     inferred = files.read_delimited(t.spark, folder, sep="\t", infer=True)
+    key = F.col("o_orderkey").cast("bigint").alias("o_orderkey")
+    words = as_text.select(key, "o_orderstatus", "o_orderpriority")
     return inferred.select(
-        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_totalprice"
-    ).join(
-        as_text.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus"),
-        "o_orderkey",
-    )
+        key, F.col("o_custkey").cast("bigint").alias("o_custkey"), "o_totalprice", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate")
+    ).join(words, "o_orderkey")
 
 
 @query
@@ -170,25 +168,29 @@ def union_by_name(t: Tables) -> DataFrame:
 
 @query
 def run_date_files(t: Tables) -> DataFrame:
-    """Events in folders by month; the folder of one run date is read."""
+    """Events, dealt over several months, in folders by month; the folder of one run date is read."""
     folder = fresh_folder(t.spark)
+    dated = F.col("ts") + F.make_interval(months=(F.col("event_id") % 14).cast("int"))
     parts = t["events"].select(
-        "event_id", "event_type", F.date_format("ts", "yyyy").alias("y"), F.date_format("ts", "MM").alias("m")
+        "event_id", "event_type", F.date_format(dated, "yyyy").alias("y"), F.date_format(dated, "MM").alias("m")
     )
     for y, m in sorted({(r.y, r.m) for r in parts.select("y", "m").distinct().collect()}):
         month = parts.where((F.col("y") == y) & (F.col("m") == m)).select("event_id", "event_type")
         month.write.json(f"{folder}/{y}/{m}")
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
-    return files.read_json(t.spark, files.run_date_path(folder, date(2024, 1, 15)), schema)
+    return files.read_json(t.spark, files.run_date_path(folder, date(2025, 2, 15)), schema)
 
 
 @query
 def delimited_single_gzip(t: Tables) -> DataFrame:
-    """One gzip file, which one task reads and deals out for what follows."""
+    """A summary as one gzip file, which one task reads and deals out for what follows."""
     folder = fresh_folder(t.spark)
-    file_sinks.write_delimited(t["part"], folder, "|", header=False, single_file=True, compression="gzip")
+    summary = t["part"].groupBy("p_brand", "p_type").agg(
+        F.count("*").alias("n"), F.min("p_retailprice").alias("least"), F.max("p_size").alias("largest")
+    )
+    file_sinks.write_delimited(summary, folder, "|", header=False, single_file=True, compression="gzip")
     tasks = t.spark.sparkContext.defaultParallelism
-    return files.read_delimited(t.spark, folder, t["part"].schema, "|", header_rows=0, spread=tasks)
+    return files.read_delimited(t.spark, folder, summary.schema, "|", header_rows=0, spread=tasks)
 
 
 @query
@@ -212,10 +214,10 @@ def single_file_export(t: Tables) -> DataFrame:
 
 @query
 def local_lookup(t: Tables) -> DataFrame:
-    """Customers by region: the fixed list of regions is held by the driver as local rows."""
-    names = from_local(t.spark, t["region"].select("r_regionkey", "r_name").collect(), "key int, region string")
-    nations = joins.star_join(t["nation"], (names, "n_regionkey", "key"))
-    return joins.star_join(t["customer"], (nations, "c_nationkey", "n_nationkey")).groupBy("region").agg(
+    """Customers by market: a short list of markets is held by the driver as local rows."""
+    markets = from_local(t.spark, [(0, "south"), (1, "west"), (2, "east"), (3, "west"), (4, "south")], "key int, market string")
+    nations = joins.star_join(t["nation"], (markets, "n_regionkey", "key"))
+    return joins.star_join(t["customer"], (nations, "c_nationkey", "n_nationkey")).groupBy("market").agg(
         F.count("*").alias("n")
     )
 
@@ -320,7 +322,7 @@ def bucketed_star(t: Tables) -> DataFrame:
 
 @query
 def replicated_star(t: Tables) -> DataFrame:
-    """The report by two dimensions with the dimensions that fit copied to every task."""
+    """The report by two dimensions with the dimensions copied to every task that are found to fit."""
     small = ("part", "supplier", "nation", "region")
     copied = {name: layout.replicated(t[name]) for name in small}
     return star_queries.order_two_dim({**copied, "lineitem": t["lineitem"], "orders": t["orders"]})

@@ -15,7 +15,7 @@ from starloom.operators.intervals import interval_join
 from starloom.plans.file_queries import fresh_database, fresh_folder
 from starloom.plans.play_queries import log_lines
 from starloom.plans.table_queries import query
-from starloom.sinks import tables
+from starloom.sinks import layout, tables
 from starloom.sources import files
 from starloom.sources.tables import Tables, from_local, named_views
 from starloom.streaming import ingest
@@ -131,6 +131,16 @@ def stream_once(t: Tables) -> DataFrame:
     return ingest.read_once(spark, output, events.schema).drop("stream", "batch")
 
 
+@query
+def curved_orders(t: Tables) -> DataFrame:
+    """Orders laid out by date and customer at once; a stretch of both is read back."""
+    table = f"{fresh_database(t.spark)}.orders"
+    layout.write_curved(t["orders"], table, "o_orderdate", "o_custkey")
+    stored = t.spark.table(table)
+    in_1997 = stored.where("o_orderdate >= timestamp_ntz'1997-01-01' AND o_orderdate < timestamp_ntz'1998-01-01'")
+    return in_1997.unionByName(stored.where("o_custkey BETWEEN 40 AND 90"))
+
+
 # Running values
 
 

@@ -351,7 +351,7 @@ ORACLES: dict[str, str] = {
         SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props FROM events
     """,
     "json_inferred": r"""
-        SELECT c_custkey, c_name, c_acctbal FROM customer
+        SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer
     """,
     "stage_by_mapping": r"""
         SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type FROM events
@@ -360,7 +360,7 @@ ORACLES: dict[str, str] = {
         SELECT * FROM lineitem
     """,
     "delimited_with_header": r"""
-        SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders
+        SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderstatus, o_orderpriority FROM orders
     """,
     "parquet_partitioned": r"""
         SELECT o_orderkey, o_orderdate, CAST(extract(year FROM o_orderdate) AS INT) AS y,
@@ -635,10 +635,10 @@ ORACLES |= {
         SELECT '/' || event_type || '/' || event_id AS endpoint, count(*) AS n FROM events GROUP BY 1
     """,
     "run_date_files": r"""
-        SELECT event_id, event_type FROM events WHERE strftime(ts, '%Y%m') = '202401'
+        SELECT event_id, event_type FROM events WHERE event_id % 14 = (2025 - extract(year FROM ts)) * 12 + 2 - extract(month FROM ts)
     """,
     "delimited_single_gzip": r"""
-        SELECT * FROM part
+        SELECT p_brand, p_type, count(*) AS n, min(p_retailprice) AS least, max(p_size) AS largest FROM part GROUP BY 1, 2
     """,
     "gzip_text_lines": r"""
         SELECT split_part(p_name, ' ', 1) AS word, count(*) AS n FROM part GROUP BY 1
@@ -647,8 +647,9 @@ ORACLES |= {
         SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2
     """,
     "local_lookup": r"""
-        SELECT r_name AS region, count(*) AS n
-        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        SELECT CASE WHEN n_regionkey IN (0, 4) THEN 'south' WHEN n_regionkey IN (1, 3) THEN 'west' ELSE 'east' END AS market, count(*) AS n
+        FROM customer JOIN nation ON c_nationkey = n_nationkey
+        WHERE n_regionkey BETWEEN 0 AND 4
         GROUP BY 1
     """,
     "several_header_rows": r"""
@@ -762,4 +763,9 @@ ORACLES |= {
         SELECT event_id, user_id, event_type
         FROM events
     """,
+    "curved_orders": r"""
+        SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
+        UNION ALL
+        SELECT * FROM orders WHERE o_custkey BETWEEN 40 AND 90
+    """,
 }

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 from datetime import date, datetime, timedelta
+from urllib.parse import urlparse
 
+import pyarrow.parquet as parquet
 import pytest
 from conftest import plan_of
 from pyspark.sql import Window
@@ -14,7 +16,7 @@ from starloom import schemas
 from starloom.functions import calendar
 from starloom.operators import intervals, numbering
 from starloom.operators.frames import Running, running
-from starloom.sinks import tables
+from starloom.sinks import layout, tables
 
 
 @pytest.fixture
@@ -271,3 +273,55 @@ def test_seasons_and_holidays(spark):
         want.append((day, k, season, "1" if any(r[0] == "holiday" for r in found) else "0"))
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
     assert {w[2] for w in want} == {"cold", "warm", "alike", "later", "leap", None}
+
+
+# Layout
+
+
+def files_to_read(spark, name, column, low, high):
+    """Share of a table's row groups that a filter on a column has to read, by their statistics."""
+    groups = hit = 0
+    for path in spark.table(name).inputFiles():
+        about = parquet.ParquetFile(urlparse(path).path).metadata
+        at = [about.schema.column(k).name for k in range(about.num_columns)].index(column)
+        for k in range(about.num_row_groups):
+            found = about.row_group(k).column(at).statistics
+            groups += 1
+            hit += found is None or not found.has_min_max or (found.min <= high and found.max >= low)
+    return hit / groups
+
+
+def test_a_filter_on_any_key_of_a_curve_skips_files(spark, settings):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="64")
+    rng = random.Random(3)
+    rows = [(rng.randrange(1000), rng.choice((7, rng.randrange(5000))), None if k % 100 == 0 else rng.choice("abcdefgh") * 3, k) for k in range(20_000)]
+    frame = spark.createDataFrame(rows, "day int, customer long, word string, id int")
+    layout.write_sorted(frame, "in_order", "day", "customer")
+    layout.write_curved(frame, "on_curve", "day", "customer")
+    layout.write_curved(frame, "on_long_curve", "day", "word", "customer", bits=5)
+    for name in ("on_curve", "on_long_curve"):
+        assert sorted(map(repr, spark.table(name).collect())) == sorted(map(repr, frame.collect()))
+    assert files_to_read(spark, "in_order", "customer", 1000, 1100) > 0.9
+    for column, low, high in (("day", 200, 220), ("customer", 1000, 1100)):
+        assert files_to_read(spark, "on_curve", column, low, high) < 0.45  # half of all rows are of customer 7
+    assert files_to_read(spark, "on_long_curve", "word", "bbb", "bbb") < 0.8
+    layout.write_curved(frame.limit(0), "empty_curve", "day", "customer")
+    assert spark.table("empty_curve").count() == 0
+
+
+def test_places_on_the_curve(spark):
+    cuts = [2.0, 3.0, 3.5]
+    numbers = spark.createDataFrame([(x,) for x in (None, -1.0, 2.0, 2.5, 3.0, 3.4, 9.0)], "x double")
+    got = [r[0] for r in numbers.select(layout._place(F.col("x"), cuts, 2)).collect()]
+    assert got == [0, 0, 1, 1, 2, 2, 3]
+    pairs = spark.createDataFrame([(a, b) for a in range(8) for b in range(8)], "a long, b long")
+    for a, b, curve in pairs.select("a", "b", layout.interleaved([F.col("a"), F.col("b")], 3)).collect():
+        assert format(curve, "06b") == "".join(x + y for x, y in zip(format(a, "03b"), format(b, "03b")))
+
+
+def test_only_small_dimensions_are_replicated(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    fact, dimension = spark.range(100).withColumnRenamed("id", "key"), spark.range(50).withColumnRenamed("id", "key")
+    assert "BroadcastHashJoin" in plan_of(fact.join(layout.replicated(dimension), "key"))
+    large = fact.join(layout.replicated(dimension, most_rows=49), "key")
+    assert "BroadcastHashJoin" not in plan_of(large) and large.count() == 50
