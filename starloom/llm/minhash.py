@@ -3,7 +3,10 @@
 Each permutation of the shingles gives two values of a signature, the smallest and the largest,
 so that 64 permutations make 128 values. Bands of two permutations (four values) put texts into
 buckets; two texts at the similarity sought meet in at least one of 32 bands but for five cases
-in a million. Every link is confirmed on the full sets of both texts.
+in a million where the sets are large. The minimum and the maximum of a small set are seldom of the
+same shingle, so that its bands agree less often than a large one's. Sets of at most seven shingles are
+therefore looked up without one of their shingles too, which finds every link between a set and one
+that has one shingle more. Every other link is confirmed on the full sets of both texts.
 """
 
 from __future__ import annotations
@@ -23,11 +26,12 @@ SHINGLE_WORDS = 5
 PERMUTATIONS = 64
 BANDS = 32
 LIKE_PERCENT = 75
-#: Pairs of a bucket whose signatures agree less than this are not confirmed: the estimate of a
-#: similarity of 0.75 from 128 values is this low in less than one case in ten thousand.
-LEAST_ESTIMATE = 0.6
+#: Sets of so few shingles are also looked up without one of them.
+FEW_SHINGLES = 7
 MEMBERS = 128
 BUCKET_BLOCK = 500
+#: Keys that are broadcast, 32 MB; more are joined by a shuffle.
+MOST_BROADCAST = 4_000_000
 
 _SEEDS = seeded("permutations", 2 * PERMUTATIONS)
 _XOR = (_SEEDS[:PERMUTATIONS] >> np.uint64(32)).astype(np.uint32)
@@ -79,7 +83,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def _describe(batches):
-    names = ["doc_id", "n_shingles", "set_a", "set_b", "signature"]
+    names = ["doc_id", "n_shingles", "set_a", "set_b", "buckets", "less"]
     seed = np.uint64(0x9E3779B97F4A7C15)
     for batch in batches:
         ids, texts, done = batch.column(0), batch.column(1), 0
@@ -89,16 +93,19 @@ def _describe(batches):
             counts = np.array([len(x) for x in pending], np.int64)
             sums = np.zeros((2, len(pending)), np.uint64)
             full = np.flatnonzero(counts)
-            blobs = [None] * len(pending)
+            blobs, less = [None] * len(pending), [None] * len(pending)
             if len(full):
                 sets = [pending[k] for k in full]
                 joined, bounds = np.concatenate(sets), np.concatenate(([0], np.cumsum(counts[full])[:-1]))
                 sums[0, full] = np.add.reduceat(mix(joined), bounds)
                 sums[1, full] = np.add.reduceat(mix(joined ^ seed), bounds)
-                for k, row in zip(full, signatures(sets)):
+                for k, one, row in zip(full, sets, band_keys(signatures(sets))):
                     blobs[k] = row.tobytes()
+                    if 1 < len(one) <= FEW_SHINGLES:
+                        less[k] = np.stack((sums[0, k] - mix(one), sums[1, k] - mix(one ^ seed))).tobytes()
             return pa.RecordBatch.from_arrays(
-                [ids.slice(done, len(pending)), pa.array(counts), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(blobs, pa.binary())],
+                [ids.slice(done, len(pending)), pa.array(counts), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
+                 pa.array(blobs, pa.binary()), pa.array(less, pa.binary())],
                 names,
             )
 
@@ -114,35 +121,60 @@ def _describe(batches):
 
 
 def described(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the whole set, and the signature (null for no words)."""
+    """doc_id, n_shingles, two hashes of the whole set, its buckets, and of few shingles the hashes
+    of the set without each of them. The last two are null for no words."""
     return documents.select("doc_id", "text").mapInArrow(
-        _describe, "doc_id long, n_shingles long, set_a long, set_b long, signature binary"
+        _describe, "doc_id long, n_shingles long, set_a long, set_b long, buckets binary, less binary"
     )
 
 
 def _to_buckets(batches):
     for batch in batches:
         if batch.num_rows:
-            signature = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(batch.num_rows, -1)
-            keys = band_keys(signature).reshape(-1).view(np.int64)
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
             ids = np.repeat(np.asarray(batch.column(0)), BANDS)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], ["bucket", "node"])
 
 
+def _to_smaller_sets(batches):
+    for batch in batches:
+        for k, blob in enumerate(batch.column(2).to_pylist()):
+            hashes = np.frombuffer(blob, np.int64).reshape(2, -1)
+            count = hashes.shape[1]
+            ids, sizes = (np.full(count, batch.column(c)[k].as_py(), np.int64) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(sizes - 1), pa.array(hashes[0]), pa.array(hashes[1])], ["b", "n_shingles", "set_a", "set_b"]
+            )
+
+
+def one_more(nodes: DataFrame, classes: DataFrame, like_percent: int = LIKE_PERCENT) -> DataFrame:
+    """Links (a, b) where b has few shingles: those of a and one more."""
+    few = nodes.where(F.col("less").isNotNull() & ((F.col("n_shingles") - 1) * 100 >= like_percent * F.col("n_shingles")))
+    smaller = few.select("node", "n_shingles", "less").mapInArrow(
+        _to_smaller_sets, "b long, n_shingles long, set_a long, set_b long"
+    )
+    return smaller.join(classes, ["set_a", "set_b", "n_shingles"]).select(F.col("node").alias("a"), "b")
+
+
+def _if_few(keys: DataFrame) -> DataFrame:
+    """The written rows, marked to be broadcast if they are counted and found to be few."""
+    return F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys
+
+
 def confirmed(pairs: DataFrame, documents: DataFrame, like_percent: int = LIKE_PERCENT) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are alike enough.
 
     Each `a` meets its partners in groups of 128 or so, so that one with very many partners is
     spread over tasks; a group is read as a stream, `a` first.
     """
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("groups"))
-    dealt = pairs.join(sizes, "a").select(
-        "a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("part")
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("groups")).where("groups > 1")
+    dealt = pairs.join(_if_few(written(sizes, "large_groups")), "a", "left").select(
+        "a", "b", F.pmod(F.xxhash64("b"), F.coalesce("groups", F.lit(1))).alias("part")
     )
     wanted = dealt.select("a", "part", F.col("b").alias("doc_id")).unionByName(
         dealt.select("a", "part").distinct().withColumn("doc_id", F.col("a"))
     )
-    texts = wanted.join(packed(documents), "doc_id")
+    texts = wanted.join(packed(_of_ids(documents, wanted)), "doc_id")
     stream = (
         texts.repartition("a", "part")
         .withColumn("partner", F.col("doc_id") != F.col("a"))
@@ -170,21 +202,41 @@ def confirmed(pairs: DataFrame, documents: DataFrame, like_percent: int = LIKE_P
     return stream.mapInArrow(compare, "a long, b long")
 
 
+def _prefixes(sets: list[np.ndarray], like_percent: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """For each set its rarest shingles, numbered; and per number the sets that have it among theirs.
+
+    Two sets that are alike enough share one of their prefixes: of n shingles they have at least
+    `like_percent` in common, so one that is not among the n - common + 1 rarest cannot be the only one.
+    """
+    sizes = np.array([len(x) for x in sets])
+    _, number, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.lexsort((number, counts[number], owner))
+    place = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    reach = sizes - -(-like_percent * sizes // 100) + 1
+    taken = order[(place < reach[owner]) & (counts[number[order]] > 1)]
+    number, owner = number[taken], owner[taken]
+    mine = np.split(number, np.searchsorted(owner, np.arange(1, len(sets))))
+    by_number = np.argsort(number, kind="stable")
+    return mine, owner[by_number], np.searchsorted(number[by_number], np.arange(len(counts) + 1))
+
+
 def _links_of_block(batch: pa.Table, like_percent: int) -> tuple[list[int], list[int]]:
     """Links that join components of one block, each confirmed on full sets; no more than needed."""
     node, root, side = (np.asarray(batch.column(c)) for c in ("node", "root", "side"))
-    matrix = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(len(node), -1)
     sets = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
     sizes = np.array([len(x) for x in sets])
+    mine, owners, bounds = _prefixes(sets, like_percent)
     root = root.copy()
-    right = np.flatnonzero(side & 2)
+    right = (side & 2) > 0
     found: tuple[list[int], list[int]] = ([], [])
     for k in np.flatnonzero(side & 1):
-        other = right[(root[right] != root[k]) & (100 * np.minimum(sizes[right], sizes[k]) >= like_percent * np.maximum(sizes[right], sizes[k]))]
-        if not len(other):
+        sharing = [owners[bounds[x] : bounds[x + 1]] for x in mine[k]]
+        if not sharing:
             continue
-        same = (matrix[other] == matrix[k]).mean(axis=1)
-        for j in other[np.argsort(-same)][: int((same >= LEAST_ESTIMATE).sum())]:
+        other, shares = np.unique(np.concatenate(sharing), return_counts=True)
+        fits = right[other] & (root[other] != root[k]) & (100 * np.minimum(sizes[other], sizes[k]) >= like_percent * np.maximum(sizes[other], sizes[k]))
+        for j in other[fits][np.argsort(-shares[fits], kind="stable")]:
             if root[j] == root[k]:
                 continue
             at = np.minimum(np.searchsorted(sets[k], sets[j]), sizes[k] - 1)
@@ -199,9 +251,10 @@ def _links_of_block(batch: pa.Table, like_percent: int) -> tuple[list[int], list
 def across_components(members: DataFrame, sets: DataFrame, like_percent: int = LIKE_PERCENT) -> DataFrame:
     """Links (a, b) between texts of a bucket that are not connected yet.
 
-    Takes (bucket, node, root, signature) of buckets with more than one component, and the sets
-    of their nodes. Buckets are compared in blocks of five hundred by five hundred texts, however
-    large they are. Pairs are compared where they lie, and only links leave a block.
+    Takes (bucket, node, root) of buckets with more than one component, and the sets of their
+    nodes. Buckets are compared in blocks of five hundred by five hundred texts, however large
+    they are. In a block, pairs that share one of their rarest shingles are compared on full sets;
+    no other pair can be alike enough. Only links leave a block.
     """
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BUCKET_BLOCK).alias("blocks"))
     dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
@@ -212,7 +265,6 @@ def across_components(members: DataFrame, sets: DataFrame, like_percent: int = L
         F.expr("case when block = other then 3 when block < other then 1 else 2 end").alias("side"),
         "node",
         "root",
-        "signature",
         "shingles",
     )
 
@@ -223,6 +275,12 @@ def across_components(members: DataFrame, sets: DataFrame, like_percent: int = L
     return placed.groupBy("bucket", "first_block", "second_block").applyInArrow(compare, "a long, b long").distinct()
 
 
+def _of_ids(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of the wanted doc_ids. Few ids are broadcast, so that no other text is shuffled."""
+    ids = written(wanted.select("doc_id").distinct(), "wanted")
+    return documents.select("doc_id", "text").join(_if_few(ids), "doc_id", "left_semi")
+
+
 def packed(documents: DataFrame) -> DataFrame:
     """(doc_id, packed): texts as zstd, which shuffles in a third of its bytes."""
 
@@ -244,8 +302,8 @@ def near_duplicates(documents: DataFrame, like_percent: int = LIKE_PERCENT) -> D
 
     Texts with the same set form a class, whose smallest doc_id stands for it in all further
     steps. In each bucket every text is first paired with the one of the smallest doc_id only;
-    pairs between others follow where a bucket still holds several components. A pair within a
-    component is never needed, as it would join nothing.
+    pairs between others follow where these others are still of several components, once for
+    buckets of the same texts. A pair within a component is never needed, as it would join nothing.
 
     A null or empty text, or one without words, has no shingles, is linked with nothing and is
     its own component. Rows that share a doc_id count as one document if their texts are equal;
@@ -258,21 +316,25 @@ def near_duplicates(documents: DataFrame, like_percent: int = LIKE_PERCENT) -> D
     classes = written(classes, "classes")
     nodes = known.join(
         classes.select("set_a", "set_b", "n_shingles", F.col("node").alias("doc_id")), ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi"
-    ).select(F.col("doc_id").alias("node"), "signature")
-    buckets = nodes.mapInArrow(_to_buckets, "bucket long, node long")
+    ).select(F.col("doc_id").alias("node"), "n_shingles", "buckets", "less")
+    nodes = written(nodes, "nodes")
+    buckets = nodes.select("node", "buckets").mapInArrow(_to_buckets, "bucket long, node long")
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
     shared = written(buckets.join(hubs.select("bucket", "a"), "bucket"), "buckets")
-    pairs = shared.where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    links = written(confirmed(pairs, documents, like_percent), "confirmed")
-    roots = components(links)
-
-    placed = shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    members = placed.join(mixed.select("bucket"), "bucket", "left_semi").join(nodes.dropDuplicates(["node"]), "node")
-    members = written(members, "members")
+    pairs = written(shared.where("a <> node").select("a", F.col("node").alias("b")).distinct(), "pairs")
+    links = confirmed(pairs, documents, like_percent).unionByName(one_more(nodes, classes, like_percent))
+    roots = components(written(links, "confirmed"))
+
+    # pairs with a bucket's smallest have been compared; the others are left
+    placed = shared.where("a <> node").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    placed = written(placed, "placed")
+    texts = [F.sum(F.xxhash64(*x).cast("decimal(38,0)")).alias(name) for name, x in (("h", ["node"]), ("i", [F.lit(1), "node"]))]
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), *texts)
+    mixed = mixed.where("low <> high").groupBy("n", "h", "i").agg(F.min("bucket").alias("bucket"))
+    members = written(placed.join(mixed.select("bucket"), "bucket", "left_semi").distinct(), "members")
     if not members.isEmpty():
-        wanted = members.select(F.col("node").alias("doc_id")).distinct()
-        sets = packed(documents).join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
+        wanted = members.select(F.col("node").alias("doc_id"))
+        sets = packed(_of_ids(documents, wanted)).mapInArrow(_sets, "node long, shingles binary")
         more = written(across_components(members, sets.dropDuplicates(["node"]), like_percent), "more")
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 

@@ -64,6 +64,39 @@ def test_groups_that_no_single_document_links(spark):
     assert sorted(map(tuple, got), key=repr) == expected_groups(rows)
 
 
+def test_small_sets_lose_no_link(spark):
+    """Texts of four to seven shingles next to the same without their last."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(0, 3000, 2):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(8, 12))]
+        rows += [(k, " ".join(words), "en", "s"), (k + 1, " ".join(words[:-1]), "en", "s")]
+    got = minhash.near_duplicates(frame(spark, rows)).collect()
+    assert all(r.component_id == r.doc_id - r.doc_id % 2 for r in got)
+
+
+def test_many_texts_of_one_template(spark):
+    """5,000 texts that share three fifths of their shingles, and some that are alike enough."""
+    rng = random.Random(12)
+    template = sentence(rng, 160)
+    tails = [" ".join(f"t{k}x{n}" for n in range(52)) for k in range(5000)]
+    rows = [(k, f"{template} {tail}", "en", "s") for k, tail in enumerate(tails)]
+    near = {7: 4003, 2500: 4998, 3100: 3101}
+    for a, b in near.items():
+        rows[b] = (b, f"{template} {tails[a].rsplit(' ', 1)[0]} other", "en", "s")
+    shared, private = 156, 52
+    assert 100 * shared >= 59 * (shared + 2 * private) and 100 * shared < 75 * (shared + 2 * private)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {k: k for k in range(5000)} | {b: a for a, b in near.items()}
+
+
+def test_given_documents_against_an_exact_join(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in table.select("doc_id", "text").collect()]
+    got = QUERIES["op10_minmax_near_dedup"](spark, "/root/testdata/sf0.01").collect()
+    assert sorted(map(tuple, got), key=repr) == expected_groups(rows)
+
+
 def test_min_max_estimate_is_near():
     rng = np.random.default_rng(1)
     shared, own = rng.integers(0, 2**63, 750).astype(np.uint64), rng.integers(0, 2**63, 250).astype(np.uint64)
