@@ -202,21 +202,20 @@ def confirmed(pairs: DataFrame, documents: DataFrame, like_percent: int = LIKE_P
     return stream.mapInArrow(compare, "a long, b long")
 
 
-def _prefixes(sets: list[np.ndarray], like_percent: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+def _prefixes(number: np.ndarray, sizes: np.ndarray, like_percent: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """For each set its rarest shingles, numbered; and per number the sets that have it among theirs.
 
     Two sets that are alike enough share one of their prefixes: of n shingles they have at least
     `like_percent` in common, so one that is not among the n - common + 1 rarest cannot be the only one.
     """
-    sizes = np.array([len(x) for x in sets])
-    _, number, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    counts = np.bincount(number)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
     order = np.lexsort((number, counts[number], owner))
     place = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     reach = sizes - -(-like_percent * sizes // 100) + 1
     taken = order[(place < reach[owner]) & (counts[number[order]] > 1)]
     number, owner = number[taken], owner[taken]
-    mine = np.split(number, np.searchsorted(owner, np.arange(1, len(sets))))
+    mine = np.split(number, np.searchsorted(owner, np.arange(1, len(sizes))))
     by_number = np.argsort(number, kind="stable")
     return mine, owner[by_number], np.searchsorted(number[by_number], np.arange(len(counts) + 1))
 
@@ -226,22 +225,26 @@ def _links_of_block(batch: pa.Table, like_percent: int) -> tuple[list[int], list
     node, root, side = (np.asarray(batch.column(c)) for c in ("node", "root", "side"))
     sets = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
     sizes = np.array([len(x) for x in sets])
-    mine, owners, bounds = _prefixes(sets, like_percent)
-    root = root.copy()
-    right = (side & 2) > 0
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    numbered = np.split(number, np.cumsum(sizes)[:-1])
+    mine, owners, bounds = _prefixes(number, sizes, like_percent)
+    root, right, in_this = root.copy(), (side & 2) > 0, np.zeros(len(bounds), bool)
     found: tuple[list[int], list[int]] = ([], [])
     for k in np.flatnonzero(side & 1):
         sharing = [owners[bounds[x] : bounds[x + 1]] for x in mine[k]]
         if not sharing:
             continue
-        other, shares = np.unique(np.concatenate(sharing), return_counts=True)
+        other = np.unique(np.concatenate(sharing))
         fits = right[other] & (root[other] != root[k]) & (100 * np.minimum(sizes[other], sizes[k]) >= like_percent * np.maximum(sizes[other], sizes[k]))
-        for j in other[fits][np.argsort(-shares[fits], kind="stable")]:
-            if root[j] == root[k]:
-                continue
-            at = np.minimum(np.searchsorted(sets[k], sets[j]), sizes[k] - 1)
-            shared = int((sets[k][at] == sets[j]).sum())
-            if 100 * shared >= like_percent * (sizes[j] + sizes[k] - shared):
+        other = other[fits]
+        if not len(other):
+            continue
+        in_this[numbered[k]] = True
+        hits = in_this[np.concatenate([numbered[j] for j in other])]
+        shared = np.add.reduceat(hits, np.cumsum(sizes[other]) - sizes[other], dtype=np.int64)
+        in_this[numbered[k]] = False
+        for j in other[100 * shared >= like_percent * (sizes[other] + sizes[k] - shared)]:
+            if root[j] != root[k]:
                 found[0].append(int(min(node[j], node[k])))
                 found[1].append(int(max(node[j], node[k])))
                 root[root == root[j]] = root[k]
