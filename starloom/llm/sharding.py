@@ -16,6 +16,8 @@ HASH_BITS = 60
 #: Bits looked at in one round. The directory has entries of 6, 12, 18, ... bits.
 ROUND_BITS = 6
 COLUMNS = ("shard_id", "shard_depth", "shard_size")
+#: Entries of the directory that are broadcast, some 32 MB; more are joined by a shuffle.
+MOST_BROADCAST = 400_000
 
 
 def hash_of(doc_id: Column) -> Column:
@@ -65,28 +67,45 @@ def directory(sizes: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
         depth = reach
 
 
-def sharded(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def _free_name(name: str, taken: list[str]) -> str:
+    while name.lower() in (x.lower() for x in taken):
+        name += "_"
+    return name
+
+
+def sharded(documents: DataFrame, shard_bytes: int = SHARD_BYTES, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """All columns of `documents`, and shard_id (bits), shard_depth (their number), shard_size.
 
     A document's bytes are those of its text in UTF-8; a null or empty text takes none. A null
     doc_id is hashed like an empty name. A document longer than the limit ends in a shard of its
     own that is over it, as do rows of one doc_id that don't fit together. If all fits one shard,
     its id is the empty text. An empty table gives an empty result. Columns of `documents` that
-    are named like the new ones are replaced.
+    are named like the new ones are replaced; all others may have any name.
+
+    A small directory is sent to the rows, a level at a time, as a row is in an entry of one level
+    only. A large one is looked up by the distinct hashes, and texts are joined to them once.
     """
     documents = documents.drop(*COLUMNS)
     entries = directory(documents.select(hash_of(F.col("doc_id")).alias("h"), text_bytes().alias("bytes")), shard_bytes)
-    levels = sorted(r[0] for r in entries.select("level").distinct().collect())  # ten at most
-    level = F.explode(F.array(*(F.lit(n) for n in levels))) if levels else F.lit(0)
-    looked_up = documents.withColumn("shard_level", level).withColumn(
-        "shard_cell", F.expr(f"shiftright({_sql_hash()}, {HASH_BITS} - shard_level)")
-    )
-    same = (F.col("shard_level") == F.col("level")) & (F.col("shard_cell") == F.col("cell"))
-    return looked_up.join(entries, same).select(*(looked_up[c] for c in documents.columns), *COLUMNS)
-
-
-def _sql_hash() -> str:
-    return f"cast(conv(substring(md5(coalesce(cast(doc_id as string), '')), 1, {HASH_BITS // 4}), 16, 10) as bigint)"
+    counted = {r[0]: r[1] for r in entries.groupBy("level").count().collect()}  # ten levels at most
+    levels = sorted(counted) or [ROUND_BITS]
+    h = _free_name("h", documents.columns)
+    rows = documents.withColumn(h, hash_of(F.col("doc_id")))
+    if sum(counted.values()) <= most_broadcast:
+        shards = []
+        for level in levels:
+            cell, shard = (_free_name(f"{x}{level}", documents.columns) for x in ("cell", "shard"))
+            some = entries.where(F.col("level") == level).select(F.col("cell").alias(cell), F.struct(*COLUMNS).alias(shard))
+            rows = rows.join(F.broadcast(some), F.shiftright(h, HASH_BITS - level) == F.col(cell), "left")
+            shards.append(F.col(shard))
+        found = F.coalesce(*shards)
+    else:
+        shard = _free_name("shard", documents.columns)
+        keys = rows.select(F.col(h).alias("h")).distinct().withColumn("level", F.explode(F.array(*(F.lit(n) for n in levels))))
+        keys = keys.withColumn("cell", F.expr(f"shiftright(h, {HASH_BITS} - level)"))
+        known = keys.join(entries, ["level", "cell"]).select(F.col("h").alias(h), F.struct(*COLUMNS).alias(shard))
+        rows, found = rows.join(known, h), F.col(shard)
+    return rows.select(*(F.col(f"`{c}`") for c in documents.columns), *(found[c].alias(c) for c in COLUMNS))
 
 
 def write_shards(documents: DataFrame, path: str, shard_bytes: int = SHARD_BYTES) -> None:
