@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 #: Pages of the table that train the model beside the labelled ones below: those whose ids have
 #: the smallest hashes. Their <article> and <main> subtrees are taken for content.
 TRAINED_ON = 300
+#: Longer pages are not trained on, so that the sample's bytes are bounded too.
+LONGEST_SAMPLED = 1 << 20
 STEPS = 400
 RATE = 1.0
 DECAY = 1e-3
@@ -355,10 +357,14 @@ LABELLED = (
 
 
 def labelled_sample(pages: DataFrame, count: int) -> list[list[Node]]:
-    """Trees of the sampled pages, <article> and <main> labelled as content."""
-    order = [F.xxhash64("page_id"), "page_id", "html"]
-    chosen = pages.where("html is not null and page_id is not null").select("page_id").distinct().orderBy(*order[:2]).limit(count)
-    rows = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id", "left_semi").orderBy("page_id", "html").collect()
+    """Trees of the sampled pages, <article> and <main> labelled as content.
+
+    One row a page_id is read, and none of more than LONGEST_SAMPLED bytes.
+    """
+    known = pages.select("page_id", "html").where((F.octet_length("html") <= LONGEST_SAMPLED) & F.col("page_id").isNotNull())
+    chosen = known.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(count)
+    sample = known.join(F.broadcast(chosen), "page_id", "left_semi").groupBy("page_id").agg(F.min("html").alias("html"))
+    rows = sample.orderBy("page_id").collect()
     out = []
     for row in rows:
         nodes = parse(row.html)

@@ -240,6 +240,7 @@ def fitted(documents: DataFrame, trained_on: int = TRAINED_ON) -> Classifier:
     chosen = documents.where("doc_id is not null").select("doc_id").distinct()
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trained_on)
     sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"))  # one row an id, however many have it
 
     def describe(batches):
         names = ["doc_id", "target", "columns", "values"]

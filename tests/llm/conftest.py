@@ -6,7 +6,7 @@ import re
 import pytest
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-EXTRA = ("kept", "size", "target", "row_key", "shard_id", "n_words", "mix_key", "a", "b", "node", "words", "lane")
+EXTRA = ("kept", "size", "target", "row_key", "shard_id", "n_words", "mix_key", "a", "b", "node", "words", "lane", "level", "cell", "h", "shard", "cell6", "shard6", "shard_level", "shard_cell", "buckets")
 
 
 def words_of(text):

@@ -214,6 +214,15 @@ def test_classifier_on_odd_rows(documents, rows):
     assert Counter(r.doc_id for r in weaklabel.accepted(documents).collect()) == kept
 
 
+def test_sample_takes_one_row_an_id(spark, monkeypatch):
+    held = []
+    fit = weaklabel.fit_scorer
+    monkeypatch.setattr(weaklabel, "fit_scorer", lambda *found: held.append(len(found[3])) or fit(*found))
+    rows = [(k % 5, f"The river rose in the night, and {k} of the fields were gone.", "en", "s") for k in range(800)]
+    weaklabel.fitted(frame(spark, rows), trained_on=5)
+    assert held == [5]
+
+
 def test_abuse_of_good_writing_is_rejected(spark):
     story = "The river rose in the night, and by morning the lower fields were gone. Nobody in the valley had seen so much rain. "
     texts = [
@@ -252,9 +261,11 @@ def test_expectation_maximisation_finds_the_bad_labeller():
     assert np.allclose(found[:, 0, weaklabel.GOOD], rates, atol=0.06)
 
 
-@pytest.mark.parametrize("limit", (500, 4000, 10**7))
-def test_shards(documents, rows, limit):
-    got = sharding.sharded(documents, limit).collect()
+@pytest.mark.parametrize("limit, most_broadcast", ((500, 10**6), (500, 0), (4000, 10**6), (10**7, 10**6)))
+def test_shards(documents, rows, limit, most_broadcast):
+    found = sharding.sharded(documents, limit, most_broadcast)
+    assert found.columns == [c for c in documents.columns if c not in sharding.COLUMNS] + list(sharding.COLUMNS)
+    got = found.collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in rows)
     size, ids, depth = Counter(), {}, {}
     for r in got:
