@@ -15,14 +15,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Pages of the table that train the model beside the labelled ones below: those whose ids have
 #: the smallest hashes. Their <article> and <main> subtrees are taken for content.
 TRAINED_ON = 300
-#: Longer pages are not trained on, so that the sample's bytes are bounded too.
-LONGEST_SAMPLED = 1 << 20
+#: Longer pages are not trained on, and no more bytes in all, as the sample goes to the driver.
+LONGEST_SAMPLED, MOST_SAMPLED = 4 << 20, 32 << 20
 STEPS = 400
 RATE = 1.0
 DECAY = 1e-3
@@ -359,12 +359,14 @@ LABELLED = (
 def labelled_sample(pages: DataFrame, count: int) -> list[list[Node]]:
     """Trees of the sampled pages, <article> and <main> labelled as content.
 
-    One row a page_id is read, and none of more than LONGEST_SAMPLED bytes.
+    One row a page_id is read, none of more than LONGEST_SAMPLED bytes, in the order of the ids' hashes
+    as long as they take MOST_SAMPLED bytes at most.
     """
     known = pages.select("page_id", "html").where((F.octet_length("html") <= LONGEST_SAMPLED) & F.col("page_id").isNotNull())
     chosen = known.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(count)
     sample = known.join(F.broadcast(chosen), "page_id", "left_semi").groupBy("page_id").agg(F.min("html").alias("html"))
-    rows = sample.orderBy("page_id").collect()
+    total = F.sum(F.octet_length("html")).over(Window.orderBy(F.xxhash64("page_id"), "page_id"))  # of `count` rows
+    rows = sample.withColumn("total", total).where(F.col("total") <= MOST_SAMPLED).orderBy("page_id").collect()
     out = []
     for row in rows:
         nodes = parse(row.html)
