@@ -68,20 +68,61 @@ def test_empty_tables(nothing):
     assert spans.without_earlier(nothing).collect() == []
 
 
-def test_run_index_matches_brute_force():
+def flat(strings):
+    return np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings], np.int64)
+
+
+def drawn(rng, count, letters, least, most):
+    return [bytes(rng.integers(97, 97 + letters, rng.integers(least, most)).astype(np.uint8)) for _ in range(count)]
+
+
+def test_matching_statistics_of_strings_the_index_does_not_hold():
     rng = np.random.default_rng(3)
-    strings = [bytes(rng.integers(97, 99, rng.integers(5, 40)).astype(np.uint8)) for _ in range(60)] + [b"a" * 30, b"a" * 30]
-    docs = rng.permutation(len(strings))
-    index = spans.RunIndex(strings, docs, 5)
-    found = {}
-    for step, (which, smallest) in enumerate(index.stream()):
-        for s, d in zip(which.tolist(), smallest.tolist()):
-            found[s, len(strings[s]) - 5 - step] = d
-    for s, text in enumerate(strings):
-        for k in range(len(text) - 4):
-            window = text[k : k + 5]
-            assert found[s, k] == min(d for t, d in zip(strings, docs) if window in t)
-    assert len(index.run_start) < sum(map(len, strings))
+    for letters, window in ((2, 5), (4, 9), (1, 5)):
+        held = drawn(rng, 40, letters, window, 40) + [b"a" * 30, b"a" * 30, b"\0\0a\0" * 5]
+        asked = drawn(rng, 40, letters + 1, 1, 60) + [b"\xff" * 9, b"\0\0a\0\0\0"] + held[:3]
+        docs = rng.permutation(len(held))
+        index = spans.RunIndex(*flat(held), docs, window)
+        text = b"|".join(held) + b"|"  # as many places as the index has
+        seen = 0
+        for string, start, matched, place in index.statistics(*flat(asked)):
+            for s, k, n, at in zip(string.tolist(), start.tolist(), matched.tolist(), place.tolist()):
+                longest = max(m for m in range(len(asked[s]) - k + 1) if any(asked[s][k : k + m] in h for h in held))
+                assert n == longest and (not n or text[at : at + n] == asked[s][k : k + n])
+                if n >= window:
+                    piece = asked[s][k : k + window]
+                    assert index.smallest_at[at] == min(d for h, d in zip(held, docs) if piece in h)
+                seen += 1
+        assert seen == sum(map(len, asked)) and len(index.run_start) < len(text)
+
+
+def test_smallest_documents_against_brute_force():
+    rng = np.random.default_rng(4)
+    for letters in (2, 3):
+        groups = [drawn(rng, n, letters, 6, 30) for n in (1, 2, 9, 70)]
+        # equal windows are of one anchor only: a letter of its own for each
+        strings = [s.translate(bytes((b + 10 * g) % 256 for b in range(256))) for g, some in enumerate(groups) for s in some]
+        anchors = np.repeat(np.arange(4), [len(g) for g in groups])
+        docs = rng.integers(0, 40, len(strings))
+        got = spans.smallest_documents(*flat(strings), docs, anchors, 6).tolist()
+        assert got == [min(d for t, d in zip(strings, docs) if s[k : k + 6] in t) for s in strings for k in range(len(s) - 5)]
+
+
+def test_byte_anchors_at_many_places_are_split(documents, rows):
+    for most_places in (0, 3):
+        got = [(*r[:4], bytes(r[4]), r[5]) for r in spans.without_earlier(documents, 20, 8, most_places=most_places).collect()]
+        assert sorted(got, key=repr) == expected_bytes(rows, 20)
+
+
+def test_a_phrase_of_sixteen_bytes_in_every_document(spark):
+    rng = np.random.default_rng(5)
+    own = [drawn(rng, 1, 26, 60, 90)[0].decode() for _ in range(400)]
+    rows = [(k, f"{a} sixteen letters! {a[::-1]}", "en", "s") for k, a in enumerate(own)]
+    rows += [(400 + k, f"{own[k][7:]} sixteen letters! {own[k][::-1][:70]} x", "en", "s") for k in range(0, 400, 9)]
+    for most_places in (50, spans.MOST_PLACES):
+        got = [(*r[:4], bytes(r[4]), r[5]) for r in spans.without_earlier(frame(spark, rows), most_places=most_places).collect()]
+        assert sorted(got, key=repr) == expected_bytes(rows, 50)
+        assert sum(r[2] > 0 for r in got) == 45
 
 
 def test_sketch_never_misses(spark):
