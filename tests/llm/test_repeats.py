@@ -95,6 +95,11 @@ def test_matching_statistics_of_strings_the_index_does_not_hold():
                 seen += 1
         assert seen == sum(map(len, asked)) and len(index.run_start) < len(text)
 
+        def long_matches(steps):
+            return {(s, k) for string, start, n, _ in steps for s, k in zip(string[n >= window].tolist(), start[n >= window].tolist())}
+
+        assert long_matches(index.statistics(*flat(asked), window)) == long_matches(index.statistics(*flat(asked)))
+
 
 def test_smallest_documents_against_brute_force():
     rng = np.random.default_rng(4)
