@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from starloom.sources.files import NULL_TEXT
+
 
 def prepared(rows: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
     """The rows as they should reach the writing tasks."""
@@ -55,13 +57,18 @@ def write_delimited(
     header: bool = True,
     single_file: bool = False,
     compression: str | None = None,
+    verbatim: bool = False,
 ) -> None:
     """Delimited text with a header.
 
     `single_file` sends all rows through one writing task: for small exports only. The work
-    before the write stays spread.
+    before the write stays spread. `verbatim` keeps blanks around a text and tells an empty text
+    from a null, which is written as `NULL_TEXT`.
     """
     writer = (rows.repartition(1) if single_file else rows).write.mode("overwrite")
     if compression:
         writer = writer.option("compression", compression)
+    if verbatim:
+        blanks = dict.fromkeys(("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"), False)
+        writer = writer.options(nullValue=NULL_TEXT, **blanks)
     writer.option("sep", sep).option("header", header).csv(path)

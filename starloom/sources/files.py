@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 JSON_FILES = "*.json*"
+NULL_TEXT = "\\N"  # a null in delimited text that tells it from an empty one
 
 
 def read_json(
@@ -153,6 +154,7 @@ def read_delimited(
     infer: bool = False,
     spread: int | None = None,
     mode: str = "FAILFAST",
+    verbatim: bool = False,
     **key_values,
 ) -> DataFrame:
     """Delimited text, gzip included: a file, a glob or a folder.
@@ -162,7 +164,8 @@ def read_delimited(
     it is; `spread` deals its rows over that many tasks for the work that follows, and many
     smaller files need none of that. `header_rows` lines at the head of every file are skipped;
     more than one needs a schema. A line that does not fit the schema stops the read, unless
-    `mode` is PERMISSIVE; `read_delimited_checked` keeps such lines apart.
+    `mode` is PERMISSIVE; `read_delimited_checked` keeps such lines apart. `verbatim` reads what
+    was written so: a null is `NULL_TEXT`, an empty text is one.
     """
     path = path.format(**key_values) if key_values else path
     if schema is not None and infer:
@@ -179,6 +182,8 @@ def read_delimited(
         .option("inferSchema", infer)
         .option("mode", mode)
     )
+    if verbatim:
+        reader = reader.option("nullValue", NULL_TEXT)
     if schema is not None:
         # With a schema the header is only skipped: columns go by position.
         reader = reader.schema(schema).option("enforceSchema", True)

@@ -13,6 +13,7 @@ import __spark_entry__ as entry_module
 from starloom.plans import file_queries, load_queries
 from starloom.plans.oracles import ORACLES
 from starloom.plans.table_queries import all_queries
+from starloom.schemas import GIVEN_TABLES
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = all_queries()
@@ -79,3 +80,18 @@ def test_unused_columns_are_not_read(spark, name, unread):
     schemas = " ".join(re.findall(r"ReadSchema: (\S+)", plan_of(QUERIES[name](spark, FOLDER))))
     for column in unread:
         assert f"{column}:" not in schemas
+
+
+def store(spark, folder, **tables):
+    """Given tables with a few rows of their own."""
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, GIVEN_TABLES[name]).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_single_gzip_holds_every_row_of_the_table(spark, tmp_path):
+    parts = [(key, f"name {key}", "Brand#1", None if key == 3 else "PROMO", key, key / 8) for key in range(1, 6)]
+    folder = store(spark, tmp_path, part=[*parts, parts[0], (None, "", " a|b ", None, None, None)])
+    found = QUERIES["delimited_single_gzip"](spark, folder)
+    assert found.columns == GIVEN_TABLES["part"].names
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, spark.read.parquet(f"{folder}/part.parquet").collect()))
