@@ -95,3 +95,18 @@ def test_single_gzip_holds_every_row_of_the_table(spark, tmp_path):
     found = QUERIES["delimited_single_gzip"](spark, folder)
     assert found.columns == GIVEN_TABLES["part"].names
     assert sorted(map(repr, found.collect())) == sorted(map(repr, spark.read.parquet(f"{folder}/part.parquet").collect()))
+
+
+@pytest.mark.parametrize("held", [1000, 3])
+def test_local_lookup_counts_every_region_by_its_name(spark, tmp_path, monkeypatch, held):
+    """Regions beyond the first five and of any name count, however many the driver may hold."""
+    monkeypatch.setattr(file_queries, "LOCAL_ROWS", held)
+    folder = store(
+        spark,
+        tmp_path,
+        region=[(0, "NORTH"), (7, "SOUTH"), (8, None), (9, "EMPTY"), (None, "NONE")],
+        nation=[(1, "a", 0), (2, "b", 7), (3, "c", 8), (4, "d", None)],
+        customer=[(n, f"c{n}", nation, 1.0, "X") for n, nation in enumerate([1, 2, 2, 3, 4, None])],
+    )
+    found = QUERIES["local_lookup"](spark, folder)
+    assert {(r.region, r.n) for r in found.collect()} == {("NORTH", 1), ("SOUTH", 2), (None, 1)}
