@@ -17,16 +17,23 @@ from pyspark.sql import functions as F
 from starloom.operators.rows import earliest_per_key, latest_per_key
 
 
-def _matching(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def _matching(
+    rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str, shuffled: bool = True
+) -> DataFrame:
+    """A shuffled join whatever the sizes, if not told otherwise: batches and targets grow with the
+    input, and a load has many merges, whose keys would all go through the driver if broadcast."""
     named = others.select(*[F.col(key).alias(f"_other_{key}") for key in keys])
+    named = named.hint("merge") if shuffled else named
     same = [F.col(key).eqNullSafe(F.col(f"_other_{key}")) for key in keys]
     return rows.join(named, reduce(lambda a, b: a & b, same), how)
 
 
-def without_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key does not occur in `others`. Adaptive execution sends few others to every
-    task, and else splits a heavy key of `rows` over several."""
-    return _matching(rows, others, keys, "left_anti")
+def without_keys(
+    rows: DataFrame, others: DataFrame, keys: Sequence[str], shuffled: bool = True
+) -> DataFrame:
+    """Rows whose key does not occur in `others`. Adaptive execution splits a heavy key of `rows`
+    over several tasks; if not `shuffled`, it sends few others to every task."""
+    return _matching(rows, others, keys, "left_anti", shuffled)
 
 
 def upsert_update(
@@ -79,5 +86,5 @@ def delete_then_insert(
     at run time. `shuffled` asks for the shuffled join whatever the sizes.
     """
     named = staged.select(*keys).dropna().distinct()
-    kept = without_keys(target, named.hint("merge") if shuffled else named, keys)
+    kept = without_keys(target, named, keys, shuffled)
     return kept.unionByName(insert.select(*target.columns).distinct())

@@ -39,14 +39,15 @@ def songplays(
     catalogue: DataFrame,
     match: str = "title_artist_length",
     how: str = "left",
-    shuffled: bool = False,
+    shuffled: bool = True,
 ) -> DataFrame:
     """One row per play.
 
     `match` names the columns that have to agree, `how` is "left" to keep plays without a
     song or "inner" to drop them. Of several matching songs the one with the lowest id is
     taken. Lengths agree if they are equal to three decimals. The key is a hash of session,
-    user, time and position in the session, so a repeated event is one play.
+    user, time and position in the session, so a repeated event is one play. The catalogue grows and
+    a stream joins it in every batch, so the join is shuffled unless `shuffled` is false.
     """
     round_to = {"length": LENGTH_DECIMALS} if "length" in MATCHES[match] else {}
     attributes = ["song", "artist", "length", "level", "location", "userAgent"]

@@ -7,13 +7,13 @@ import pathlib
 from datetime import date, datetime
 
 import pytest
-from conftest import DECEMBER, NOVEMBER, event, song, values, write_lines
+from conftest import DECEMBER, NOVEMBER, event, plan_of, song, values, write_lines
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.operators import quality
-from starloom.plans import dimensions, facts, lake, reports, warehouse
+from starloom.operators import merge, quality
+from starloom.plans import dimensions, facts, lake, play_queries, reports, warehouse
 from starloom.sinks import tables
 from starloom.sources import files
 from starloom.streaming import ingest
@@ -288,3 +288,25 @@ def test_jobs_from_the_command_line(spark, raw, database, tmp_path):
         run(spark, parse(["stream", raw_paths[0], "--database", database]))
         assert tables.current(spark, f"{database}.songplays").count() == 5
         assert spark.table(f"{database}.songplays_rejects").count() == 1
+
+
+def test_loads_send_no_growing_table_through_the_driver(spark, raw, database, events, catalogue):
+    """However small the tables are now: each of a load's many joins would broadcast one more."""
+    tables.create_tables(spark, schemas.STAR_TABLES, database)
+    star = {spec.name: spark.table(f"{database}.{spec.name}") for spec in schemas.STAR_TABLES}
+    batch = facts.songplays(events, catalogue)
+    of_tables = play_queries.play_events(
+        {
+            "events": spark.createDataFrame([], schemas.GIVEN_TABLES["events"]),
+            "part": spark.createDataFrame([], schemas.GIVEN_TABLES["part"]),
+        }
+    )
+    plans = [
+        batch,
+        of_tables,
+        merge.unseen(star["songplays"], batch, ["songplay_id"]),
+        merge.without_keys(star["songplays"], batch, ["songplay_id"]),
+    ]
+    for rows in plans:
+        rows.collect()
+        assert "Join" in plan_of(rows) and "Broadcast" not in plan_of(rows)
