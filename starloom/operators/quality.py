@@ -165,11 +165,12 @@ def missing_values(rows: DataFrame, column: str) -> DataFrame:
 def orphans(rows: DataFrame, foreign_key: str, parents: DataFrame, key: str) -> DataFrame:
     """How many rows have a foreign key that no parent has. A null foreign key is no violation.
 
-    Rows are counted per foreign key before the join, so it shuffles one row per key value.
+    Rows are counted per foreign key before the join, so it shuffles one row per key value. Parents
+    may grow with the rows: they do not go through the driver.
     """
     used = rows.groupBy(F.col(foreign_key).alias("key")).agg(row_count().alias("n"))
     unknown = used.dropna(subset=["key"]).join(
-        parents.select(F.col(key).alias("key")), "key", "left_anti"
+        parents.select(F.col(key).alias("key")).hint("merge"), "key", "left_anti"
     )
     return unknown.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
 

@@ -304,8 +304,10 @@ def test_loads_send_no_growing_table_through_the_driver(spark, raw, database, ev
     plans = [
         batch,
         of_tables,
+        facts.catalogue_of(star["songs"], star["artists"]),
         merge.unseen(star["songplays"], batch, ["songplay_id"]),
         merge.without_keys(star["songplays"], batch, ["songplay_id"]),
+        warehouse.star_constraints(star),
     ]
     for rows in plans:
         rows.collect()
