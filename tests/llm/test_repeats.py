@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -113,6 +114,52 @@ def test_smallest_documents_against_brute_force():
         assert got == [min(d for t, d in zip(strings, docs) if s[k : k + 6] in t) for s in strings for k in range(len(s) - 5)]
 
 
+def stretches(strings, anchors):
+    data, lengths = flat(strings)
+    where = np.zeros(len(strings), spans._WHERE)
+    where["key"] = where["doc"] = np.arange(len(strings))
+    return spans.Rows(np.array(anchors, np.uint64), lengths, data, np.ones(len(strings), np.int64), where)
+
+
+def test_only_strings_with_a_long_passage_in_common_are_indexed(monkeypatch):
+    rng = np.random.default_rng(6)
+    own = drawn(rng, 300, 26, 34, 35)
+    strings = [a + b"sixteen letters!" + a[::-1] for a in own]
+    held = []
+
+    class Counted(spans.RunIndex):
+        def __init__(self, data, lengths, *rest):
+            held.extend(lengths.tolist())
+            super().__init__(data, lengths, *rest)
+
+    monkeypatch.setattr(spans, "RunIndex", Counted)
+    assert [b.num_rows for b in spans.judged(stretches(strings, [7] * 300), 50)] == [0] and held == []
+    strings += [a[1:] + b"sixteen letters!" + a[:-9:-1] + b"?" * 26 for a in own[:20]] + strings[20:30]
+    got = {tuple(r.values()) for b in spans.judged(stretches(strings, [7] * len(strings)), 50) for r in b.to_pylist()}
+    assert held and len(held) <= 3 * 2 * 20
+    least = {}
+    for doc, s in enumerate(strings):
+        for k in range(len(s) - 49):
+            least.setdefault(s[k : k + 50], doc)
+    gone = {(doc, b) for doc, s in enumerate(strings) for k in range(len(s) - 49) if least[s[k : k + 50]] < doc for b in range(k, k + 50)}
+    assert gone and {(doc, b) for _, doc, first, last in got for b in range(first, last)} == gone
+
+
+def test_hashes_of_stretches_take_little_memory(monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = stretches(drawn(rng, 1, 26, 400_000, 400_001) + drawn(rng, 60_000, 26, 50, 85), range(60_001))
+    ends = np.cumsum(rows.lengths)
+    whole = spans._ROLLS[1].slices(spans._ROLLS[1].sums(spans._VALUES[1][rows.data]), ends - rows.lengths, ends)
+    monkeypatch.setattr(spans, "_ROLLS", [spans.Rolling(f"spans {k}") for k in range(2)])
+    tracemalloc.start()
+    try:
+        got = rows.context()
+        assert tracemalloc.get_traced_memory()[1] < 12 * len(rows.data)
+    finally:
+        tracemalloc.stop()
+    assert got.tolist() == whole.tolist()
+
+
 def test_byte_anchors_at_many_places_are_split(documents, rows):
     for most_places in (0, 3):
         got = [(*r[:4], bytes(r[4]), r[5]) for r in spans.without_earlier(documents, 20, 8, most_places=most_places).collect()]
