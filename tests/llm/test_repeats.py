@@ -7,8 +7,9 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
-from starloom.llm import repeats, sketch, spans
+from starloom.llm import common, repeats, sketch, spans
 from llm.conftest import frame, words_of
 
 
@@ -177,6 +178,62 @@ def test_a_phrase_of_sixteen_bytes_in_every_document(spark):
         assert sum(r[2] > 0 for r in got) == 45
 
 
+def test_spans_at_an_anchor_of_many_places_come_out_united(spark):
+    rows = [(k, f"own{k} " + "ab cd " * 60 + f"end{k} " + "ab cd " * 40 + f"last{k}", "en", "s") for k in range(30)]
+    docs = frame(spark, rows)
+    got = [(*r[:4], bytes(r[4]), r[5]) for r in spans.without_earlier(docs, most_places=50).collect()]
+    assert sorted(got, key=repr) == expected_bytes(rows, 50)
+    found = Counter(r.doc_id for r in spans.earlier_windows(docs, most_places=50).collect())
+    assert sorted(found) == list(range(1, 30)) and max(found.values()) < 10  # not one a place, of which there are about a hundred
+
+
+def test_united_spans():
+    def united(some):
+        return [tuple(r.values()) for r in spans._united(pa.RecordBatch.from_pylist([dict(zip(("row_key", "doc_id", "first", "last"), x)) for x in some], schema)).to_pylist()]
+
+    schema = pa.schema([(c, pa.int64()) for c in ("row_key", "doc_id", "first", "last")])
+    assert united([]) == []
+    assert united([(5, 1, 40, 90), (-3, 1, 0, 50), (5, 1, 0, 50), (5, 2, 60, 110), (-3, 1, 50, 100), (-3, 1, 101, 151), (5, 1, 10, 60)]) == [
+        (-3, 1, 0, 100), (-3, 1, 101, 151), (5, 1, 0, 90), (5, 2, 60, 110)
+    ]
+
+
+def test_stretches_of_many_places_are_cut_again_only_where_many_differ(spark, monkeypatch):
+    labels = []
+
+    def written(frame, label):
+        labels.append(label)
+        return common.written(frame, label)
+
+    monkeypatch.setattr(spans, "written", written)
+    rng = np.random.default_rng(8)
+    own = [s.decode() for s in drawn(rng, 300, 26, 60, 61)]
+    passage, line = drawn(rng, 1, 26, 200, 201)[0].decode(), "a line of some forty bytes in every text"
+    schema = "anchor long, context long, stretch binary, doc long"
+
+    def least(texts, most):
+        labels.clear()
+        data, lengths = flat([t.encode() for t in texts])
+        cut = spans.Stretches(data, np.concatenate(([0], np.cumsum(lengths))), 50, 16)
+        strings = [bytes(data[a : a + n + 49]) for a, n in zip(cut.first.tolist(), cut.count.tolist())]
+        context = spans._ROLLS[1].slices(spans._ROLLS[1].sums(spans._VALUES[1][data]), cut.first, cut.first + cut.count + 49)
+        keys = list(zip(cut.anchor.view(np.int64).tolist(), context.view(np.int64).tolist()))
+        rows = [(*key, s, t) for key, s, t in zip(keys, strings, cut.text.tolist())]
+        smallest = {}
+        for _, _, s, t in rows:
+            for k in range(len(s) - 49):
+                smallest[s[k : k + 50]] = min(t, smallest.get(s[k : k + 50], t))
+        got = spans.least_documents(spark.createDataFrame(rows, schema).repartition(3), 50, 16, most, 2).collect()
+        assert len(got) == len(set(keys))
+        verdicts = {(r.anchor, r.context): r.smallest for r in got}
+        assert verdicts == {(a, c): [smallest[s[k : k + 50]] for k in range(len(s) - 49)] for a, c, s, _ in rows}
+        return labels.count("pieces")
+
+    assert least([passage] * 300, 20) == 0  # at 300 places, but one string each
+    assert least([f"{a} sixteen letters! {a[::-1]}" for a in own], 20) == 1  # a short phrase, the longer anchors differ
+    assert least([f"{a} {line} {a[::-1]}" for a in own] + [own[7] + " " + line] * 3, 20) == 2  # a long line, in the end by windows
+
+
 def test_sketch_never_misses(spark):
     values = spark.createDataFrame([(str(k % 700),) for k in range(1000)], "text string").repartition(5)
 
